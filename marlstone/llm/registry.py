@@ -1,13 +1,18 @@
 """Queries of the training-data operators and their DuckDB SQL where SQL can express them."""
 
-from . import decontam, quality, toxicity
+from . import decontam, kdshard, mixing, ngramjoin, quality, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
+    "op6_kd_shards": kdshard.query,
     "op7_quality": quality.query,
     "op8_decontamination": decontam.query,
+    "op9_source_mix": mixing.query,
+    "op10_ngram_join": ngramjoin.query,
 }
 
 ORACLE_SQL = {
     "op8_decontamination": decontam.ORACLE.replace("{documents}", "documents"),
+    "op9_source_mix": mixing.ORACLE.replace("{documents}", "documents"),
+    "op10_ngram_join": ngramjoin.ORACLE.replace("{documents}", "documents"),
 }
