@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from ..sources.shared import materialise
 
 MAX_STEPS = 60
+#: A graph of at most so many edges is kept in one partition, where joins and aggregations need no exchange.
+SMALL = 200_000
 
 
 def _pairs(df: DataFrame) -> DataFrame:
@@ -27,13 +29,15 @@ def components(edges: DataFrame) -> DataFrame:
     now = materialise(_pairs(edges), "components")
     state = _state(now)
     for _ in range(MAX_STEPS):
+        if state[0] <= SMALL:
+            now = now.coalesce(1)
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = both.coalesce(1) if state[0] <= SMALL else both
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = materialise(_pairs(large), "components")
+        large = _pairs(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        now = materialise(_pairs(small), "components")
+        now = materialise(_pairs(small.coalesce(1) if state[0] <= SMALL else small), "components")
         last, state = state, _state(now)
         if state == last:
             return now.select(F.col("u").alias("node"), F.col("v").alias("comp")).union(now.select(F.col("v").alias("node"), F.col("v").alias("comp"))).distinct()
