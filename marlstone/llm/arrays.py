@@ -46,7 +46,7 @@ def _merger(op: Callable, dtype: str):
 
 def merged(partials: DataFrame, n_pids: int, length: int, dtype, op: Callable) -> np.ndarray:
     """The arrays of all pids joined by op; one of length entries reaches the driver."""
-    for _ in range(max(1, math.ceil(math.log(max(n_pids, 2), FAN_IN)))):
+    for _ in range(math.ceil(math.log(max(n_pids, 1), FAN_IN))):
         partials = partials.repartition("part", (F.col("pid") / FAN_IN).cast("int")).mapInArrow(_merger(op, np.dtype(dtype).str), SCHEMA)
     out = np.zeros(length, dtype)
     for row in partials.collect():

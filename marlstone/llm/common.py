@@ -1,13 +1,14 @@
-"""Helpers shared by the training-data operators: shared storage, hold-out split, column hygiene."""
+"""Helpers shared by the training-data operators."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..sources.shared import materialise, new_path, shared_dir, table
+
+__all__ = ["DOCUMENT_COLUMNS", "ascii_lower", "hold_out", "materialise", "new_path", "shared_dir", "table"]
+
 #: Columns of the documents table, in order.
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -15,42 +16,6 @@ DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it; a temporary one only where none is named."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="marlstone-shared-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
-
-
-def new_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, tag: str) -> DataFrame:
-    """Write df to the shared folder and read it back.
-
-    Cuts the lineage in a way that survives lost executors, and gives the
-    optimizer the true size, so that it alone decides what to broadcast.
-    """
-    spark = df.sparkSession
-    path = new_path(spark, tag)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete an intermediate folder whose rows nothing will read again."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def hold_out(id_column: str, modulus: int, remainder: int) -> Column:
     """crc32 of the id as text, modulo modulus, equals remainder; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % modulus == remainder

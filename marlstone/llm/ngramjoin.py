@@ -14,9 +14,10 @@ Two documents link when 100 * intersection >= PERCENT * union.
    Links found so far merge nodes into components; while many pairs of a
    shingle's postings remain in different components, the components' own
    representatives are compared the same way.  Finally each remaining pair
-   across components that passes the length and position bounds is compared.
-   Pairs inside a component need no comparison, so copies are never expanded
-   into all pairs, and no link between components is lost.
+   across components is compared.  Pairs inside a component need no
+   comparison, so copies are never expanded into all pairs, and no link between
+   components is lost.  Before sets are fetched, pairs must pass the bounds of
+   length, of position, and of the number of shingles their prefixes share.
 5. A comparison of one set with many is a trie traversal: the sets lie in a
    prefix tree over the global order (frequent first, where copies agree),
    shared paths are intersected once, and a subtree is left as soon as the
@@ -34,20 +35,22 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.components import components
 from . import arrays
 from .common import DOCUMENT_COLUMNS, materialise, table
-from .components import components
-from .textvec import SPACE_BYTES, blocks, lower_table, mix, shingles, spans, word_hashes
+from .textvec import BLOCK_BYTES, SPACE_BYTES, blocks, lower_table, mix, pieces, shingles, spans, word_hashes
 
 SHINGLE = 5
 PERCENT = 75
-SKETCH = 1 << 20
+SKETCH = 1 << 22
 FILTER_BITS = 1 << 24
 #: Postings of one shingle that stay together, at least; sets in one trie, at most.
 TOGETHER = 4096
 TRIE_SETS = 256
 #: Rounds of comparing representatives; the rest is compared pair by pair.
 STAR_ROUNDS = 4
+#: Nodes whose bitmap one task fills.
+NODES_ALONE = 1_000_000
 #: Pairs for each posting beyond which another round of representatives pays.
 PAIRS_EACH = 4
 
@@ -86,14 +89,14 @@ def _describe(batches):
             np.add(counts, np.bincount(np.concatenate(pending), minlength=SKETCH).astype(np.uint32), out=counts)
             pending.clear()
 
-    for batch in batches:
+    for batch in pieces(batches, "text"):
         nodes, n = [], []
         for _, node, u in _sets(batch.column("text")):
             nodes.append(node)
             n.append(len(u))
             if node is not None and node not in seen:
                 seen.add(node)
-                pending.append((u >> np.uint64(44)).astype(np.int64))
+                pending.append((u >> np.uint64(42)).astype(np.int64))
                 size += len(u)
                 if size > 1 << 22:
                     add()
@@ -107,7 +110,7 @@ def _describe(batches):
 
 def _ordered(u: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The set in global order, rare first."""
-    return u[np.argsort(counts[(u >> np.uint64(44)).astype(np.int64)], kind="stable")]
+    return u[np.argsort(counts[(u >> np.uint64(42)).astype(np.int64)], kind="stable")]
 
 
 def _post(counts, together: int):
@@ -118,7 +121,7 @@ def _post(counts, together: int):
 
         seen: set[int] = set()
         table_ = counts.value
-        for batch in batches:
+        for batch in pieces(batches, "text", 4 * BLOCK_BYTES):
             keys, nodes, sizes = [], [], []
             for node, u in _first_seen(batch.column("text"), seen):
                 keys.append(_ordered(u, table_)[: len(u) - -(-len(u) * PERCENT // 100) + 1])
@@ -130,7 +133,7 @@ def _post(counts, together: int):
             key = np.concatenate(keys)
             node = np.repeat(np.array(nodes, np.int64), length)
             pos = np.arange(len(key)) - np.repeat(np.cumsum(length) - length, length)
-            salts = -(-table_[(key >> np.uint64(44)).astype(np.int64)].astype(np.int64) // together)
+            salts = -(-table_[(key >> np.uint64(42)).astype(np.int64)].astype(np.int64) // together)
             group = np.where(salts > 1, mix(key + mix(node.view(np.uint64)) % np.maximum(salts, 1).astype(np.uint64)), key)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(group.view(np.int64)), pa.array(key.view(np.int64), mask=salts <= 1), pa.array(node), pa.array(np.repeat(np.array(sizes, np.int64), length) << 32 | pos)],
@@ -191,7 +194,7 @@ def _bodies(counts, bits):
         import pyarrow as pa
 
         seen: set[int] = set()
-        for batch in batches:
+        for batch in pieces(batches, "text"):
             nodes, bodies = [], []
             for node, u in _first_seen(batch.column("text"), seen):
                 cell = int(mix(np.array([node]).view(np.uint64))[0] % np.uint64(FILTER_BITS))
@@ -261,20 +264,59 @@ def _traverse(batches):
     yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], names=["u", "v"])
 
 
-def _verify(pairs, bodies: DataFrame) -> DataFrame:
-    """pairs (a, b) -> those that link, as (u, v)."""
-    degree = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("degree"))
-    members = pairs.join(degree, "a").select("a", F.pmod(F.xxhash64("b"), F.ceil(F.col("degree") / TRIE_SETS)).alias("chunk"), "b")
-    probes = members.select("a", "chunk").distinct().join(bodies, F.col("a") == F.col("node")).select("a", "chunk", F.lit(None).cast("long").alias("b"), "body")
-    members = members.join(bodies, F.col("b") == F.col("node")).select("a", "chunk", "b", "body")
-    rows = probes.union(members).repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
-    return materialise(rows.mapInArrow(_traverse, "u long, v long"), "ngram-links")
-
-
 def _within(n: str, pos: str, m: str, mpos: str):
     """Length and position bounds for two sets of sizes n and m that have a shingle at these positions."""
-    need = F.ceil((F.col(n) + F.col(m)) * PERCENT / (100 + PERCENT))
-    return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & (F.col(n) - F.col(pos) >= need) & (F.col(m) - F.col(mpos) >= need)
+    return _lengths(n, m) & (F.col(n) - F.col(pos) >= _need(n, m)) & (F.col(m) - F.col(mpos) >= _need(n, m))
+
+
+def _lengths(n: str, m: str):
+    return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
+
+
+def _need(n: str, m: str):
+    """The least intersection of two sets of these sizes that link."""
+    return F.ceil((F.col(n) + F.col(m)) * PERCENT / (100 + PERCENT))
+
+
+def _enough(common: str, n: str, m: str):
+    """Whether prefixes that share so many shingles leave room for a link.
+
+    Let the prefix of one set end no later in the global order than the
+    other's.  Shared shingles up to its end are in both prefixes; beyond it
+    the set has its size less its prefix.
+    """
+    beyond = F.greatest(*[F.ceil(F.col(c) * PERCENT / 100) - 1 for c in (n, m)])
+    return F.col(common) + beyond >= _need(n, m)
+
+
+def _promising(pairs: DataFrame, postings: DataFrame) -> DataFrame:
+    """Those pairs (a, b, na, nb) whose prefixes share enough shingles, as (a, b)."""
+    a, b = (postings.select("key", F.col("node").alias(c)) for c in "ab")
+    met = pairs.join(a, "a").join(b, ["b", "key"]).groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("common"))
+    return met.where(_enough("common", "na", "nb")).select("a", "b")
+
+
+class _Texts:
+    """The rows whose sets are compared, and the sketch that orders their shingles."""
+
+    def __init__(self, texts: DataFrame, counts):
+        self.texts, self.counts = texts, counts
+
+    def verify(self, pairs: DataFrame) -> DataFrame:
+        """pairs (a, b) -> those that link, as (u, v).  One pass fetches the sets of the nodes in pairs."""
+        spark = self.texts.sparkSession
+        nodes = materialise(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "ngram-nodes")
+        n = nodes.count()
+        few = nodes.coalesce(1) if n <= NODES_ALONE else nodes
+        bits = spark.sparkContext.broadcast(arrays.merged(few.mapInArrow(_bitmap, arrays.SCHEMA), few.rdd.getNumPartitions(), FILTER_BITS // 8, np.uint8, np.bitwise_or))
+        bodies = self.texts.mapInArrow(_bodies(self.counts, bits), "node long, body binary").join(nodes, "node", "left_semi")
+        bodies = materialise(bodies.groupBy("node").agg(F.first("body").alias("body")), "ngram-bodies")
+        degree = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("degree"))
+        members = pairs.join(degree, "a").select("a", F.pmod(F.xxhash64("b"), F.ceil(F.col("degree") / TRIE_SETS)).alias("chunk"), "b")
+        probes = members.select("a", "chunk").distinct().join(bodies, F.col("a") == F.col("node")).select("a", "chunk", F.lit(None).cast("long").alias("b"), "body")
+        members = members.join(bodies, F.col("b") == F.col("node")).select("a", "chunk", "b", "body")
+        rows = probes.union(members).repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
+        return materialise(rows.mapInArrow(_traverse, "u long, v long"), "ngram-links")
 
 
 def link_components(documents: DataFrame, star_rounds: int = STAR_ROUNDS) -> DataFrame:
@@ -292,34 +334,37 @@ def link_components(documents: DataFrame, star_rounds: int = STAR_ROUNDS) -> Dat
     posted = texts.select("text").mapInArrow(_post(counts, together), "grp long, key long, node long, meta long")
     postings = materialise(posted.repartition("grp").mapInArrow(_gather, POSTINGS), "ngram-postings")
 
-    nodes = postings.select("node").distinct()
-    bits = spark.sparkContext.broadcast(arrays.merged(nodes.mapInArrow(_bitmap, arrays.SCHEMA), int(spark.conf.get("spark.sql.shuffle.partitions")), FILTER_BITS // 8, np.uint8, np.bitwise_or))
-    bodies = texts.select("text").mapInArrow(_bodies(counts, bits), "node long, body binary").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("body").alias("body"))
-    bodies = materialise(bodies, "ngram-bodies")
-
-    pairs = materialise(postings.where("rep <> node").where(_within("n", "pos", "rn", "rpos")).select(F.col("rep").alias("a"), F.col("node").alias("b")).distinct(), "ngram-pairs")
-    done, links = pairs, _verify(pairs, bodies)
+    sets = _Texts(texts.select("text"), counts)
+    stars = postings.where("rep <> node").where(_within("n", "pos", "rn", "rpos"))
+    stars = materialise(stars.select(F.col("rep").alias("a"), F.col("node").alias("b"), F.col("rn").alias("na"), F.col("n").alias("nb")).distinct(), "ngram-stars")
+    pairs = materialise(_promising(stars, postings), "ngram-pairs")
+    done, links = pairs, sets.verify(pairs)
     comps = components(links)
     for k in range(star_rounds + 1):
-        placed = postings.select("key", "node", "n", "pos").distinct().join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        placed = postings.select("key", "node", "n", "pos").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         by_comp = placed.groupBy("key", "comp").agg(F.min(F.struct("node", "n", "pos")).alias("one"), F.count(F.lit(1)).cast("double").alias("c"))
-        mixed = by_comp.groupBy("key").agg(F.min(F.struct(F.xxhash64(F.col("one.node"), F.lit(k)).alias("h"), F.col("one").alias("one"))).alias("top"), F.count(F.lit(1)).alias("comps"), F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q")).where("comps > 1")
+        top = F.min(F.struct(F.xxhash64(F.col("one.node"), F.lit(k)).alias("h"), F.col("one").alias("one"))).alias("top")
+        mixed = by_comp.groupBy("key").agg(top, F.count(F.lit(1)).alias("comps"), F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q")).where("comps > 1")
         mixed = materialise(mixed.select("key", F.col("top.one").alias("top"), "s", "q"), "ngram-mixed")
         left, postings_left = mixed.agg(F.coalesce(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2), F.lit(0.0)), F.coalesce(F.sum("s"), F.lit(0.0))).first()
         if not left:
             break
-        if k < star_rounds and left > PAIRS_EACH * postings_left:
-            joined = by_comp.join(mixed, "key").where("one.node <> top.node").where(_within("one.n", "one.pos", "top.n", "top.pos"))
-            pairs = joined.select(F.col("top.node").alias("a"), F.col("one.node").alias("b"))
-        else:
+        last = k == star_rounds or left <= PAIRS_EACH * postings_left
+        if last:
             rest = placed.join(mixed.select("key"), "key", "left_semi")
-            x, y = (rest.select("key", *[F.col(c).alias(c + s) for c in ("node", "n", "pos", "comp")]) for s in "xy")
-            joined = x.join(y, "key").where("nodex < nodey and compx <> compy").where(_within("nx", "posx", "ny", "posy"))
-            pairs, k = joined.select(F.col("nodex").alias("a"), F.col("nodey").alias("b")), star_rounds
-        pairs = materialise(pairs.distinct().join(done, ["a", "b"], "left_anti"), "ngram-pairs")
-        done, links = done.union(pairs), links.union(_verify(pairs, bodies))
-        comps = components(links)
-        if k == star_rounds:
+            x, y = (rest.select("key", *[F.col(c).alias(c + s) for c in ("node", "n", "comp")]) for s in "xy")
+            met = x.join(y, "key").where("nodex < nodey and compx <> compy").where(_lengths("nx", "ny"))
+            met = met.groupBy(F.col("nodex").alias("a"), F.col("nodey").alias("b"), "nx", "ny").agg(F.count(F.lit(1)).alias("common"))
+            pairs = met.where(_enough("common", "nx", "ny")).select("a", "b")
+        else:
+            met = by_comp.join(mixed, "key").where("one.node <> top.node").where(_within("one.n", "one.pos", "top.n", "top.pos"))
+            met = met.select(F.col("top.node").alias("a"), F.col("one.node").alias("b"), F.col("top.n").alias("na"), F.col("one.n").alias("nb")).distinct()
+            pairs = _promising(materialise(met, "ngram-stars"), postings)
+        pairs = materialise(pairs.join(done, ["a", "b"], "left_anti"), "ngram-pairs")
+        if not pairs.isEmpty():
+            done, links = done.union(pairs), links.union(sets.verify(pairs))
+            comps = components(links)
+        if last:
             break
 
     named = rows.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))

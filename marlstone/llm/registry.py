@@ -1,9 +1,13 @@
 """Queries of the training-data operators and their DuckDB SQL where SQL can express them."""
 
-from . import decontam, kdshard, mixing, ngramjoin, quality, toxicity
+from . import ctw, decontam, kdshard, licenses, media, mixing, ngramjoin, quality, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
+    "op2_warc_segments": warc.query,
+    "op3_license_rules": licenses.query,
+    "op4_progressive_jpeg": media.query,
+    "op5_context_tree": ctw.query,
     "op6_kd_shards": kdshard.query,
     "op7_quality": quality.query,
     "op8_decontamination": decontam.query,
@@ -12,6 +16,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op2_warc_segments": warc.ORACLE,
     "op8_decontamination": decontam.ORACLE.replace("{documents}", "documents"),
     "op9_source_mix": mixing.ORACLE.replace("{documents}", "documents"),
     "op10_ngram_join": ngramjoin.ORACLE.replace("{documents}", "documents"),

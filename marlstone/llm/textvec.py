@@ -93,6 +93,13 @@ def blocks(column, limit: int = BLOCK_BYTES):
         i = j
 
 
+def pieces(batches, name: str, limit: int = 8 * BLOCK_BYTES):
+    """The batches, cut where the column's bytes reach the limit."""
+    for batch in batches:
+        for row, n, _, _ in blocks(batch.column(name), limit):
+            yield batch.slice(row, n)
+
+
 def spans(data: np.ndarray, offs: np.ndarray, separators: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of words in data, and for each row the index of its first word (one more at the end)."""
     inside = word_table(separators)[data]
