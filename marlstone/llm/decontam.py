@@ -81,7 +81,7 @@ def _scanner(patterns):
                 out = list(old or ())
                 # Latin-1 gives each byte one character, so positions are byte positions.
                 flat = " " + b" ".join(words).decode("latin-1") + " "
-                hits = list(trie.iter(flat)) if words else ()
+                hits = list(trie.iter(flat)) if words and patterns.value else ()
                 if hits:
                     begins, p = [], 1
                     for w in words:

@@ -111,6 +111,9 @@ FORMS = (
     (r"(?:opensource org|spdx org|choosealicense com)(?: \w+)? licenses? {spdx}", 95, (" license",)),
 )
 
+#: The form and priority of a name that says its version, or names a Creative Commons license: it stands for itself.
+ALONE = (r"{name}", 65, ())
+
 #: Notices that name no license by its usual name: (label, regex, priority, keywords).
 NOTICES = (
     ("mit", r"permission is hereby granted free of charge to any person obtaining a copy of this software", 88, (" hereby granted ",)),
@@ -139,7 +142,7 @@ class Rule(NamedTuple):
 
 @functools.cache
 def rules() -> list[Rule]:
-    made = [(label, form.format(name=name, spdx=spdx), priority, (keyword if "{name}" in form else f" {spdx.split()[0]}" if spdx[0].isalnum() else " ", *needs)) for label, (name, keyword, spdx) in LICENSES.items() for form, priority, needs in FORMS]
+    made = [(label, form.format(name=name, spdx=spdx), priority, (keyword if "{name}" in form else f" {spdx.split()[0]}" if spdx[0].isalnum() else " ", *needs)) for label, (name, keyword, spdx) in LICENSES.items() for form, priority, needs in (*FORMS, *[ALONE] * ("version" in name or "creative" in name))]
     made += [(label, pattern, priority, needs) for label, pattern, priority, needs in NOTICES]
     order = sorted(range(len(made)), key=lambda i: (-made[i][2], i))
     return [Rule(made[i][0], made[i][2], tuple(tuple(w.encode() for w in n.split("|")) for n in made[i][3]), re.compile(rf"(?<= ){made[i][1]}(?= )".encode())) for i in order]
@@ -162,7 +165,7 @@ def detect(flat: bytes) -> list[Detection]:
         return present[word]
 
     out = []
-    if not any(map(has, (b" licen", b" spdx ", b" under ", b" copyright ", b" rights ", b" public domain ", b" creative ", b" cc", b" proprietary ", b" subject ", b" permission ", b" terms ", b" redistribution ", b" accord", b" govern", b" free software ", b" attribution ", b" neither ", b" held liable "))):
+    if not any(map(has, (b" licen", b" spdx ", b" under ", b" copyright ", b" rights ", b" public domain ", b" creative ", b" cc", b" proprietary ", b" subject ", b" permission ", b" terms ", b" redistribution ", b" accord", b" govern", b" free software ", b" attribution ", b" neither ", b" held liable ", b"gpl", b" mpl ", b" epl ", b" apache ", b" artistic "))):
         return out
     for rule in rules():
         if all(any(map(has, group)) for group in rule.needs):

@@ -115,6 +115,20 @@ def best_tree(grad: np.ndarray, hess: np.ndarray, leaves: int, penalty: float) -
     return step
 
 
+def best_grid_tree(grad: np.ndarray, hess: np.ndarray, penalty: float) -> np.ndarray:
+    """The step for each cell of a tree of two levels: one feature is cut once, each side then along the other."""
+    best, out = 0.0, np.zeros_like(grad)
+    for g, h, back in ((grad, hess, lambda m: m), (grad.T, hess.T, lambda m: m.T)):
+        for cut in range(1, len(g)):
+            step = np.empty_like(g)
+            for side in (slice(0, cut), slice(cut, None)):
+                step[side] = best_tree(g[side].sum(0), h[side].sum(0), 2, penalty)
+            gain = float((g * step - 0.5 * h * step**2).sum())
+            if gain > best:
+                best, out = gain, back(step)
+    return out
+
+
 class AdditiveModel:
     """Lookup tables of single features and of pairs; score = 1 / (1 + exp(-sum of entries))."""
 
@@ -156,12 +170,7 @@ class AdditiveModel:
         for _ in range(self.pair_rounds):
             for (a, b), grid in zip(self.pairs, self.pair_tables, strict=True):
                 g, h = (v.reshape(grid.shape) for v in gradients(rough[a] * grid.shape[1] + rough[b], grid.size))
-                # A tree of two levels: the better feature is cut once, each side then along the other.
-                rows = best_tree(g.sum(1), h.sum(1), 2, self.penalty)
-                parts = np.split(np.arange(len(rows)), np.flatnonzero(np.diff(rows)) + 1)
-                step = np.zeros_like(grid)
-                for part in parts:
-                    step[part] = best_tree(g[part].sum(0), h[part].sum(0), 2, self.penalty)
+                step = best_grid_tree(g, h, self.penalty)
                 grid += self.rate * step
                 z += self.rate * step[rough[a], rough[b]]
         return self
