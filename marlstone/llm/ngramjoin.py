@@ -11,13 +11,17 @@ Two documents link when 100 * intersection >= PERCENT * union.
    posted under the shingles of its prefix.  Shingles with one node go.
    Frequent shingles (by the sketch) are salted.
 4. Within each shingle's postings all nodes are compared with one of them.
-   Links found so far merge nodes into components; while many pairs of a
-   shingle's postings remain in different components, the components' own
-   representatives are compared the same way.  Finally each remaining pair
-   across components is compared.  Pairs inside a component need no
-   comparison, so copies are never expanded into all pairs, and no link between
-   components is lost.  Before sets are fetched, pairs must pass the bounds of
-   length, of position, and of the number of shingles their prefixes share.
+   Links merge nodes into components, and each node keeps the one it linked to
+   as its centre.  While many pairs of a shingle's postings remain in different
+   components, the components' own representatives are compared the same way.
+   Then the remaining pairs of centres across components are compared.  With
+   the Jaccard distance, a metric, nodes within 1/4 of two centres cannot link
+   when those are more than 1/4 apart plus 1/4 for each centre that stands for
+   others; only nodes of centres that are closer are compared one by one.
+   Pairs inside a component need no comparison, so copies are never expanded
+   into all pairs, and no link between components is lost.  Before sets are
+   fetched, pairs must pass the bounds of length, of position, and of the
+   number of shingles their prefixes share.
 5. A comparison of one set with many is a trie traversal: the sets lie in a
    prefix tree over the global order (frequent first, where copies agree),
    shared paths are intersected once, and a subtree is left as soon as the
@@ -51,8 +55,8 @@ TRIE_SETS = 256
 STAR_ROUNDS = 4
 #: Nodes whose bitmap one task fills.
 NODES_ALONE = 1_000_000
-#: Pairs for each posting beyond which another round of representatives pays.
-PAIRS_EACH = 4
+#: Pairs of centres for each centre posted beyond which another round of representatives pays.
+PAIRS_EACH = 2
 
 
 def _sets(column):
@@ -207,19 +211,19 @@ def _bodies(counts, bits):
     return run
 
 
-def trie_join(probe: np.ndarray, sets: list[np.ndarray], step: int = 64) -> list[int]:
-    """The indexes of the sets that link with probe; all are duplicate-free and in one global order.
+def trie_join(probe: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT, step: int = 64) -> list[tuple[int, int]]:
+    """(index, intersection) of the sets that reach percent with probe; all are duplicate-free and in one global order.
 
     In the order of their bytes, sets that share a path of the trie follow one
     another: `path` is the current path from the root, `overlap[d]` how many of
     its first d shingles the probe has.
     """
     wanted = np.sort(probe)
-    out: list[int] = []
+    out: list[tuple[int, int]] = []
     path, overlap = np.zeros(0, probe.dtype), np.zeros(1, np.int64)
     for i in sorted(range(len(sets)), key=lambda i: sets[i].tobytes()):
         own = sets[i]
-        need = -(-PERCENT * (len(own) + len(probe)) // (100 + PERCENT))
+        need = -(-percent * (len(own) + len(probe)) // (100 + percent))
         m = min(len(path), len(own))
         differ = np.flatnonzero(path[:m] != own[:m])
         depth = int(differ[0]) if len(differ) else m
@@ -233,35 +237,35 @@ def trie_join(probe: np.ndarray, sets: list[np.ndarray], step: int = 64) -> list
             have = int(known[-1][-1])
             depth += len(part)
         path, overlap = own[:depth], np.concatenate(known)
-        if depth == len(own) and 100 * have >= PERCENT * (len(own) + len(probe) - have):
-            out.append(i)
+        if depth == len(own) and 100 * have >= percent * (len(own) + len(probe) - have):
+            out.append((i, have))
     return out
 
 
 def _traverse(batches):
-    """Rows sorted by (a, chunk, member): the probe's set, then the members' sets.  Yields the pairs that link."""
+    """Rows sorted by (a, percent, chunk, b): the probe's set, then the members' sets.  Yields the pairs that reach percent, and whether they link."""
     import pyarrow as pa
 
     key, probe, nodes, sets, found = None, None, [], [], []
 
     def finish() -> None:
         if probe is not None and sets:
-            found.extend((key[0], nodes[i]) for i in trie_join(probe, sets))
+            found.extend((key[0], nodes[i], 100 * n >= PERCENT * (len(probe) + len(sets[i]) - n)) for i, n in trie_join(probe, sets, key[1]))
         nodes.clear()
         sets.clear()
 
     for batch in batches:
-        for a, chunk, b, body in zip(*(batch.column(c).to_pylist() for c in ("a", "chunk", "b", "body")), strict=True):
-            if (a, chunk) != key:
+        for a, percent, chunk, b, body in zip(*(batch.column(c).to_pylist() for c in ("a", "percent", "chunk", "b", "body")), strict=True):
+            if (a, percent, chunk) != key:
                 finish()
-                key, probe = (a, chunk), None
+                key, probe = (a, percent, chunk), None
             if b is None:
                 probe = np.frombuffer(body, "<u8")
             else:
                 nodes.append(b)
                 sets.append(np.frombuffer(body, "<u8"))
     finish()
-    yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], names=["u", "v"])
+    yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64()), pa.array([x[2] for x in found], pa.bool_())], names=["u", "v", "linked"])
 
 
 def _within(n: str, pos: str, m: str, mpos: str):
@@ -290,7 +294,7 @@ def _enough(common: str, n: str, m: str):
 
 
 def _promising(pairs: DataFrame, postings: DataFrame) -> DataFrame:
-    """Those pairs (a, b, na, nb) whose prefixes share enough shingles, as (a, b)."""
+    """Those pairs (a, b, na, nb) whose prefixes share enough shingles, as (a, b).  A shingle of one posting only is shared by none."""
     a, b = (postings.select("key", F.col("node").alias(c)) for c in "ab")
     met = pairs.join(a, "a").join(b, ["b", "key"]).groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("common"))
     return met.where(_enough("common", "na", "nb")).select("a", "b")
@@ -303,7 +307,7 @@ class _Texts:
         self.texts, self.counts = texts, counts
 
     def verify(self, pairs: DataFrame) -> DataFrame:
-        """pairs (a, b) -> those that link, as (u, v).  One pass fetches the sets of the nodes in pairs."""
+        """pairs (a, b, percent) -> those that reach percent, as (u, v, linked).  One pass fetches the sets of the nodes in pairs."""
         spark = self.texts.sparkSession
         nodes = materialise(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "ngram-nodes")
         n = nodes.count()
@@ -312,11 +316,38 @@ class _Texts:
         bodies = self.texts.mapInArrow(_bodies(self.counts, bits), "node long, body binary").join(nodes, "node", "left_semi")
         bodies = materialise(bodies.groupBy("node").agg(F.first("body").alias("body")), "ngram-bodies")
         degree = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("degree"))
-        members = pairs.join(degree, "a").select("a", F.pmod(F.xxhash64("b"), F.ceil(F.col("degree") / TRIE_SETS)).alias("chunk"), "b")
-        probes = members.select("a", "chunk").distinct().join(bodies, F.col("a") == F.col("node")).select("a", "chunk", F.lit(None).cast("long").alias("b"), "body")
-        members = members.join(bodies, F.col("b") == F.col("node")).select("a", "chunk", "b", "body")
-        rows = probes.union(members).repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
-        return materialise(rows.mapInArrow(_traverse, "u long, v long"), "ngram-links")
+        members = pairs.join(degree, "a").select("a", "percent", F.pmod(F.xxhash64("b"), F.ceil(F.col("degree") / TRIE_SETS)).alias("chunk"), "b")
+        probes = members.select("a", "percent", "chunk").distinct().join(bodies, F.col("a") == F.col("node")).select("a", "percent", "chunk", F.lit(None).cast("long").alias("b"), "body")
+        members = members.join(bodies, F.col("b") == F.col("node")).select("a", "percent", "chunk", "b", "body")
+        rows = probes.union(members).repartition("a", "chunk").sortWithinPartitions("a", "percent", "chunk", F.col("b").asc_nulls_first())
+        return materialise(rows.mapInArrow(_traverse, "u long, v long, linked boolean"), "ngram-links")
+
+
+def _across(placed: DataFrame, some: DataFrame, postings: DataFrame, sets: _Texts, done: DataFrame) -> DataFrame:
+    """Links (u, v) between the components of placed (key, node, n, pos, comp, centre).  some: the centres that stand for others."""
+    placed = materialise(placed, "ngram-placed")
+    # A centre stands for its nodes at a shingle, whether it is posted there itself or not.
+    at = placed.groupBy("key", "comp", "centre").agg(F.max("n").alias("n"), F.min("n").alias("low"), F.min("pos").alias("pos"))
+    at = materialise(at.join(some.withColumnRenamed("node", "centre"), "centre", "left").withColumn("stands", F.coalesce("stands", F.lit(0))), "ngram-centres-at")
+    x, y = (at.select("key", *[F.col(c).alias(c + s) for c in ("centre", "comp", "n", "low", "pos", "stands")]) for s in "xy")
+    # Sizes at a centre that stands for others are those of its nodes: the bound takes the best case.
+    fits = (100 * F.least("nx", "ny") >= PERCENT * F.greatest("lowx", "lowy")) & F.when((F.col("standsx") + F.col("standsy")) == 0, _within("nx", "posx", "ny", "posy")).otherwise(True)
+    met = x.join(y, "key").where("centrex < centrey and compx <> compy").where(fits)
+    met = met.groupBy(F.col("centrex").alias("a"), F.col("centrey").alias("b")).agg(F.max("nx").alias("na"), F.max("ny").alias("nb"), F.max(F.col("standsx") + F.col("standsy")).alias("stand"))
+    met = materialise(met, "ngram-across")
+    single = _promising(met.where("stand = 0").select("a", "b", "na", "nb"), postings).join(done, ["a", "b"], "left_anti").withColumn("percent", F.lit(PERCENT))
+    wide = met.where("stand > 0").select("a", "b", (F.lit(PERCENT) - F.col("stand") * (100 - PERCENT)).cast("int").alias("percent"))
+    near = sets.verify(materialise(single.union(wide), "ngram-pairs"))
+    links = near.where("linked").select("u", "v")
+    # Centres that are near, though they do not link: their nodes one by one.
+    open_ = near.where("not linked").select(F.col("u").alias("cx"), F.col("v").alias("cy"))
+    if open_.isEmpty():
+        return links
+    x, y = (placed.select("key", *[F.col(c).alias(c + s) for c in ("centre", "node", "n", "pos")]) for s in "xy")
+    met = x.join(open_, F.col("centrex") == F.col("cx")).join(y.withColumnRenamed("key", "k"), (F.col("cy") == F.col("centrey")) & (F.col("key") == F.col("k"))).where(_within("nx", "posx", "ny", "posy"))
+    met = materialise(met.select(F.col("nodex").alias("a"), F.col("nodey").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb")).distinct(), "ngram-across")
+    pairs = materialise(_promising(met, postings).withColumn("percent", F.lit(PERCENT)), "ngram-pairs")
+    return links.union(sets.verify(pairs).where("linked").select("u", "v")) if not pairs.isEmpty() else links
 
 
 def link_components(documents: DataFrame, star_rounds: int = STAR_ROUNDS) -> DataFrame:
@@ -337,35 +368,32 @@ def link_components(documents: DataFrame, star_rounds: int = STAR_ROUNDS) -> Dat
     sets = _Texts(texts.select("text"), counts)
     stars = postings.where("rep <> node").where(_within("n", "pos", "rn", "rpos"))
     stars = materialise(stars.select(F.col("rep").alias("a"), F.col("node").alias("b"), F.col("rn").alias("na"), F.col("n").alias("nb")).distinct(), "ngram-stars")
-    pairs = materialise(_promising(stars, postings), "ngram-pairs")
-    done, links = pairs, sets.verify(pairs)
+    done = materialise(_promising(stars, postings), "ngram-pairs")
+    links = sets.verify(done.withColumn("percent", F.lit(PERCENT))).where("linked").select("u", "v")
     comps = components(links)
     for k in range(star_rounds + 1):
-        placed = postings.select("key", "node", "n", "pos").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        by_comp = placed.groupBy("key", "comp").agg(F.min(F.struct("node", "n", "pos")).alias("one"), F.count(F.lit(1)).cast("double").alias("c"))
+        centre = materialise(links.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("centre")), "ngram-centres")
+        some = centre.select(F.col("centre").alias("node")).distinct().withColumn("stands", F.lit(1))
+        placed = postings.select("key", "node", "n", "pos").join(comps, "node", "left").join(centre, "node", "left")
+        placed = placed.withColumns({"comp": F.coalesce("comp", "node"), "centre": F.coalesce("centre", "node")})
+        by_centre = placed.groupBy("key", "comp", "centre").agg(F.min(F.struct("node", "n", "pos")).alias("one"))
+        by_comp = by_centre.groupBy("key", "comp").agg(F.min("one").alias("one"), F.count(F.lit(1)).cast("double").alias("c"))
         top = F.min(F.struct(F.xxhash64(F.col("one.node"), F.lit(k)).alias("h"), F.col("one").alias("one"))).alias("top")
         mixed = by_comp.groupBy("key").agg(top, F.count(F.lit(1)).alias("comps"), F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q")).where("comps > 1")
         mixed = materialise(mixed.select("key", F.col("top.one").alias("top"), "s", "q"), "ngram-mixed")
-        left, postings_left = mixed.agg(F.coalesce(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2), F.lit(0.0)), F.coalesce(F.sum("s"), F.lit(0.0))).first()
-        if not left:
+        left, centres_left = mixed.agg(F.coalesce(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2), F.lit(0.0)), F.coalesce(F.sum("s"), F.lit(0.0))).first()
+        if not left or k == star_rounds or left <= PAIRS_EACH * centres_left:
             break
-        last = k == star_rounds or left <= PAIRS_EACH * postings_left
-        if last:
-            rest = placed.join(mixed.select("key"), "key", "left_semi")
-            x, y = (rest.select("key", *[F.col(c).alias(c + s) for c in ("node", "n", "comp")]) for s in "xy")
-            met = x.join(y, "key").where("nodex < nodey and compx <> compy").where(_lengths("nx", "ny"))
-            met = met.groupBy(F.col("nodex").alias("a"), F.col("nodey").alias("b"), "nx", "ny").agg(F.count(F.lit(1)).alias("common"))
-            pairs = met.where(_enough("common", "nx", "ny")).select("a", "b")
-        else:
-            met = by_comp.join(mixed, "key").where("one.node <> top.node").where(_within("one.n", "one.pos", "top.n", "top.pos"))
-            met = met.select(F.col("top.node").alias("a"), F.col("one.node").alias("b"), F.col("top.n").alias("na"), F.col("one.n").alias("nb")).distinct()
-            pairs = _promising(materialise(met, "ngram-stars"), postings)
-        pairs = materialise(pairs.join(done, ["a", "b"], "left_anti"), "ngram-pairs")
+        met = by_comp.join(mixed, "key").where("one.node <> top.node").where(_within("one.n", "one.pos", "top.n", "top.pos"))
+        met = met.select(F.col("top.node").alias("a"), F.col("one.node").alias("b"), F.col("top.n").alias("na"), F.col("one.n").alias("nb")).distinct()
+        pairs = materialise(_promising(materialise(met, "ngram-stars"), postings).join(done, ["a", "b"], "left_anti"), "ngram-pairs")
         if not pairs.isEmpty():
-            done, links = done.union(pairs), links.union(sets.verify(pairs))
+            found = sets.verify(pairs.withColumn("percent", F.lit(PERCENT))).where("linked").select("u", "v")
+            done, links = done.union(pairs), links.union(found)
             comps = components(links)
-        if last:
-            break
+    if left:
+        links = links.union(_across(placed.join(mixed.select("key"), "key", "left_semi"), some, postings, sets, done))
+        comps = components(links)
 
     named = rows.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     named = materialise(named.select("doc_id", "n_shingles", "comp"), "ngram-named")
