@@ -16,7 +16,8 @@ def jaccard_pairs(sets: DataFrame, id_: str, items: str, threshold: float) -> Da
     first n - ceil(threshold * n) + 1 items, so only those are joined, under
     the length bound.  Pairs are verified on the full sets.
     """
-    rows = materialise(sets.select(F.col(id_).alias("id"), F.col(items).alias("s")).where(F.size("s") > 0), "jaccard-sets")
+    # Filtered once written: a filter on s would be pushed below, and its expression be run again there.
+    rows = materialise(sets.select(F.col(id_).alias("id"), F.col(items).alias("s")), "jaccard-sets").where(F.size("s") > 0)
     item = rows.select("id", F.explode("s").alias("item"))
     frequency = item.groupBy("item").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
     # An item of one set joins nothing; it only takes its place at the front of the order.

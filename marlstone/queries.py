@@ -125,7 +125,8 @@ e as (select u, v, common, x.n + y.n - common as total from p join n x on u = x.
 
 
 def _edges(spark, d, threshold: float = 0.80) -> DataFrame:
-    sets = _docs(spark, d).select("doc_id", tx.shingles(tx.tokens(F.col("text")), 5).alias("s"))
+    # Tokens are a column of their own: inside the shingles' lambda the expression would run anew for each shingle.
+    sets = _docs(spark, d).select("doc_id", tx.tokens(F.col("text")).alias("w")).select("doc_id", tx.shingles(F.col("w"), 5).alias("s"))
     return materialise(similarity.jaccard_pairs(sets, "doc_id", "s", threshold), "edges")
 
 
