@@ -25,10 +25,12 @@ def first_wins(rows: DataFrame, key: Column, seq: str) -> DataFrame:
     }).drop("_key", "_first")
 
 
-def greedy_accept(rows: DataFrame, seq: str, conflicts: DataFrame) -> DataFrame:
+def greedy_accept(rows: DataFrame, seq: str, conflicts: DataFrame, copies: DataFrame | None = None) -> DataFrame:
     """(seq, status, matched): rows are taken in order, one is accepted unless it conflicts with an accepted earlier one.
 
-    conflicts: u, v with u < v.  Rounds over the undecided edges: a row without
+    conflicts: u, v with u < v.  copies: seq, first; a copy conflicts with its
+    first and with all that its first does, so it is rejected by its first, or
+    by what rejected that.  Copies take no part in the rounds.  Rounds over the undecided edges: a row without
     an undecided earlier neighbour is accepted, and rejects its later
     neighbours.  The number of rounds is that of the longest chain of
     conflicts; each round is joins on the remaining edges only.
@@ -52,27 +54,32 @@ def greedy_accept(rows: DataFrame, seq: str, conflicts: DataFrame) -> DataFrame:
         raise RuntimeError(f"conflict chains are longer than {MAX_ROUNDS}")
     base = rows.select(seq)
     if rejected is None:
-        return base.select(seq, F.lit("accepted").alias("status"), F.lit(None).cast("long").alias("matched"))
-    by = edges.join(rejected, edges["v"] == rejected["n"], "left_semi").join(rejected, edges["u"] == rejected["n"], "left_anti").groupBy(F.col("v").alias(seq)).agg(F.min("u").alias("matched"))
+        by = base.select(seq, F.col(seq).cast("long").alias("matched")).limit(0)
+    else:
+        by = edges.join(rejected, edges["v"] == rejected["n"], "left_semi").join(rejected, edges["u"] == rejected["n"], "left_anti").groupBy(F.col("v").alias(seq)).agg(F.min("u").alias("matched"))
+    if copies is not None:
+        of_first = by.select(F.col(seq).alias("first"), F.col("matched").alias("by_first"))
+        by = by.unionByName(copies.join(of_first, "first", "left").select(seq, F.coalesce("by_first", "first").alias("matched")))
     return base.join(by, seq, "left").select(seq, F.when(F.col("matched").isNull(), "accepted").otherwise("rejected").alias("status"), F.col("matched").cast("long").alias("matched"))
 
 
-def key_conflicts(rows: DataFrame, seq: str, keys: list[Column]) -> DataFrame:
-    """Edges between rows that share one of several keys.
+def key_conflicts(rows: DataFrame, seq: str, keys: list[Column]) -> tuple[DataFrame, DataFrame]:
+    """Edges (u, v) between rows that share one of several keys, and copies (seq, first), for greedy_accept.
 
-    Within a key each row conflicts with all later ones.  Copies in all keys
-    fall to their first, which takes one edge; only the firsts of distinct key
-    combinations are paired.
+    Within a key each row conflicts with all later ones.  Rows that agree in
+    all keys are copies of their first, at one row each; only the firsts of
+    distinct key combinations are paired.  A null key is shared with no row.
     """
-    named = rows.select(seq, *[F.sha2(k.cast("binary"), 256).alias(f"k{i}") for i, k in enumerate(keys)])
     names = [f"k{i}" for i in range(len(keys))]
+    named = rows.select(seq, *[F.sha2(k.cast("binary"), 256).alias(n) for n, k in zip(names, keys, strict=True)]).where(F.coalesce(*names).isNotNull())
     first = materialise(named.groupBy(*names).agg(F.min(seq).alias("first")), "keys")
-    same = [named[n].eqNullSafe(first[n]) for n in names]
-    on = same[0]
-    for s in same[1:]:
-        on = on & s
-    out = named.join(first, on).where(F.col(seq) > F.col("first")).select(F.col("first").alias("u"), F.col(seq).alias("v"))
+    on = F.lit(True)
+    for n in names:
+        on = on & named[n].eqNullSafe(first[n])
+    copies = named.join(first, on).where(F.col(seq) > F.col("first")).select(seq, "first")
+    edges = None
     for n in names:
         a, b = first.select(F.col("first").alias("u"), n), first.select(F.col("first").alias("v"), n)
-        out = out.union(a.join(b, n).where("u < v").select("u", "v"))
-    return out.distinct()
+        some = a.join(b, n).where("u < v").select("u", "v")
+        edges = some if edges is None else edges.union(some)
+    return edges.distinct(), copies

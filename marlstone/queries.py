@@ -165,7 +165,7 @@ HEAD = r"array_to_string(regexp_extract_all(lower(text), '[a-z0-9]+')[1:3], ' ')
 def multi_key_first_wins(spark, d):
     docs = _docs(spark, d)
     keys = [_key(), F.array_join(F.slice(tx.tokens(F.col("text")), 1, 3), " ")]
-    return dedup.greedy_accept(docs, "doc_id", dedup.key_conflicts(docs, "doc_id", keys))
+    return dedup.greedy_accept(docs, "doc_id", *dedup.key_conflicts(docs, "doc_id", keys))
 
 
 @query(f"with recursive {SETS.format(0.80)}, b as (select u, v from e union select v, u from e), r as (select u, v from b union select r.u, b.v from r join b on r.v = b.u), c as (select u as doc_id, least(u, min(v)) as component from r group by u) select doc_id, component, count(*) over (partition by component) as size from c")
