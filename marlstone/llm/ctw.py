@@ -4,12 +4,19 @@ Model: each byte (A-Z lower-cased; a zero byte ends a text) is eight binary
 decisions.  For every decision a context tree over up to DEPTH preceding bytes
 mixes the Krichevsky-Trofimov estimates of all depths with CTW's weights.  The
 block probabilities depend on counts alone, so counting is distributed and the
-mixture is exact for the tree.  The tree holds the contexts that make up at
-least one SHARE-th of all training bytes, hence SHARE of each depth at most,
-however large the corpus; each context has one further child for all other
-continuations.  Counting takes one pass over the training texts for each depth:
-each task counts the bytes that follow each context of that depth, and the
-arrays are merged on executors.
+mixture is exact for the tree.  The tree holds every context met LEAST times or
+more; that number does not depend on the size of the corpus.  Each context has
+one further child for all other continuations.
+
+A path is a context's bytes, the newest first, in one number; with the byte that
+follows it is a key.  One pass counts the keys of all texts, and a table holds
+their sums.  It is dealt out by the TOP newest bytes, so that a task has whole
+subtrees (of 256 ** (DEPTH - TOP) contexts at most); a task sums up the
+weights of its subtrees for their parents, the driver weighs the contexts
+shorter than TOP bytes, and a second pass over the subtrees gives each key that
+occurs in any text its probability.  Keys that make up at least one SHARE-th of
+all places (so SHARE of them at most) are broadcast, which saves work and
+changes nothing; the others are joined.
 
 Base: a unigram model with add-one smoothing over words cut at ASCII white space, and one end for each text.
 Words are identified by 64-bit hashes.  Counts of words that make up at least
@@ -33,9 +40,13 @@ from .common import hold_out, materialise, table
 from .textvec import SPACE_BYTES, blocks, lower_table, spans, word_hashes
 
 DEPTH = 5
-SHARE = 1 << 16
+LEAST = 2
+TOP = 3
+SHARE = 1 << 21
 FREQUENT = 1 << 18
 HALF = float(np.log(0.5))
+#: Log probabilities are summed as whole numbers of this fraction, so that no order of summing shows.
+UNIT = 1 << 30
 
 
 class Tree:
@@ -119,7 +130,50 @@ def binary(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def kt_block(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """The log of the KT probability of any sequence with these counts."""
-    return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - np.log(np.pi) - log_gamma(zeros + ones + 1)
+    out, met = np.zeros(zeros.shape), zeros + ones > 0
+    z, o = zeros[met], ones[met]
+    out[met] = log_gamma(z + 0.5) + log_gamma(o + 0.5) - np.log(np.pi) - log_gamma(z + o + 1)
+    return out
+
+
+def summed(rows: np.ndarray, parent: np.ndarray, n: int) -> np.ndarray:
+    """The sum of the rows of each of n parents."""
+    out = np.zeros((n, 256))
+    np.add.at(out, parent, rows)
+    return out
+
+
+def weigh(counts: np.ndarray, below: np.ndarray | None, split: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log block and weighted probabilities of nodes, and their counts outside of their children.
+
+    below, split: sums of the children's counts and log weighted probabilities; None at the last depth.
+    """
+    block = kt_block(*binary(counts))
+    if below is None:
+        return block, block, counts
+    other = counts - below
+    return block, np.logaddexp(HALF + block, HALF + split + kt_block(*binary(other))), other
+
+
+def mix_level(counts: np.ndarray, other: np.ndarray, block: np.ndarray, weighted: np.ndarray, before, left, last: bool):
+    """(mixed, left, codes) of nodes: the mixture down to them, the weight that is left, and log10 of each byte's probability after them as the longest context.
+
+    before, left: mixed and left of each node's parent.
+    """
+    zeros, ones = binary(counts)
+    p = (ones + 0.5) / (zeros + ones + 1)
+    if last:
+        mixed, rest, final = None, None, before + left * p
+    else:
+        keep = np.exp(HALF + block - weighted)  # the weight of stopping at a node
+        mixed, rest = before + left * keep * p, left * (1 - keep)
+        zeros, ones = binary(other)
+        final = mixed + rest * (ones + 0.5) / (zeros + ones + 1)
+    heap = np.zeros((len(final), 512))
+    for k in (1, 2, 4, 8, 16, 32, 64, 128):
+        heap[:, 2 * k : 4 * k : 2] = heap[:, k : 2 * k] + np.log10(1 - final[:, k : 2 * k])
+        heap[:, 2 * k + 1 : 4 * k : 2] = heap[:, k : 2 * k] + np.log10(final[:, k : 2 * k])
+    return mixed, rest, heap[:, 256:].astype(np.float32)
 
 
 def code_table(tree: Tree, counts: list[np.ndarray]) -> np.ndarray:
@@ -127,50 +181,40 @@ def code_table(tree: Tree, counts: list[np.ndarray]) -> np.ndarray:
 
     counts: for each depth the byte counts of its nodes.
     """
-    depth, n = len(counts) - 1, len(tree.parent)
-    block, weighted = np.zeros((n, 256), np.float64), np.zeros((n, 256), np.float64)
-    rest: list[np.ndarray] = []
-    for d in range(depth, -1, -1):
-        own = slice(tree.first[d], tree.first[d + 1])
-        other = counts[d].astype(np.float64)
-        block[own] = kt_block(*binary(other))
-        if d == depth:
-            weighted[own] = block[own]
-        else:
-            below = slice(tree.first[d + 1], tree.first[d + 2])
-            split = np.zeros_like(block[own])
-            if below.start < below.stop:
-                np.subtract.at(other, tree.parent[below] - own.start, counts[d + 1].astype(np.float64))
-                np.add.at(split, tree.parent[below] - own.start, weighted[below])
-            split += kt_block(*binary(other))
-            weighted[own] = np.logaddexp(HALF + block[own], HALF + split)
-        rest.insert(0, other)
-    keep = np.exp(HALF + block - weighted)  # the weight of stopping at a node
-    del block, weighted
-    mixed, left = np.zeros((n, 256), np.float32), np.ones((n, 256), np.float32)
-    out = np.zeros((n, 256), np.float32)
-    for d in range(depth + 1):
-        own = slice(tree.first[d], tree.first[d + 1])
-        up = tree.parent[own]
-        zeros, ones = binary(counts[d])
-        p = (ones + 0.5) / (zeros + ones + 1)
-        before, share = (mixed[up], left[up]) if d else (np.float32(0), np.float32(1))
-        if d == depth:
-            final = before + share * p
-        else:
-            mixed[own], left[own] = before + share * keep[own] * p, share * (1 - keep[own])
-            zeros, ones = binary(rest[d])
-            final = mixed[own] + left[own] * (ones + 0.5) / (zeros + ones + 1)
-        heap = np.zeros((len(final), 512))
-        for k in (1, 2, 4, 8, 16, 32, 64, 128):
-            heap[:, 2 * k : 4 * k : 2] = heap[:, k : 2 * k] + np.log10(1 - final[:, k : 2 * k])
-            heap[:, 2 * k + 1 : 4 * k : 2] = heap[:, k : 2 * k] + np.log10(final[:, k : 2 * k])
-        out[own] = heap[:, 256:]
+    depth = len(counts) - 1
+    up = [tree.parent[tree.first[d] : tree.first[d + 1]] - tree.first[max(d - 1, 0)] for d in range(depth + 1)]
+    levels = climb([c.astype(np.float64) for c in counts], up, 0)
+    return np.concatenate([np.zeros((1, 256), np.float32), *descend(levels, up, np.zeros((1, 256)), np.ones((1, 256)), 0)])
+
+
+def climb(counts: list[np.ndarray], up: list[np.ndarray], first: int, below=None, split=None) -> list[tuple]:
+    """(counts, other, block, weighted) of each depth from first on; below and split stand for the children of the last, if it has any."""
+    levels: list[tuple] = []
+    for d in range(len(counts) - 1, first - 1, -1):
+        block, weighted, other = weigh(counts[d], below, split)
+        levels.insert(0, (counts[d], other, block, weighted))
+        if d > first:
+            below, split = summed(counts[d], up[d], len(counts[d - 1])), summed(weighted, up[d], len(counts[d - 1]))
+    return levels
+
+
+def descend(levels: list[tuple], up: list[np.ndarray], mixed: np.ndarray, left: np.ndarray, first: int, ends: bool = True, state: list | None = None) -> list[np.ndarray]:
+    """The codes of each depth from first on; mixed and left are those of the parents of the first.  ends: the last depth has no children."""
+    out = []
+    for d, level in enumerate(levels, first):
+        at = up[d] if d else np.zeros(1, np.int64)
+        mixed, left, codes = mix_level(*level, mixed[at], left[at], ends and d == first + len(levels) - 1)
+        out.append(codes)
+    if state is not None:
+        state[:] = [mixed, left]
     return out
 
 
 def train(texts: DataFrame, depth: int = DEPTH, share: int = SHARE) -> tuple[Tree, np.ndarray]:
-    """The context tree of all rows of texts (text), and its code table."""
+    """The context tree of all rows of texts (text) in one place, of contexts that make up one share-th of all bytes, and its code table.
+
+    score() does not use it; tests hold the distributed tree against it.
+    """
     spark = texts.sparkSession
     tree, counts = Tree(), []
     n_pids = texts.rdd.getNumPartitions()
@@ -197,6 +241,160 @@ def train(texts: DataFrame, depth: int = DEPTH, share: int = SHARE) -> tuple[Tre
     return tree, code_table(tree, counts)
 
 
+def places(data: np.ndarray, offs: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The key of each byte of each text and of its end, and for each text the index of its first."""
+    text, begin = padded(data, offs, depth)
+    keys = text[depth:].astype(np.int64)
+    for k in range(1, depth + 1):
+        keys |= text[depth - k : len(text) - k].astype(np.int64) << (8 * (depth - k + 1))
+    # The zeros before a text are not predicted.
+    real = np.ones(len(keys), bool)
+    skip = (begin[:, None] - depth - np.arange(1, depth + 1)).ravel()
+    real[skip[skip >= 0]] = False
+    return keys[real], np.concatenate(([0], np.cumsum(np.diff(offs) + 1)))
+
+
+def _count_keys(depth: int):
+    """(key, n, m) of this task: how often each key occurs in the texts that are learned from, and in all."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            key, at = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+            return key, np.bincount(at, np.concatenate([h[1] for h in held])).astype(np.int64)
+
+        size = 0
+        for batch in batches:
+            learn = batch.column("learn").to_numpy(zero_copy_only=False).astype(np.int64)
+            for row, n, data, offs in blocks(batch.column("text"), 1 << 22):
+                keys, first = places(data, offs, depth)
+                held.append(np.unique(keys << 1 | np.repeat(learn[row : row + n], np.diff(first)), return_counts=True))
+                size += len(held[-1][0])
+                if size > 1 << 22:
+                    held = [merged()]
+                    size = 0
+        if held:
+            key, n = merged()
+            for i in range(0, len(key), 100_000):
+                k, c = key[i : i + 100_000], n[i : i + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.array(k >> 1), pa.array(c * (k & 1)), pa.array(c)], names=["key", "n", "m"])
+
+    return run
+
+
+def _subtrees(batches, depth: int, top: int):
+    """(keys, n, m, nodes, counts, up) of this task's keys, some whole subtrees at a time.
+
+    nodes: for each depth from top on the node of each key's context there, -1 if it is not kept.
+    """
+    found = [[batch.column(c).to_numpy() for c in ("key", "n", "m")] for batch in batches]
+    if not found:
+        return
+    keys, n, m = (np.concatenate(c) for c in zip(*found, strict=True))
+    order = np.argsort(keys)
+    keys, n, m = keys[order], n[order], m[order]
+    edges = np.append(np.flatnonzero(np.diff(keys >> 8 * (depth - top + 1), prepend=-1)), len(keys))
+    i = 0
+    while i < len(edges) - 1:
+        j = max(i + 1, int(np.searchsorted(edges, edges[i] + (1 << 12), "right")) - 1)
+        part = slice(edges[i], edges[j])
+        i = j
+        nodes, counts, up = [], [], []
+        for d in range(top, depth + 1):
+            at = np.cumsum(np.diff(keys[part] >> 8 * (depth - d + 1), prepend=-1) != 0) - 1
+            kept = np.bincount(at, n[part]) >= LEAST
+            of = np.where(kept, np.cumsum(kept) - 1, -1)
+            node = of[at]
+            seen = node >= 0
+            size = int(kept.sum())
+            counts.append(np.bincount(node[seen] << 8 | (keys[part][seen] & 255), n[part][seen], size << 8).reshape(size, 256))
+            start = np.unique(node[seen], return_index=True)[1]
+            up.append((nodes[-1] if nodes else np.zeros(len(node), np.int64))[seen][start])
+            nodes.append(node)
+        yield keys[part], n[part], m[part], nodes, counts, up
+
+
+def _weights(short, depth: int, top: int):
+    """This task's sums over the subtrees of each context one byte shorter than top: counts, and log weighted probabilities."""
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        paths = short.value
+        total = np.zeros((2, len(paths), 256))
+        for keys, _, _, nodes, counts, up in _subtrees(batches, depth, top):
+            if not len(counts[0]):
+                continue
+            level = climb([*[None] * top, *counts], [*[None] * top, *up], top)[0]
+            start = np.unique(nodes[0][nodes[0] >= 0], return_index=True)[1]
+            parent = np.searchsorted(paths, (keys[nodes[0] >= 0][start]) >> 8 * (depth - top + 2))
+            np.add.at(total[0], parent, level[0])
+            np.add.at(total[1], parent, level[3])
+        yield arrays.partial(total.ravel(), TaskContext.get().partitionId())
+
+    return run
+
+
+def _codes(model, depth: int, top: int):
+    """(key, m, code) of this task's keys: their probabilities after their longest contexts."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        shorter, mixed, left = model.value
+        for keys, _, m, nodes, counts, up in _subtrees(batches, depth, top):
+            code = np.zeros(len(keys), np.float32)
+            for d, (paths, codes) in enumerate(shorter):
+                path = keys >> 8 * (depth - d + 1)
+                at = np.minimum(np.searchsorted(paths, path), len(paths) - 1)
+                hit = paths[at] == path if len(paths) else np.zeros(len(keys), bool)
+                code[hit] = codes[at[hit], keys[hit] & 255]
+            if len(counts[0]):
+                levels = climb([*[None] * top, *counts], [*[None] * top, *up], top)
+                start = np.unique(nodes[0][nodes[0] >= 0], return_index=True)[1]
+                up[0] = np.searchsorted(shorter[-1][0], keys[nodes[0] >= 0][start] >> 8 * (depth - top + 2))
+                for node, codes in zip(nodes, descend(levels, [*[None] * top, *up], mixed, left, top), strict=True):
+                    code[node >= 0] = codes[node[node >= 0], keys[node >= 0] & 255]
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(m), pa.array(np.rint(code.astype(np.float64) * UNIT).astype(np.int64))], names=["key", "m", "code"])
+
+    return run
+
+
+def key_codes(texts: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(key, m, code) of each key of texts (text, learn): its occurrences, and log10 of its probability in UNITs."""
+    spark = texts.sparkSession
+    top = min(TOP, depth)
+    counted = texts.mapInArrow(_count_keys(depth), "key long, n long, m long")
+    counted = materialise(counted.groupBy("key").agg(F.sum("n").alias("n"), F.sum("m").alias("m")), "ctw-keys")
+    # Contexts shorter than top bytes: 256 ** (top - 1) at most, whatever the corpus.
+    short = counted.where("n > 0").groupBy(F.expr(f"shiftright(key, {8 * (depth - top + 2)})").alias("path"), F.expr("key & 255").alias("byte")).agg(F.sum("n").alias("n")).toArrow()
+    path, byte, n = (short[c].to_numpy() for c in ("path", "byte", "n"))
+    paths, counts, up = [], [], []
+    for d in range(top):
+        at = path >> 8 * (top - 1 - d)
+        known, of = np.unique(at, return_inverse=True)
+        kept = np.bincount(of, n, len(known)) >= LEAST if d else np.ones(len(known), bool)
+        if d == 0 and not len(known):
+            known, kept = np.zeros(1, np.int64), np.ones(1, bool)
+        known = known[kept]
+        node = np.minimum(np.searchsorted(known, at), max(len(known) - 1, 0))
+        seen = known[node] == at if len(known) else np.zeros(len(at), bool)
+        paths.append(known)
+        counts.append(np.bincount(node[seen] << 8 | byte[seen], n[seen], len(known) << 8).reshape(len(known), 256))
+        up.append(np.searchsorted(paths[d - 1], known >> 8) if d else np.zeros(1, np.int64))
+    dealt = counted.withColumn("_top", F.expr(f"shiftright(key, {8 * (depth - top + 1)})")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "_top").drop("_top")
+    n_last = len(paths[-1])
+    sums = arrays.merged(dealt.mapInArrow(_weights(spark.sparkContext.broadcast(paths[-1]), depth, top), arrays.SCHEMA), int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * n_last << 8, np.float64, np.add)
+    below, split = sums.reshape(2, n_last, 256)
+    levels, state = climb(counts, up, 0, below, split), []
+    codes = descend(levels, up, np.zeros((1, 256)), np.ones((1, 256)), 0, False, state)
+    model = spark.sparkContext.broadcast((list(zip(paths, codes, strict=True)), *state))
+    return materialise(dealt.mapInArrow(_codes(model, depth, top), "key long, m long, code long"), "ctw-codes")
+
+
 def _tokens(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     data = lower_table()[data]
     starts, ends, first = spans(data, offs, SPACE_BYTES)
@@ -231,26 +429,31 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return materialise(counted.groupBy("word").agg(F.sum("n").alias("n")), "ctw-words")
 
 
-def _score(model, depth: int, frequent, total: float):
-    """Each row's bytes by the tree, its frequent words by their counts; and the hashes of its other words."""
+def _score(cache, depth: int, frequent, total: float):
+    """Each row's frequent keys by their codes, its frequent words by their counts; and its other keys and the hashes of its other words."""
 
     def run(batches):
         import pyarrow as pa
         from pyspark import TaskContext
 
-        tree, codes = model.value
-        children, codes = tree.children(), codes.ravel()
+        cached, codes = cache.value
         words, counts = frequent.value
         gain = np.log10((counts + 1) / total)
         row = TaskContext.get().partitionId() << 40
+
+        def lists(found):
+            offsets = np.concatenate(([0], np.cumsum([len(r) for r in found]))).astype(np.int32)
+            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found) if found else np.zeros(0, np.int64)))
+
         for batch in batches:
-            scores, base, known, tokens, rare = [], [], [], [], []
+            scores, base, known, tokens, rare, rest = [], [], [], [], [], []
             for _, _, data, offs in blocks(batch.column("_text"), 1 << 22):
-                text, begin = padded(data, offs, depth)
-                node = walk(children, text, depth, True)
-                bits = codes[(node.astype(np.int64) << 8) | text[depth:]].astype(np.float64)
-                sums = np.concatenate(([0.0], np.cumsum(bits)))
-                scores.append(sums[begin - depth + np.diff(offs) + 1] - sums[begin - depth])
+                keys, first = places(data, offs, depth)
+                at = np.minimum(np.searchsorted(cached, keys), max(len(cached) - 1, 0))
+                hit = cached[at] == keys if len(cached) else np.zeros(len(keys), bool)
+                sums = np.concatenate(([0], np.cumsum(np.where(hit, codes[at], 0) if len(cached) else np.zeros(len(keys), np.int64))))
+                scores.append(sums[first[1:]] - sums[first[:-1]])
+                rest += [keys[a:b][~hit[a:b]] for a, b in zip(first[:-1], first[1:], strict=True)]
                 hashes, first = _tokens(data, offs)
                 at = np.minimum(np.searchsorted(words, hashes), max(len(words) - 1, 0))
                 hit = words[at] == hashes if len(words) else np.zeros(len(hashes), bool)
@@ -261,12 +464,10 @@ def _score(model, depth: int, frequent, total: float):
                 tokens.append(np.diff(first))
                 rare += [hashes[a:b][~hit[a:b]] for a, b in zip(first[:-1], first[1:], strict=True)]
             join = lambda parts, kind: pa.array(np.concatenate(parts) if parts else np.zeros(0), kind)
-            offsets = np.concatenate(([0], np.cumsum([len(r) for r in rare]))).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rare) if rare else np.zeros(0, np.int64)))
-            new = [pa.array(row + np.arange(batch.num_rows), pa.int64()), join(tokens, pa.int64()), join(known, pa.int64()), join(base, pa.float64()), join(scores, pa.float64()), lists]
+            new = [pa.array(row + np.arange(batch.num_rows), pa.int64()), join(tokens, pa.int64()), join(known, pa.int64()), join(base, pa.float64()), join(scores, pa.int64()), lists(rare), lists(rest)]
             row += batch.num_rows
             keep = [i for i, name in enumerate(batch.schema.names) if name != "_text"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), *new], names=[*(batch.schema.names[i] for i in keep), "_row", "_tokens", "_known", "_base", "_score", "_rare"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), *new], names=[*(batch.schema.names[i] for i in keep), "_row", "_tokens", "_known", "_base", "_score", "_rare", "_rest"])
 
     return run
 
@@ -277,7 +478,7 @@ def score(documents: DataFrame, depth: int = DEPTH, share: int = SHARE) -> DataF
     made = ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
     keep = [c for c in documents.columns if c not in made]
     learn = documents.where(~hold_out("doc_id", 7, 2)).select("text")
-    tree, codes = train(learn, depth, share)
+    keys = key_codes(documents.select("text", (~hold_out("doc_id", 7, 2)).alias("learn")), depth)
     words = word_counts(learn)
     seen, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     ends = learn.count()
@@ -286,26 +487,31 @@ def score(documents: DataFrame, depth: int = DEPTH, share: int = SHARE) -> DataF
     often = F.col("n") >= n / FREQUENT
     top = words.where(often).toArrow().sort_by("word")  # FREQUENT rows at most
     frequent = spark.sparkContext.broadcast((top["word"].to_numpy(), top["n"].to_numpy().astype(np.float64)))
-    model = spark.sparkContext.broadcast((tree, codes))
+    n_places = keys.agg(F.coalesce(F.sum("m"), F.lit(0))).first()[0]
+    common = F.col("m") >= n_places / share
+    top = keys.where(common).select("key", "code").toArrow().sort_by("key")  # share rows at most
+    cache = spark.sparkContext.broadcast((top["key"].to_numpy(), top["code"].to_numpy()))
     rows = documents.select(*keep, F.col("text").alias("_text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text")
-    scored = rows.mapInArrow(_score(model, depth, frequent, total), fields + ", _row long, _tokens long, _known long, _base double, _score double, _rare array<long>")
+    scored = rows.mapInArrow(_score(cache, depth, frequent, total), fields + ", _row long, _tokens long, _known long, _base double, _score long, _rare array<long>, _rest array<long>")
     scored = materialise(scored, "ctw-scored")
     posted = scored.select("_row", F.explode("_rare").alias("word"))
     met = posted.join(words.where(~often), "word", "left")
     gain = F.log10((F.coalesce(F.col("n"), F.lit(0)) + 1) / F.lit(total))
     rare = met.groupBy("_row").agg(F.sum(gain).alias("_rare_base"), F.count("n").alias("_rare_known"))
+    rest = scored.select("_row", F.explode("_rest").alias("key")).join(keys.where(~common).select("key", "code"), "key").groupBy("_row").agg(F.sum("code").alias("_rest_score"))
     end = float(np.log10((ends + 1) / total))
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)) + 1
-    return scored.drop("_rare").join(rare, "_row", "left").select(
+    bits = (F.col("_score") + F.coalesce("_rest_score", F.lit(0))) / F.lit(float(UNIT))
+    return scored.drop("_rare", "_rest").join(rare, "_row", "left").join(rest, "_row", "left").select(
         *keep,
         hold_out("doc_id", 7, 2).alias("held_out"),
         (F.col("_tokens") + 1).alias("n_tokens"),
         (F.col("_known") + F.coalesce("_rare_known", F.lit(0)) + int(ends > 0)).cast("long").alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         (F.col("_base") + F.coalesce("_rare_base", F.lit(0.0)) + end).alias("base_score"),
-        F.col("_score").alias("score"),
-        (-F.col("_score") * float(np.log2(10)) / n_bytes).alias("bits_per_byte"),
+        bits.alias("score"),
+        (-bits * float(np.log2(10)) / n_bytes).alias("bits_per_byte"),
     )
 
 

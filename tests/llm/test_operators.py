@@ -358,6 +358,22 @@ def test_context_tree_scores(spark, corpus):
     assert sum(r.score for r in trained) > sum(-8 * math.log10(2) * (len((r.text or "").encode()) + 1) for r in trained)
 
 
+@pytest.mark.parametrize("depth, share", [(5, 1 << 21), (5, 64), (4, 1), (2, 256)])
+def test_context_tree_keeps_every_context_met_twice(spark, corpus, depth, share):
+    """The distributed tree against the tree in one place; it holds the same contexts however many rows are added."""
+    docs = frame(spark, corpus + [(10_000 + i, "zq " * 400, "en", "s") for i in range(40)])
+    learn = docs.where(~ctw.hold_out("doc_id", 7, 2)).select("text")
+    total = sum(len((r.text or "").encode()) + 1 for r in learn.collect())
+    tree, codes = ctw.train(learn, depth, -(-total // ctw.LEAST))
+    assert ctw.LEAST == 2 and len(tree.parent) > 50
+    children = tree.children()
+    for r in ctw.score(docs, depth, share).collect():
+        data = np.frombuffer((r.text or "").encode(), np.uint8)
+        text, _ = ctw.padded(data, np.array([0, len(data)]), depth)
+        expected = codes[ctw.walk(children, text, depth, True), text[depth:]].astype(float).sum()
+        assert math.isclose(r.score, expected, rel_tol=1e-5)
+
+
 def test_quality_on_held_out_rows(spark):
     rng = random.Random(3)
     vocabulary = ["".join(rng.choice("abcdefg") for _ in range(rng.randint(2, 7))) for _ in range(300)]
