@@ -34,7 +34,8 @@ from .common import materialise, new_path, table
 from .textvec import pieces
 
 MIN_REVISIT = 1000
-SEGMENT_BYTES = 64 << 10
+#: Ordinary pages are longer than this, so their records are segmented.
+SEGMENT_BYTES = 4 << 10
 CHUNK_BYTES = 8 << 10
 RECORDS_PER_FILE = 2000
 END = "\r\n\r\n"

@@ -226,6 +226,19 @@ def test_warc_round_trip(spark):
     assert warc.round_trip(df.limit(0)).count() == 0
 
 
+def test_ordinary_pages_are_segmented(spark, tmp_path):
+    """Pages of some KB go through continuation records at the segment size of the query."""
+    import gzip
+
+    pages = [(i, "http://a", f"<p>{i} {'word ' * (400 * i)}</p>") for i in range(1, 7)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    path = str(tmp_path / "archives")
+    warc.write_archives(df, path)
+    records = [h for f in (tmp_path / "archives").glob("*.gz") for h, _ in warc.parse(gzip.decompress(f.read_bytes()))]
+    assert len({h["WARC-Segment-Origin-ID"] for h in records if h["WARC-Type"] == "continuation"}) >= 4
+    assert {(r.page_id, bytes(r.payload).decode()) for r in warc.read_archives(spark, path).collect()} == {(i, html) for i, _, html in pages}
+
+
 def test_warc_detects_damage():
     record = warc.record("response", [("WARC-Record-ID", "x")], b"abc") + b"\r\n\r\n"
     assert list(warc.parse(record + record))[1][1] == b"abc"
