@@ -83,3 +83,35 @@ def key_conflicts(rows: DataFrame, seq: str, keys: list[Column]) -> tuple[DataFr
         some = a.join(b, n).where("u < v").select("u", "v")
         edges = some if edges is None else edges.union(some)
     return edges.distinct(), copies
+
+
+def multi_key_accept(rows: DataFrame, seq: str, keys: list[Column]) -> DataFrame:
+    """(seq, status, matched) of greedy_accept on several keys, without the pairs: one row for each row and key.
+
+    In each round a row that comes first, of the undecided, in all its keys is
+    accepted, and the other undecided rows of its keys are rejected.  A null
+    key is shared with no row.  Only the first of rows that agree in all keys
+    takes part in the rounds.
+    """
+    names = [f"k{i}" for i in range(len(keys))]
+    named = materialise(rows.select(seq, *[F.sha2(F.concat(F.lit(f"{i}:").cast("binary"), k.cast("binary")), 256).alias(n) for i, (n, k) in enumerate(zip(names, keys, strict=True))]), "keys")
+    first = named.where(F.coalesce(*names).isNotNull()).groupBy(*names).agg(F.min(seq).alias("n"))
+    posts = first.withColumn("ks", F.array_compact(F.array(*names)))
+    todo = materialise(posts.select("n", F.size("ks").alias("of"), F.explode("ks").alias("k")), "keys")
+    held = None
+    for _ in range(MAX_ROUNDS):
+        if todo.isEmpty():
+            break
+        leads = materialise(todo.groupBy("k").agg(F.min(F.struct("n", "of")).alias("m")).select("k", "m.n", "m.of"), "greedy")
+        free = leads.groupBy("n").agg(F.count(F.lit(1)).alias("c"), F.first("of").alias("of")).where("c = of").select("n")
+        won = materialise(leads.join(free, "n", "left_semi").select("k", F.col("n").alias("by")), "greedy")
+        held = won if held is None else held.union(won)
+        gone = materialise(todo.join(won, "k", "left_semi").select("n").distinct(), "greedy")
+        todo = materialise(todo.join(gone, "n", "left_anti"), "greedy")
+    else:
+        raise RuntimeError(f"conflict chains are longer than {MAX_ROUNDS}")
+    if held is None:
+        return named.select(seq, F.lit("accepted").alias("status"), F.lit(None).cast("long").alias("matched"))
+    # One accepted row at most holds a key; of a row's keys' holders the first that is earlier rejects it.
+    met = named.select(seq, F.explode(F.array_compact(F.array(*names))).alias("k")).join(held, "k").where(F.col("by") < F.col(seq)).groupBy(seq).agg(F.min("by").alias("by"))
+    return named.select(seq).join(met, seq, "left").select(seq, F.when(F.col("by").isNull(), "accepted").otherwise("rejected").alias("status"), F.col("by").cast("long").alias("matched"))

@@ -165,7 +165,21 @@ HEAD = r"array_to_string(regexp_extract_all(lower(text), '[a-z0-9]+')[1:3], ' ')
 def multi_key_first_wins(spark, d):
     docs = _docs(spark, d)
     keys = [_key(), F.array_join(F.slice(tx.tokens(F.col("text")), 1, 3), " ")]
-    return dedup.greedy_accept(docs, "doc_id", *dedup.key_conflicts(docs, "doc_id", keys))
+    return dedup.multi_key_accept(docs, "doc_id", keys)
+
+
+TURN = f"role || ':' || coalesce({KEY.format('text')}, '')"
+TURNS = f"x as (select conv_id, string_agg({TURN}, chr(30) order by turn, role, text) as h, string_agg({TURN}, chr(30) order by turn, role, text) filter (where role <> 'assistant') as g from conversations group by conv_id)"
+
+
+@query(f"with recursive {TURNS}, c as (select a.conv_id as u, b.conv_id as v from x a join x b on (a.h = b.h or a.g = b.g) and a.conv_id < b.conv_id)" + GREEDY.replace("documents", "x").replace("doc_id", "conv_id"))
+def conversation_multi_key(spark, d):
+    """On whole values: the id (one row is made of each), all turns but the assistant's, and all turns."""
+    said = lambda t: F.concat(t["role"], F.lit(":"), F.coalesce(tx.normal_space(t["text"]), F.lit("")))
+    joined = lambda turns: F.array_join(F.transform(turns, said), "\x1e")
+    prompt = F.filter("turns", lambda t: t["role"] != "assistant")
+    keys = [F.when(F.size(prompt) > 0, joined(prompt)), joined(F.col("turns"))]
+    return dedup.multi_key_accept(_conversations(spark, d), "conv_id", keys)
 
 
 @query(f"with recursive {SETS.format(0.80)}, b as (select u, v from e union select v, u from e), r as (select u, v from b union select r.u, b.v from r join b on r.v = b.u), c as (select u as doc_id, least(u, min(v)) as component from r group by u) select doc_id, component, count(*) over (partition by component) as size from c")
