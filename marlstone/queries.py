@@ -437,6 +437,39 @@ def public_audit(spark, d):
     return got.select("doc_id", F.when(F.coalesce(F.trim("text"), F.lit("")) == "", "empty_text").when(F.col("status") == "duplicate", "exact_duplicate").otherwise("ok").alias("verdict"))
 
 
+VALID_SOURCE = "^src[0-9]+$"
+#: The audit's verdicts by rank, the first that holds; a copy and a near copy are of an earlier row.
+AUDIT = f"""with {SETS.format(0.80)}, near as (select distinct v as doc_id from e),
+k as (select *, {FP.format('text')} as h, count(*) over (partition by doc_id) as ids, min(doc_id) over (partition by {FP.format('text')}) as m from documents),
+audit as (select k.doc_id, case when k.doc_id is null or ids > 1 then 'duplicate_id' when coalesce(trim(text), '') = '' then 'empty_text'
+  when not coalesce(regexp_matches(source, '{VALID_SOURCE}'), false) then 'invalid_source' when m <> k.doc_id then 'exact_duplicate' when near.doc_id is not null then 'near_duplicate' else 'ok' end as verdict
+from k left join near on k.doc_id = near.doc_id)"""
+
+
+@query(f"{AUDIT} select * from audit")
+def public_audit_full(spark, d):
+    docs = _docs(spark, d)
+    near = _edges(spark, d, 0.80).select(F.col("v").alias("doc_id")).distinct().withColumn("near", F.lit(True))
+    repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("ids")).where("ids > 1")
+    got = dedup.first_wins(docs.select("doc_id", "text", "source"), _key(), "doc_id").join(repeated, "doc_id", "left").join(near, "doc_id", "left")
+    verdict = (
+        F.when(F.col("doc_id").isNull() | F.col("ids").isNotNull(), "duplicate_id")
+        .when(F.coalesce(F.trim("text"), F.lit("")) == "", "empty_text")
+        .when(~F.coalesce(F.col("source").rlike(VALID_SOURCE), F.lit(False)), "invalid_source")
+        .when(F.col("matched").isNotNull(), "exact_duplicate")
+        .when(F.col("near"), "near_duplicate")
+        .otherwise("ok")
+    )
+    return got.select("doc_id", verdict.alias("verdict"))
+
+
+@query(f"{AUDIT} select 'no_' || c as check_name, count(*) filter (where verdict = c) = 0 as passed from (values ('duplicate_id'), ('empty_text'), ('invalid_source'), ('exact_duplicate'), ('near_duplicate')) t(c), audit group by c union all select 'no_toxic_label', count(*) filter (where toxic = 1) = 0 from labels")
+def publish_gate_full(spark, d):
+    audit = materialise(public_audit_full(spark, d), "audit")
+    checks = {f"no_{c}": audit.agg(F.count_if(F.col("verdict") == c) == 0) for c in ("duplicate_id", "empty_text", "invalid_source", "exact_duplicate", "near_duplicate")}
+    return planning.gate(checks | {"no_toxic_label": table(spark, d, "labels").agg(F.count_if(F.col("toxic") == 1) == 0)})
+
+
 @query(f"select 'id' as key_kind, cast(count(*) - count(distinct doc_id) as bigint) as extra from documents union all select 'text', cast(count(*) - count(distinct text) as bigint) from documents union all select 'normal_text', cast(count(*) - count(distinct {FP.format('text')}) as bigint) from documents")
 def prompt_preflight(spark, d):
     docs, out = _docs(spark, d), None

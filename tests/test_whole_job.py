@@ -25,3 +25,16 @@ def test_conversations_that_open_alike_are_kept(spark, tmp_path):
     spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
     got = {r.conv_id: r.matched for r in queries.QUERIES["conversation_multi_key"](spark, str(tmp_path)).collect()}
     assert got == {1: None, 2: None, 3: 1, 4: None}
+
+
+def test_audit_finds_near_copies_repeated_ids_and_invalid_sources(spark, tmp_path):
+    """The audit and the gate see what an audit of empty and exact copies calls ok."""
+    body = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, body, "src1"), (2, body + " end", "src1"), (3, "one two", "src2"), (3, "three four", "src2"), (4, " ", "src1"), (5, "five six", "bad"), (6, "seven", None), (7, body.upper(), "src3"), (8, "eight", "src1")]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = sorted((r.doc_id, r.verdict) for r in queries.QUERIES["public_audit_full"](spark, str(tmp_path)).collect())
+    assert got == [(1, "ok"), (2, "near_duplicate"), (3, "duplicate_id"), (3, "duplicate_id"), (4, "empty_text"), (5, "invalid_source"), (6, "invalid_source"), (7, "exact_duplicate"), (8, "ok")]
+    gate = {r.check_name: r.passed for r in queries.QUERIES["publish_gate_full"](spark, str(tmp_path)).collect()}
+    assert gate == {"no_duplicate_id": False, "no_empty_text": False, "no_invalid_source": False, "no_exact_duplicate": False, "no_near_duplicate": False, "no_toxic_label": True}
