@@ -42,13 +42,24 @@ def duplicate_rate(rows: DataFrame, group: str, key: Column) -> DataFrame:
     return groups.unionByName(whole).select("grp", "n_rows", "n_unique", (F.col("n_rows") - F.col("n_unique")).alias("n_duplicates"), F.round((F.col("n_rows") - F.col("n_unique")) / F.greatest(F.col("n_rows"), F.lit(1)), 6).alias("rate"))
 
 
+def cluster_members(rows: DataFrame, id_: str, key: Column) -> DataFrame:
+    """(cluster, id): all distinct ids of each key of more than one row; one row for each, no lists."""
+    named = rows.select(F.sha2(key.cast("binary"), 256).alias("cluster"), id_)
+    repeated = named.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("cluster")
+    return named.join(repeated, "cluster", "left_semi").distinct()
+
+
 def clusters(rows: DataFrame, id_: str, key: Column, preview: int = 5) -> DataFrame:
-    """Keys of more than one row: size, first member and a preview of the smallest members."""
-    return (
-        rows.groupBy(F.sha2(key.cast("binary"), 256).alias("cluster"))
-        .agg(F.count(F.lit(1)).alias("size"), F.min(id_).alias("first_member"), F.array_join(F.slice(F.array_sort(F.collect_set(id_)), 1, preview), ",").alias("members"))
-        .where("size > 1")
-    )
+    """Keys of more than one row: size, first member and a preview of the smallest members.
+
+    cluster_members() has all members; no task gathers a whole key here.
+    """
+    named = rows.select(F.sha2(key.cast("binary"), 256).alias("cluster"), id_, F.pmod(F.xxhash64(id_), F.lit(64)).alias("_p"))
+    found = named.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.min(id_).alias("first_member")).where("size > 1")
+    # Each part of a key gives its own smallest ids; the key's smallest are among them.
+    near = named.where(F.col(id_).isNotNull()).distinct().withColumn("_r", F.row_number().over(Window.partitionBy("cluster", "_p").orderBy(id_))).where(F.col("_r") <= preview)
+    shown = near.groupBy("cluster").agg(F.array_join(F.slice(F.array_sort(F.collect_list(id_)), 1, preview), ",").alias("members"))
+    return found.join(shown, "cluster", "left").select("cluster", "size", "first_member", F.coalesce("members", F.lit("")).alias("members"))
 
 
 def top_clusters(found: DataFrame, k: int = 20) -> DataFrame:

@@ -105,6 +105,11 @@ def response_clusters(spark, d):
     return reports.clusters(_docs(spark, d), "doc_id", _key())
 
 
+@query(f"with k as (select doc_id, {FP.format('text')} as cluster from documents) select distinct cluster, doc_id from k where cluster in (select cluster from k group by cluster having count(*) > 1)")
+def response_cluster_members(spark, d):
+    return reports.cluster_members(_docs(spark, d), "doc_id", _key())
+
+
 @query(f"select * from ({CLUSTERS}) order by size desc, first_member limit 20")
 def top_response_clusters(spark, d):
     return reports.top_clusters(reports.clusters(_docs(spark, d), "doc_id", _key()))

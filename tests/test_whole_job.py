@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from test_dedup import by_loop
 
 from marlstone import queries
-from marlstone.operators import dedup
+from marlstone.operators import dedup, reports
 
 
 def test_multi_key_accept_equals_the_loop(spark):
@@ -38,3 +38,12 @@ def test_audit_finds_near_copies_repeated_ids_and_invalid_sources(spark, tmp_pat
     assert got == [(1, "ok"), (2, "near_duplicate"), (3, "duplicate_id"), (3, "duplicate_id"), (4, "empty_text"), (5, "invalid_source"), (6, "invalid_source"), (7, "exact_duplicate"), (8, "ok")]
     gate = {r.check_name: r.passed for r in queries.QUERIES["publish_gate_full"](spark, str(tmp_path)).collect()}
     assert gate == {"no_duplicate_id": False, "no_empty_text": False, "no_invalid_source": False, "no_exact_duplicate": False, "no_near_duplicate": False, "no_toxic_label": True}
+
+
+def test_every_member_of_a_cluster_is_listed(spark):
+    df = spark.createDataFrame([(i, "same") for i in range(12)] + [(20, "other"), (21, "two"), (21, "two")], "doc_id long, text string")
+    got = [tuple(r) for r in reports.cluster_members(df, "doc_id", F.col("text")).select("doc_id").collect()]
+    assert sorted(got) == [(i,) for i in [*range(12), 21]]
+    found = reports.clusters(df, "doc_id", F.col("text"))
+    assert sorted(tuple(r)[1:] for r in found.collect()) == [(2, 21, "21"), (12, 0, "0,1,2,3,4")]
+    assert "collect_set" not in found._jdf.queryExecution().optimizedPlan().toString()
