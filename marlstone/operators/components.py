@@ -5,11 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.shared import materialise
-
-MAX_STEPS = 60
-#: A graph of at most so many edges is kept in one partition, where joins and aggregations need no exchange.
-SMALL = 200_000
+from ..sources.shared import discard, materialise
 
 
 def _pairs(df: DataFrame) -> DataFrame:
@@ -25,20 +21,20 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each step costs joins on the edge table only, whatever the shape of the
     components; their number grows with the logarithm of a component's size.
+    A node's smallest neighbour is aggregated (partially, before the shuffle)
+    and joined back, so that the planner can split the edges of a hub.
+    Loops, repeated and reversed edges change nothing; no edges, no rows.
     """
     now = materialise(_pairs(edges), "components")
     state = _state(now)
-    for _ in range(MAX_STEPS):
-        if state[0] <= SMALL:
-            now = now.coalesce(1)
+    while True:
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        both = both.coalesce(1) if state[0] <= SMALL else both
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = _pairs(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")))
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        now = materialise(_pairs(small.coalesce(1) if state[0] <= SMALL else small), "components")
+        before, now = now, materialise(_pairs(small), "components")
+        discard(before)
         last, state = state, _state(now)
         if state == last:
             return now.select(F.col("u").alias("node"), F.col("v").alias("comp")).union(now.select(F.col("v").alias("node"), F.col("v").alias("comp"))).distinct()
-    raise RuntimeError(f"components did not settle in {MAX_STEPS} steps")

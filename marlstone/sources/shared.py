@@ -25,13 +25,24 @@ def new_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, tag: str) -> DataFrame:
+def materialise(df: DataFrame, tag: str, by: str | None = None) -> DataFrame:
     """Write df to the shared folder and read it back.
 
     Cuts the lineage in a way that survives lost executors, and gives the
     optimizer the true size, so that it alone decides what to broadcast.
+    by: a column of few values, one folder for each, of which a filter reads only its own.
     """
     spark = df.sparkSession
     path = new_path(spark, tag)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    writer = df.write if by is None else df.write.partitionBy(by)
+    writer.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discard(written: DataFrame) -> None:
+    """Delete a table that materialise() wrote, once nothing reads it any more."""
+    spark = written.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(written._written_to)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
