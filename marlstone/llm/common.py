@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..sources.shared import materialise, new_path, shared_dir, table
+from ..sources.shared import discard, materialise, new_path, shared_dir, table
 
-__all__ = ["DOCUMENT_COLUMNS", "ascii_lower", "hold_out", "materialise", "new_path", "shared_dir", "table"]
+__all__ = ["DOCUMENT_COLUMNS", "ascii_lower", "discard", "hold_out", "materialise", "new_path", "shared_dir", "table"]
 
 #: Columns of the documents table, in order.
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")

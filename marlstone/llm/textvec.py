@@ -8,6 +8,7 @@ longer than that forms a block of its own.
 from __future__ import annotations
 
 import functools
+import hashlib
 
 import numpy as np
 
@@ -42,29 +43,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-BASE = 0x9E3779B97F4A7C15 | 1
-
-
-@functools.cache
-def byte_values() -> np.ndarray:
-    return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-
-
-_powers: dict[str, np.ndarray] = {}
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE ** i and BASE ** -i modulo 2 ** 64 for i in 0 .. n."""
-    if len(_powers.get("up", ())) <= n:
-        size = max(n + 1, BLOCK_BYTES + 1)
-        inverse = pow(BASE, -1, 1 << 64)
-        for name, b in (("up", BASE), ("down", inverse)):
-            p = np.full(size, np.uint64(b), dtype=np.uint64)
-            p[0] = 1
-            _powers[name] = np.cumprod(p)
-    return _powers["up"], _powers["down"]
-
-
 def buffers(column) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of an Arrow string or binary column; null counts as empty."""
     import pyarrow as pa
@@ -115,12 +93,30 @@ def spans(data: np.ndarray, offs: np.ndarray, separators: bytes) -> tuple[np.nda
     return starts, ends, np.searchsorted(starts, offs)
 
 
+#: Words of up to so many eight-byte lanes are hashed by numpy, longer ones one by one.
+LANES = 4
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word's bytes, the same wherever the word stands."""
-    up, down = powers(len(data))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(byte_values()[data] * up[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    """A 64-bit hash of each word's bytes, the same wherever the word stands.
+
+    Each lane is mixed in by a bijection that is no polynomial, so words of one
+    length of up to eight bytes never share a hash, and longer ones by chance only.
+    """
+    n = ends - starts
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    lanes = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    inside = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+    out = mix(n.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    for k in range(LANES):
+        live = slice(None) if k == 0 else np.flatnonzero(n > 8 * k)
+        if k and not len(live):
+            break
+        lane = lanes[starts[live] + 8 * k] & inside[np.minimum(n[live] - 8 * k, 8)]
+        out[live] = mix(out[live] ^ lane)
+    for i in np.flatnonzero(n > 8 * LANES):
+        out[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return out
 
 
 def shingles(hashes: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

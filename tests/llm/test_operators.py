@@ -70,20 +70,54 @@ def links(rows):
     return [(rows[i][0], len(sets[i]), min((x for x in groups[find(i)] if x is not None), default=None)) for i in range(len(rows))]
 
 
-@pytest.mark.parametrize("rounds", [0, 4])
-def test_ngram_join(spark, corpus, rounds):
-    got = ngramjoin.link_components(frame(spark, corpus), star_rounds=rounds).collect()
+@pytest.mark.parametrize("limits", [{}, {"TILE": 3, "CHUNK": 500, "REMEMBERED": 5}, {"BITS": 64, "CHUNK_ROWS": 7, "TRIE_SETS": 2}])
+def test_ngram_join(spark, corpus, limits, monkeypatch):
+    for name, value in limits.items():
+        monkeypatch.setattr(ngramjoin, name, value)
+    got = ngramjoin.link_components(frame(spark, corpus)).collect()
     expected = links(corpus)
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got if r.doc_id is not None) == Counter(e for e in expected if e[0] is not None)
+    assert [(r.n_shingles, r.component_id) for r in got if r.doc_id is None] == [e[1:] for e in expected if e[0] is None]
     assert ngramjoin.link_components(frame(spark, corpus).limit(0)).count() == 0
 
 
-def test_ngram_join_chain_beyond_representatives(spark):
-    """Sets that link only with their neighbours form one component."""
+@pytest.mark.parametrize("limits", [{}, {"TILE": 8, "BITS": 128, "REMEMBERED": 9}])
+def test_ngram_join_of_near_copies_about_the_threshold(spark, limits, monkeypatch):
+    """Groups in which some pairs link and others just fail to, and chains that link only with their neighbours."""
+    for name, value in limits.items():
+        monkeypatch.setattr(ngramjoin, name, value)
+    rng, rows = random.Random(8), []
+    for g in range(4):
+        base = [f"g{g}w{i}" for i in range(60)]
+        for _ in range(30):
+            own = list(base)
+            for at in rng.sample(range(60), rng.randint(0, 4)):
+                own[at] = f"x{rng.randrange(40)}"
+            rows.append((len(rows), " ".join(own), "en", "s"))
     base = [f"w{i}" for i in range(80)]
-    rows = [(i, " ".join(base[i * 6 : i * 6 + 44]), "en", "s") for i in range(6)]
+    rows += [(900 + i, " ".join(base[i * 6 : i * 6 + 44]), "en", "s") for i in range(6)]
     got = {r.doc_id: r.component_id for r in ngramjoin.link_components(frame(spark, rows)).collect()}
-    assert got == {d: c for d, _, c in links(rows)}
+    expected = {d: c for d, _, c in links(rows)}
+    assert got == expected and len(set(expected.values())) > 8
+
+
+def test_words_that_a_polynomial_confuses_stay_apart(spark):
+    """Thue-Morse words and their complements have one hash under any polynomial modulo a power of two."""
+    rows = []
+    for bits in (9, 10, 11, 12):
+        word = "".join("ab"[i.bit_count() % 2] for i in range(1 << bits))
+        rows += [(len(rows), word, "en", "s"), (len(rows) + 1, word.translate(str.maketrans("ab", "ba")), "en", "s")]
+    got = {r.doc_id: r.component_id for r in ngramjoin.link_components(frame(spark, rows)).collect()}
+    assert got == {i: i for i in range(8)}
+
+
+def test_packed_arrays_come_back():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 5, 1000):
+        h = np.sort(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+        small = rng.integers(0, 300, n).astype(np.uint64)
+        back = ngramjoin.sort_unpack(ngramjoin.sort_pack(h, small))
+        assert np.array_equal(back[0], h) and np.array_equal(back[1], small)
 
 
 def test_trie_join_is_exact():
@@ -92,7 +126,7 @@ def test_trie_join_is_exact():
         sets = [np.sort(rng.choice(40, rng.integers(1, 30), replace=False)).astype(np.uint64) for _ in range(12)]
         probe = sets[0]
         expected = {i for i, s in enumerate(sets) if 100 * len(np.intersect1d(s, probe)) >= 75 * len(np.union1d(s, probe))}
-        assert {i for i, _ in ngramjoin.trie_join(probe, sets, step=int(rng.integers(1, 9)))} == expected
+        assert {i for i, _ in ngramjoin.trie_join(probe, len(probe), sets, [len(s) for s in sets], step=int(rng.integers(1, 9)))} == expected
 
 
 def test_one_of_each_stage(spark, corpus):
