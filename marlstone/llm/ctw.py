@@ -9,24 +9,25 @@ more; that number does not depend on the size of the corpus.  Each context has
 one further child for all other continuations.
 
 A path is a context's bytes, the newest first, in one number; with the byte that
-follows it is a key.  One pass counts the keys of all texts, and a table holds
-their sums.  It is dealt out by the TOP newest bytes, so that a task has whole
-subtrees (of 256 ** (DEPTH - TOP) contexts at most); a task sums up the
-weights of its subtrees for their parents, the driver weighs the contexts
-shorter than TOP bytes, and a second pass over the subtrees gives each key that
-occurs in any text its probability.  Keys that make up at least one SHARE-th of
-all places (so SHARE of them at most) are broadcast, which saves work and
-changes nothing; the others are joined.
+follows it is a key.  One pass counts the keys of all texts and sends them,
+packed, to the task of their range, a hash of the TOP newest bytes, so that a
+task has whole subtrees (of 256 ** (DEPTH - TOP) contexts at most).  It sums up
+the weights of its subtrees for their parents, the driver weighs the contexts
+shorter than TOP bytes, and a second pass over the packed keys gives each key
+that occurs in any text its probability.  Keys that make up at least one
+SHARE-th of all places (so SHARE of them at most) are broadcast, which saves
+work and changes nothing; the others are looked up by range, and what returns
+is one sum for each text and range.
 
 Base: a unigram model with add-one smoothing over words cut at ASCII white space, and one end for each text.
 Words are identified by 64-bit hashes.  Counts of words that make up at least
 one FREQUENT-th of the training tokens (so FREQUENT of them at most) are
-broadcast; the others are joined.
+broadcast; the others are looked up by range like keys.
 
 Edge cases: null text counts as empty, which is one end; with no training text
 every byte has probability 1/2 ** 8 and every token 1; a null id is scored and, its crc32 being
 that of the empty text, learned from; repeated rows each keep their row;
-input columns named like an output are replaced.
+input columns named like an output are replaced; a very long text is scored whole in one task.
 """
 
 from __future__ import annotations
@@ -37,7 +38,8 @@ from pyspark.sql import functions as F
 
 from . import arrays
 from .common import hold_out, materialise, table
-from .textvec import SPACE_BYTES, blocks, lower_table, spans, word_hashes
+from .packing import pack, sort_pack, sort_unpack, unpack
+from .textvec import SPACE_BYTES, blocks, lower_table, mix, pieces, spans, word_hashes
 
 DEPTH = 5
 LEAST = 2
@@ -45,6 +47,9 @@ TOP = 3
 SHARE = 1 << 21
 FREQUENT = 1 << 18
 HALF = float(np.log(0.5))
+#: Ranges of keys for each shuffle partition; entries and rows that a task gathers before it sends them on, about.
+RANGES = 4
+GATHERED, GATHERED_ROWS = 1 << 21, 50_000
 #: Log probabilities are summed as whole numbers of this fraction, so that no order of summing shows.
 UNIT = 1 << 30
 
@@ -254,48 +259,97 @@ def places(data: np.ndarray, offs: np.ndarray, depth: int) -> tuple[np.ndarray,
     return keys[real], np.concatenate(([0], np.cumsum(np.diff(offs) + 1)))
 
 
-def _count_keys(depth: int):
-    """(key, n, m) of this task: how often each key occurs in the texts that are learned from, and in all."""
+class _Counts:
+    """Counts of numbers, merged when there are many."""
 
-    def run(batches):
-        import pyarrow as pa
+    def __init__(self):
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
 
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+    def add(self, values: np.ndarray) -> bool:
+        """Whether there is enough to send on."""
+        self.held.append(np.unique(values, return_counts=True))
+        self.size += len(self.held[-1][0])
+        if self.size > 2 * GATHERED:
+            self.held = [self.merged()]
+            self.size = len(self.held[0][0])
+        return self.size > GATHERED
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            key, at = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-            return key, np.bincount(at, np.concatenate([h[1] for h in held])).astype(np.int64)
+    def merged(self) -> tuple[np.ndarray, np.ndarray]:
+        value, at = np.unique(np.concatenate([h[0] for h in self.held]), return_inverse=True)
+        return value, np.bincount(at, np.concatenate([h[1] for h in self.held])).astype(np.int64)
 
-        size = 0
-        for batch in batches:
+
+PACKED = "range int, chunk long, kind int, body binary"
+
+
+def _packed(rows: list[tuple]):
+    import pyarrow as pa
+
+    kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary())
+    cols = zip(*rows, strict=True) if rows else ((),) * 4
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["range", "chunk", "kind", "body"])
+
+
+def by_range(values: np.ndarray, ranges: int, of: np.ndarray):
+    """(range, indices) of sorted values; of: what decides their range."""
+    of = (mix(of.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.int64) % ranges
+    order = np.argsort(of, kind="stable")
+    edges = np.searchsorted(of[order], np.arange(ranges + 1))
+    for r in np.flatnonzero(np.diff(edges)):
+        yield int(r), order[edges[r] : edges[r + 1]]
+
+
+def _count_keys(depth: int, top: int, ranges: int):
+    """For each range this task's keys, how often they occur in the texts that are learned from, and in all."""
+
+    def run(batches):
+        counts = _Counts()
+
+        def send():
+            both, c = counts.merged()
+            key, at = np.unique(both >> 1, return_inverse=True)
+            n, m = np.bincount(at, c * (both & 1)).astype(np.uint64), np.bincount(at, c).astype(np.uint64)
+            yield _packed([(r, 0, 0, sort_pack(key[i].astype(np.uint64), n[i], m[i])) for r, i in by_range(key, ranges, key >> 8 * (depth - top + 1))])
+
+        for batch in pieces(batches, "text"):
             learn = batch.column("learn").to_numpy(zero_copy_only=False).astype(np.int64)
             for row, n, data, offs in blocks(batch.column("text"), 1 << 22):
                 keys, first = places(data, offs, depth)
-                held.append(np.unique(keys << 1 | np.repeat(learn[row : row + n], np.diff(first)), return_counts=True))
-                size += len(held[-1][0])
-                if size > 1 << 22:
-                    held = [merged()]
-                    size = 0
-        if held:
-            key, n = merged()
-            for i in range(0, len(key), 100_000):
-                k, c = key[i : i + 100_000], n[i : i + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(k >> 1), pa.array(c * (k & 1)), pa.array(c)], names=["key", "n", "m"])
+                if counts.add(keys << 1 | np.repeat(learn[row : row + n], np.diff(first))):
+                    yield from send()
+                    counts = _Counts()
+        if counts.held:
+            yield from send()
 
     return run
 
 
-def _subtrees(batches, depth: int, top: int):
-    """(keys, n, m, nodes, counts, up) of this task's keys, some whole subtrees at a time.
+def _ranges(batches, kinds: tuple = (0,)):
+    """Rows sorted by range -> (range, for each kind the (chunk, unpacked body) of its rows)."""
+    range_, parts = None, {k: [] for k in kinds}
+    for batch in batches:
+        for r, chunk, kind, body in zip(*(batch.column(c).to_pylist() for c in ("range", "chunk", "kind", "body")), strict=True):
+            if r != range_:
+                if range_ is not None:
+                    yield range_, parts
+                range_, parts = r, {k: [] for k in kinds}
+            parts[kind].append((chunk, sort_unpack(body)))
+    if range_ is not None:
+        yield range_, parts
+
+
+def summed_keys(parts: list) -> list[np.ndarray]:
+    """The distinct keys of all parts, and the sums of what belongs to them."""
+    key, at = np.unique(np.concatenate([p[1][0] for p in parts]), return_inverse=True)
+    return [key, *(np.bincount(at, np.concatenate([p[1][k] for p in parts])).astype(np.uint64) for k in range(1, len(parts[0][1])))]
+
+
+def _parts(keys: np.ndarray, n: np.ndarray, depth: int, top: int):
+    """(slice, nodes, counts, up) of sorted keys, some whole subtrees at a time.
 
     nodes: for each depth from top on the node of each key's context there, -1 if it is not kept.
     """
-    found = [[batch.column(c).to_numpy() for c in ("key", "n", "m")] for batch in batches]
-    if not found:
-        return
-    keys, n, m = (np.concatenate(c) for c in zip(*found, strict=True))
-    order = np.argsort(keys)
-    keys, n, m = keys[order], n[order], m[order]
     edges = np.append(np.flatnonzero(np.diff(keys >> 8 * (depth - top + 1), prepend=-1)), len(keys))
     i = 0
     while i < len(edges) - 1:
@@ -314,123 +368,199 @@ def _subtrees(batches, depth: int, top: int):
             start = np.unique(node[seen], return_index=True)[1]
             up.append((nodes[-1] if nodes else np.zeros(len(node), np.int64))[seen][start])
             nodes.append(node)
-        yield keys[part], n[part], m[part], nodes, counts, up
+        yield part, nodes, counts, up
+
 
+GROWN = "kind int, range int, idx long, v double, body binary"
+KEYS, BELOW, SHORT, SPLIT, PLACES = range(5)
 
-def _weights(short, depth: int, top: int):
-    """This task's sums over the subtrees of each context one byte shorter than top: counts, and log weighted probabilities."""
+
+def _grow(depth: int, top: int):
+    """For each range its keys with their sums (KEYS); and what the driver needs for shorter contexts, by path and byte or decision.
+
+    BELOW and SPLIT: sums of counts and log weighted probabilities over the subtrees of a context; SHORT: its own counts; PLACES: of all texts.
+    """
+
+    def numbers(range_: int, kind: int, idx: np.ndarray, v: np.ndarray):
+        import pyarrow as pa
+
+        idx, at = np.unique(idx, return_inverse=True)
+        v = np.bincount(at, v)
+        for i in range(0, len(idx), 100_000):
+            k = len(idx[i : i + 100_000])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([kind] * k, pa.int32()), pa.array([range_] * k, pa.int32()), pa.array(idx[i : i + k].astype(np.int64)), pa.array(v[i : i + k].astype(np.float64)), pa.nulls(k, pa.binary())],
+                names=["kind", "range", "idx", "v", "body"],
+            )
 
     def run(batches):
-        from pyspark import TaskContext
+        import pyarrow as pa
 
-        paths = short.value
-        total = np.zeros((2, len(paths), 256))
-        for keys, _, _, nodes, counts, up in _subtrees(batches, depth, top):
-            if not len(counts[0]):
-                continue
-            level = climb([*[None] * top, *counts], [*[None] * top, *up], top)[0]
-            start = np.unique(nodes[0][nodes[0] >= 0], return_index=True)[1]
-            parent = np.searchsorted(paths, (keys[nodes[0] >= 0][start]) >> 8 * (depth - top + 2))
-            np.add.at(total[0], parent, level[0])
-            np.add.at(total[1], parent, level[3])
-        yield arrays.partial(total.ravel(), TaskContext.get().partitionId())
+        for range_, parts in _ranges(batches):
+            keys, n, m = summed_keys(parts[0])
+            yield pa.RecordBatch.from_arrays([pa.array([KEYS], pa.int32()), pa.array([range_], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.float64()), pa.array([sort_pack(keys, n, m)], pa.binary())], names=["kind", "range", "idx", "v", "body"])
+            keys, n = keys.astype(np.int64), n.astype(np.float64)
+            yield from numbers(range_, PLACES, np.zeros(1, np.int64), np.array([float(m.sum())]))
+            short = 8 * (depth - top + 2)
+            if (n > 0).any():
+                yield from numbers(range_, SHORT, (keys >> short << 8 | keys & 255)[n > 0], n[n > 0])
+            found: dict[int, list] = {BELOW: [], SPLIT: []}
+            for part, nodes, counts, up in _parts(keys, n, depth, top):
+                if not len(counts[0]):
+                    continue
+                level = climb([*[None] * top, *counts], [*[None] * top, *up], top)[0]
+                start = np.unique(nodes[0][nodes[0] >= 0], return_index=True)[1]
+                path = keys[part][nodes[0] >= 0][start] >> short
+                for kind, values in ((BELOW, level[0]), (SPLIT, level[3])):
+                    node, col = np.nonzero(values)
+                    found[kind].append((path[node] << 8 | col, values[node, col]))
+            for kind, some in found.items():
+                if some:
+                    yield from numbers(range_, kind, *(np.concatenate(c) for c in zip(*some, strict=True)))
 
     return run
 
 
 def _codes(model, depth: int, top: int):
-    """(key, m, code) of this task's keys: their probabilities after their longest contexts."""
+    """For each range its keys, their occurrences in all texts, and their probabilities after their longest contexts (in negative UNITs)."""
 
     def run(batches):
-        import pyarrow as pa
-
         shorter, mixed, left = model.value
-        for keys, _, m, nodes, counts, up in _subtrees(batches, depth, top):
-            code = np.zeros(len(keys), np.float32)
-            for d, (paths, codes) in enumerate(shorter):
-                path = keys >> 8 * (depth - d + 1)
-                at = np.minimum(np.searchsorted(paths, path), len(paths) - 1)
-                hit = paths[at] == path if len(paths) else np.zeros(len(keys), bool)
-                code[hit] = codes[at[hit], keys[hit] & 255]
-            if len(counts[0]):
-                levels = climb([*[None] * top, *counts], [*[None] * top, *up], top)
-                start = np.unique(nodes[0][nodes[0] >= 0], return_index=True)[1]
-                up[0] = np.searchsorted(shorter[-1][0], keys[nodes[0] >= 0][start] >> 8 * (depth - top + 2))
-                for node, codes in zip(nodes, descend(levels, [*[None] * top, *up], mixed, left, top), strict=True):
-                    code[node >= 0] = codes[node[node >= 0], keys[node >= 0] & 255]
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(m), pa.array(np.rint(code.astype(np.float64) * UNIT).astype(np.int64))], names=["key", "m", "code"])
+        for batch in batches:
+            for range_, body in zip(batch.column("range").to_pylist(), batch.column("body").to_pylist(), strict=True):
+                keys, n, m = sort_unpack(body)
+                keys, n = keys.astype(np.int64), n.astype(np.float64)
+                code = np.zeros(len(keys), np.float32)
+                for d, (paths, codes) in enumerate(shorter):
+                    path = keys >> 8 * (depth - d + 1)
+                    at = np.minimum(np.searchsorted(paths, path), len(paths) - 1)
+                    hit = paths[at] == path if len(paths) else np.zeros(len(keys), bool)
+                    code[hit] = codes[at[hit], keys[hit] & 255]
+                for part, nodes, counts, up in _parts(keys, n, depth, top):
+                    if len(counts[0]):
+                        levels = climb([*[None] * top, *counts], [*[None] * top, *up], top)
+                        start = np.unique(nodes[0][nodes[0] >= 0], return_index=True)[1]
+                        up[0] = np.searchsorted(shorter[-1][0], keys[part][nodes[0] >= 0][start] >> 8 * (depth - top + 2))
+                        for node, codes in zip(nodes, descend(levels, [*[None] * top, *up], mixed, left, top), strict=True):
+                            code[part][node >= 0] = codes[node[node >= 0], keys[part][node >= 0] & 255]
+                yield _packed([(range_, 0, 0, sort_pack(keys.astype(np.uint64), m, np.rint(-code.astype(np.float64) * UNIT).astype(np.uint64)))])
 
     return run
 
 
-def key_codes(texts: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(key, m, code) of each key of texts (text, learn): its occurrences, and log10 of its probability in UNITs."""
+def _partitions(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _dealt(packed: DataFrame) -> DataFrame:
+    return packed.repartition(_partitions(packed.sparkSession), "range").sortWithinPartitions("range", "kind")
+
+
+def key_codes(texts: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, int]:
+    """The keys of texts (text, learn) with their codes as PACKED rows by range, and the number of their places."""
     spark = texts.sparkSession
     top = min(TOP, depth)
-    counted = texts.mapInArrow(_count_keys(depth), "key long, n long, m long")
-    counted = materialise(counted.groupBy("key").agg(F.sum("n").alias("n"), F.sum("m").alias("m")), "ctw-keys")
+    counted = texts.mapInArrow(_count_keys(depth, top, RANGES * _partitions(spark)), PACKED)
+    grown = materialise(_dealt(counted).mapInArrow(_grow(depth, top), GROWN), "ctw-keys", "kind")
     # Contexts shorter than top bytes: 256 ** (top - 1) at most, whatever the corpus.
-    short = counted.where("n > 0").groupBy(F.expr(f"shiftright(key, {8 * (depth - top + 2)})").alias("path"), F.expr("key & 255").alias("byte")).agg(F.sum("n").alias("n")).toArrow()
-    path, byte, n = (short[c].to_numpy() for c in ("path", "byte", "n"))
+    known = grown.where(F.col("kind") != KEYS).groupBy("kind", "idx").agg(F.sum("v").alias("v")).toArrow()
+    kind, idx, v = (known[c].to_numpy() for c in ("kind", "idx", "v"))
+    path, byte, n = idx[kind == SHORT] >> 8, idx[kind == SHORT] & 255, v[kind == SHORT]
     paths, counts, up = [], [], []
     for d in range(top):
         at = path >> 8 * (top - 1 - d)
-        known, of = np.unique(at, return_inverse=True)
-        kept = np.bincount(of, n, len(known)) >= LEAST if d else np.ones(len(known), bool)
-        if d == 0 and not len(known):
-            known, kept = np.zeros(1, np.int64), np.ones(1, bool)
-        known = known[kept]
-        node = np.minimum(np.searchsorted(known, at), max(len(known) - 1, 0))
-        seen = known[node] == at if len(known) else np.zeros(len(at), bool)
-        paths.append(known)
-        counts.append(np.bincount(node[seen] << 8 | byte[seen], n[seen], len(known) << 8).reshape(len(known), 256))
-        up.append(np.searchsorted(paths[d - 1], known >> 8) if d else np.zeros(1, np.int64))
-    dealt = counted.withColumn("_top", F.expr(f"shiftright(key, {8 * (depth - top + 1)})")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "_top").drop("_top")
+        names, of = np.unique(at, return_inverse=True)
+        kept = np.bincount(of, n, len(names)) >= LEAST if d else np.ones(len(names), bool)
+        if d == 0 and not len(names):
+            names, kept = np.zeros(1, np.int64), np.ones(1, bool)
+        names = names[kept]
+        node = np.minimum(np.searchsorted(names, at), max(len(names) - 1, 0))
+        seen = names[node] == at if len(names) else np.zeros(len(at), bool)
+        paths.append(names)
+        counts.append(np.bincount(node[seen] << 8 | byte[seen], n[seen], len(names) << 8).reshape(len(names), 256))
+        up.append(np.searchsorted(paths[d - 1], names >> 8) if d else np.zeros(1, np.int64))
     n_last = len(paths[-1])
-    sums = arrays.merged(dealt.mapInArrow(_weights(spark.sparkContext.broadcast(paths[-1]), depth, top), arrays.SCHEMA), int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * n_last << 8, np.float64, np.add)
+    sums = np.zeros((2, n_last << 8))
+    for k, which in enumerate((BELOW, SPLIT)):
+        own = kind == which
+        # A context of which a child is kept is kept itself.
+        sums[k][np.searchsorted(paths[-1], idx[own] >> 8) << 8 | idx[own] & 255] = v[own]
     below, split = sums.reshape(2, n_last, 256)
     levels, state = climb(counts, up, 0, below, split), []
     codes = descend(levels, up, np.zeros((1, 256)), np.ones((1, 256)), 0, False, state)
     model = spark.sparkContext.broadcast((list(zip(paths, codes, strict=True)), *state))
-    return materialise(dealt.mapInArrow(_codes(model, depth, top), "key long, m long, code long"), "ctw-codes")
+    coded = grown.where(F.col("kind") == KEYS).select("range", "body").mapInArrow(_codes(model, depth, top), PACKED)
+    return materialise(coded, "ctw-codes"), int(v[kind == PLACES].sum())
 
 
 def _tokens(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     data = lower_table()[data]
     starts, ends, first = spans(data, offs, SPACE_BYTES)
-    return word_hashes(data, starts, ends).view(np.int64), first
+    return word_hashes(data, starts, ends), first
 
 
-def _count_words(batches):
-    import pyarrow as pa
+def _count_words(ranges: int):
+    """For each range the words (as hashes) of this task, and how often they occur."""
 
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    def run(batches):
+        counts = _Counts()
 
-    def merged() -> tuple[np.ndarray, np.ndarray]:
-        word, at = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-        return word, np.bincount(at, np.concatenate([h[1] for h in held])).astype(np.int64)
+        def send():
+            word, n = counts.merged()
+            yield _packed([(r, 0, 0, sort_pack(word[i], n[i].astype(np.uint64))) for r, i in by_range(word, ranges, word)])
+
+        for batch in pieces(batches, "text"):
+            for _, _, data, offs in blocks(batch.column("text")):
+                if counts.add(_tokens(data, offs)[0]):
+                    yield from send()
+                    counts = _Counts()
+        if counts.held:
+            yield from send()
+
+    return run
+
+
+def _sum_words(batches):
+    for range_, parts in _ranges(batches):
+        word, n = summed_keys(parts[0])
+        yield _packed([(range_, int(n.sum()), len(word), sort_pack(word, n))])
+
+
+def word_counts(texts: DataFrame) -> tuple[DataFrame, int, int]:
+    """Each word of texts (as a hash) and how often it occurs, as PACKED rows by range; all occurrences, and the number of words."""
+    counted = texts.mapInArrow(_count_words(RANGES * _partitions(texts.sparkSession)), PACKED)
+    words = materialise(_dealt(counted).mapInArrow(_sum_words, PACKED), "ctw-words")
+    seen, distinct = words.agg(F.coalesce(F.sum("chunk"), F.lit(0)), F.coalesce(F.sum("kind"), F.lit(0))).first()
+    return words.withColumns({"chunk": F.lit(0).cast("long"), "kind": F.lit(0)}), seen, distinct
 
-    size = 0
-    for batch in batches:
-        for _, _, data, offs in blocks(batch.column("text")):
-            held.append(np.unique(_tokens(data, offs)[0], return_counts=True))
-            size += len(held[-1][0])
-            if size > 1 << 21:
-                held, size = [merged()], 0
-    if held:
-        word, n = merged()
-        for i in range(0, len(word), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(word[i : i + 100_000]), pa.array(n[i : i + 100_000])], names=["word", "n"])
 
+def often(packed: DataFrame, least: float) -> list[np.ndarray]:
+    """Of PACKED rows (key, occurrences, ...) those that occur at least so often, in the order of their keys."""
+
+    def run(batches):
+        for batch in batches:
+            for body in batch.column("body").to_pylist():
+                key, n, *rest = sort_unpack(body)
+                keep = n >= least
+                if keep.any():
+                    yield _packed([(0, 0, 0, sort_pack(key[keep], n[keep], *(x[keep] for x in rest)))])
+
+    found = [sort_unpack(r.body) for r in packed.mapInArrow(run, PACKED).select("body").collect()]
+    if not found:
+        return [np.zeros(0, np.uint64)] * 3
+    cols = [np.concatenate(c) for c in zip(*found, strict=True)]
+    order = np.argsort(cols[0])
+    return [c[order] for c in cols]
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """(word, n): how often each word (as its hash) occurs in all texts."""
-    counted = texts.mapInArrow(_count_words, "word long, n long")
-    return materialise(counted.groupBy("word").agg(F.sum("n").alias("n")), "ctw-words")
 
+def _lookup(table_: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each value its place in the sorted table, and whether it is there."""
+    at = np.minimum(np.searchsorted(table_, values), max(len(table_) - 1, 0))
+    return at, table_[at] == values if len(table_) else np.zeros(len(values), bool)
 
-def _score(cache, depth: int, frequent, total: float):
-    """Each row's frequent keys by their codes, its frequent words by their counts; and its other keys and the hashes of its other words."""
+
+def _score(cache, frequent, total: float, depth: int, top: int, ranges: int, kept: list[str]):
+    """Rows (kind 0) with what the frequent keys and words give; and by range the other keys (kind 1) and words (kind 2) of the texts."""
 
     def run(batches):
         import pyarrow as pa
@@ -438,36 +568,95 @@ def _score(cache, depth: int, frequent, total: float):
 
         cached, codes = cache.value
         words, counts = frequent.value
-        gain = np.log10((counts + 1) / total)
+        gain = np.append(np.log10((counts + 1) / total), 0.0)
+        codes = np.append(codes, 0)
         row = TaskContext.get().partitionId() << 40
-
-        def lists(found):
-            offsets = np.concatenate(([0], np.cumsum([len(r) for r in found]))).astype(np.int32)
-            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found) if found else np.zeros(0, np.int64)))
-
-        for batch in batches:
-            scores, base, known, tokens, rare, rest = [], [], [], [], [], []
-            for _, _, data, offs in blocks(batch.column("_text"), 1 << 22):
+        chunk, posts, size = row, {1: [], 2: []}, 0
+        schema = None
+
+        def send():
+            rows = []
+            for kind, found in posts.items():
+                value, of = (np.concatenate(c) for c in zip(*found, strict=True)) if found else ((), ())
+                if not len(value):
+                    continue
+                order = np.lexsort((of, value))
+                value, of = value[order], of[order]
+                fresh = np.flatnonzero(np.concatenate(([True], (value[1:] != value[:-1]) | (of[1:] != of[:-1]))))
+                n = np.diff(np.append(fresh, len(value)))
+                value, of = value[fresh], of[fresh]
+                rows += [(r, chunk, kind, sort_pack(value[i], of[i].astype(np.uint64), n[i].astype(np.uint64))) for r, i in by_range(value, ranges, value >> np.uint64(8 * (depth - top + 1)) if kind == 1 else value)]
+            packed = _packed(rows)
+            by = dict(zip(packed.schema.names, packed.columns, strict=True)) | {"kind": packed.column("kind")}
+            return pa.RecordBatch.from_arrays([by[f.name] if f.name in by else pa.nulls(packed.num_rows, f.type) for f in schema], schema=schema)
+
+        for batch in pieces(batches, "_text"):
+            scores, base, known, tokens = [], [], [], []
+            for begin, n, data, offs in blocks(batch.column("_text"), 1 << 22):
                 keys, first = places(data, offs, depth)
-                at = np.minimum(np.searchsorted(cached, keys), max(len(cached) - 1, 0))
-                hit = cached[at] == keys if len(cached) else np.zeros(len(keys), bool)
-                sums = np.concatenate(([0], np.cumsum(np.where(hit, codes[at], 0) if len(cached) else np.zeros(len(keys), np.int64))))
+                of = row + begin - chunk + np.repeat(np.arange(n), np.diff(first))
+                keys = keys.astype(np.uint64)
+                at, hit = _lookup(cached, keys)
+                sums = np.concatenate(([0], np.cumsum(np.where(hit, codes[at], 0))))
                 scores.append(sums[first[1:]] - sums[first[:-1]])
-                rest += [keys[a:b][~hit[a:b]] for a, b in zip(first[:-1], first[1:], strict=True)]
+                posts[1].append((keys[~hit], of[~hit]))
                 hashes, first = _tokens(data, offs)
-                at = np.minimum(np.searchsorted(words, hashes), max(len(words) - 1, 0))
-                hit = words[at] == hashes if len(words) else np.zeros(len(hashes), bool)
-                sums = np.concatenate(([0.0], np.cumsum(np.where(hit, gain[at], 0.0) if len(words) else np.zeros(len(hashes)))))
+                of = row + begin - chunk + np.repeat(np.arange(n), np.diff(first))
+                at, hit = _lookup(words, hashes)
+                sums = np.concatenate(([0.0], np.cumsum(np.where(hit, gain[at], 0.0))))
                 hits = np.concatenate(([0], np.cumsum(hit)))
                 base.append(sums[first[1:]] - sums[first[:-1]])
                 known.append(hits[first[1:]] - hits[first[:-1]])
                 tokens.append(np.diff(first))
-                rare += [hashes[a:b][~hit[a:b]] for a, b in zip(first[:-1], first[1:], strict=True)]
+                posts[2].append((hashes[~hit], of[~hit]))
+                size += len(posts[1][-1][0]) + len(posts[2][-1][0])
             join = lambda parts, kind: pa.array(np.concatenate(parts) if parts else np.zeros(0), kind)
-            new = [pa.array(row + np.arange(batch.num_rows), pa.int64()), join(tokens, pa.int64()), join(known, pa.int64()), join(base, pa.float64()), join(scores, pa.int64()), lists(rare), lists(rest)]
-            row += batch.num_rows
-            keep = [i for i, name in enumerate(batch.schema.names) if name != "_text"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), *new], names=[*(batch.schema.names[i] for i in keep), "_row", "_tokens", "_known", "_base", "_score", "_rare", "_rest"])
+            k = batch.num_rows
+            new = {
+                "kind": pa.array(np.zeros(k, np.int32)), "range": pa.nulls(k, pa.int32()), "chunk": pa.nulls(k, pa.int64()), "body": pa.nulls(k, pa.binary()), "_row": pa.array(row + np.arange(k), pa.int64()),
+                "_tokens": join(tokens, pa.int64()), "_known": join(known, pa.int64()), "_base": join(base, pa.float64()), "_score": join(scores, pa.int64()),
+            }
+            row += k
+            out = pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *new.values()], names=[*(f"c{i}" for i in range(len(kept))), *new])
+            schema = out.schema
+            yield out
+            if size > GATHERED or row - chunk > GATHERED_ROWS:
+                yield send()
+                chunk, posts, size = row, {1: [], 2: []}, 0
+        if schema is not None:
+            yield send()
+
+    return run
+
+
+def _met(total: float):
+    """PACKED rows of codes (kind 0), words (kind 3) and of what texts ask (kinds 1 and 2) -> (row, score, base, known)."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        none = float(np.log10(1 / total))
+        for _, parts in _ranges(batches, (0, 1, 2, 3)):
+            for asked, told in ((1, 0), (2, 3)):
+                if not parts[asked]:
+                    continue
+                table_ = [np.concatenate(c) for c in zip(*(p[1] for p in parts[told]), strict=True)] if parts[told] else [np.zeros(0, np.uint64)] * 3
+                order = np.argsort(table_[0])
+                table_ = [c[order] for c in table_]
+                for chunk, (value, of, n) in parts[asked]:
+                    at, hit = _lookup(table_[0], value)
+                    rows, back = np.unique(of, return_inverse=True)
+                    rows = chunk + rows.astype(np.int64)
+                    if asked == 1:
+                        score = np.zeros(len(rows), np.int64)
+                        np.add.at(score, back, np.where(hit, table_[2][at] if len(table_[0]) else 0, 0).astype(np.int64) * n.astype(np.int64))
+                        base, known = np.zeros(len(rows)), np.zeros(len(rows), np.int64)
+                    else:
+                        gain = np.where(hit, np.log10((table_[1][at].astype(np.float64) + 1) / total), none) if len(table_[0]) else np.full(len(value), none)
+                        base = np.bincount(back, gain * n, len(rows))
+                        known = np.bincount(back, hit * n, len(rows)).astype(np.int64)
+                        score = np.zeros(len(rows), np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(score), pa.array(base), pa.array(known)], names=["_row", "score", "base", "known"])
 
     return run
 
@@ -478,40 +667,36 @@ def score(documents: DataFrame, depth: int = DEPTH, share: int = SHARE) -> DataF
     made = ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
     keep = [c for c in documents.columns if c not in made]
     learn = documents.where(~hold_out("doc_id", 7, 2)).select("text")
-    keys = key_codes(documents.select("text", (~hold_out("doc_id", 7, 2)).alias("learn")), depth)
-    words = word_counts(learn)
-    seen, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    codes, n_places = key_codes(documents.select("text", (~hold_out("doc_id", 7, 2)).alias("learn")), depth)
+    words, seen, distinct = word_counts(learn)
     ends = learn.count()
     n, v = seen + ends, distinct + (ends > 0)
     total = float(n + v + 1)
-    often = F.col("n") >= n / FREQUENT
-    top = words.where(often).toArrow().sort_by("word")  # FREQUENT rows at most
-    frequent = spark.sparkContext.broadcast((top["word"].to_numpy(), top["n"].to_numpy().astype(np.float64)))
-    n_places = keys.agg(F.coalesce(F.sum("m"), F.lit(0))).first()[0]
-    common = F.col("m") >= n_places / share
-    top = keys.where(common).select("key", "code").toArrow().sort_by("key")  # share rows at most
-    cache = spark.sparkContext.broadcast((top["key"].to_numpy(), top["code"].to_numpy()))
-    rows = documents.select(*keep, F.col("text").alias("_text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text")
-    scored = rows.mapInArrow(_score(cache, depth, frequent, total), fields + ", _row long, _tokens long, _known long, _base double, _score long, _rare array<long>, _rest array<long>")
-    scored = materialise(scored, "ctw-scored")
-    posted = scored.select("_row", F.explode("_rare").alias("word"))
-    met = posted.join(words.where(~often), "word", "left")
-    gain = F.log10((F.coalesce(F.col("n"), F.lit(0)) + 1) / F.lit(total))
-    rare = met.groupBy("_row").agg(F.sum(gain).alias("_rare_base"), F.count("n").alias("_rare_known"))
-    rest = scored.select("_row", F.explode("_rest").alias("key")).join(keys.where(~common).select("key", "code"), "key").groupBy("_row").agg(F.sum("code").alias("_rest_score"))
+    word, count = often(words, n / FREQUENT)[:2]  # FREQUENT at most
+    frequent = spark.sparkContext.broadcast((word, count.astype(np.float64)))
+    key, _, code = often(codes, n_places / share)  # share at most
+    cache = spark.sparkContext.broadcast((key, code.astype(np.int64)))
+    rows = documents.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)], F.col("text").alias("_text"))
+    fields = "".join(f"c{i} {documents.schema[c].dataType.simpleString()}, " for i, c in enumerate(keep))
+    made_by_row = "kind int, range int, chunk long, body binary, _row long, _tokens long, _known long, _base double, _score long"
+    score_ = _score(cache, frequent, total, depth, min(TOP, depth), RANGES * _partitions(spark), [f"c{i}" for i in range(len(keep))])
+    scored = materialise(rows.mapInArrow(score_, fields + made_by_row), "ctw-scored", "kind")
+    asked = scored.where("kind > 0").select("range", "chunk", "kind", "body")
+    told = codes.unionByName(words.withColumn("kind", F.lit(3)))
+    met = _dealt(told.unionByName(asked)).mapInArrow(_met(total), "_row long, score long, base double, known long")
+    met = met.groupBy("_row").agg(*[F.sum(c).alias(c) for c in ("score", "base", "known")])
     end = float(np.log10((ends + 1) / total))
-    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)) + 1
-    bits = (F.col("_score") + F.coalesce("_rest_score", F.lit(0))) / F.lit(float(UNIT))
-    return scored.drop("_rare", "_rest").join(rare, "_row", "left").join(rest, "_row", "left").select(
-        *keep,
-        hold_out("doc_id", 7, 2).alias("held_out"),
+    text = F.col(f"c{keep.index('text')}")
+    bits = -(F.col("_score") + F.coalesce("score", F.lit(0))) / F.lit(float(UNIT))
+    return scored.where("kind = 0").join(met, "_row", "left").select(
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)],
+        hold_out(f"c{keep.index('doc_id')}", 7, 2).alias("held_out"),
         (F.col("_tokens") + 1).alias("n_tokens"),
-        (F.col("_known") + F.coalesce("_rare_known", F.lit(0)) + int(ends > 0)).cast("long").alias("n_known"),
+        (F.col("_known") + F.coalesce("known", F.lit(0)) + int(ends > 0)).cast("long").alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("_base") + F.coalesce("_rare_base", F.lit(0.0)) + end).alias("base_score"),
+        (F.col("_base") + F.coalesce("base", F.lit(0.0)) + end).alias("base_score"),
         bits.alias("score"),
-        (-bits * float(np.log2(10)) / n_bytes).alias("bits_per_byte"),
+        (-bits * float(np.log2(10)) / (F.coalesce(F.octet_length(text), F.lit(0)) + 1)).alias("bits_per_byte"),
     )
 
 
