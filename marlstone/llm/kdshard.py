@@ -5,21 +5,31 @@ tree that stands for k shards is cut along its widest dimension (relative to
 the whole table) where the weight of its left side is floor(k / 2) / k; the
 leaves are the shards, so all come near the target bytes.
 
+Documents of equal texts (by 128 bits of their hash) are one group: all have the
+smallest lang, source and id that occurs in it, so they lie at one point, and a
+group stays in one shard unless it is larger than a shard.
+
 A cut is found without sorting: the order key (dimension, crc32 of the text,
 hash of the id) is read in digits of DIGIT bits, and each job sums sizes by node
 and digit and picks the digit in which the wanted weight lies, for all nodes of a
 level at once.  A node's search ends when cutting beside the digit's rows is
-within TOLERANCE of a shard; otherwise the next digit is looked at, so that
-equal texts are parted only where a shard's share demands it.  The driver holds
-the cuts (one less than shards); documents are assigned by a nested CASE.
+within TOLERANCE of a shard; otherwise the next digit is looked at.  Where one
+group is left, the cut is beside it, on the nearer side; only within a group
+larger than a shard the digits of the id's hash go on.  The driver holds the
+cuts (one less than shards); documents are assigned by a nested CASE.
+
+lang and source are numbers: SIX bytes behind what all values begin with, in code
+point order, in STEPS steps, and a hash of the whole value within a step.
 
 Edge cases: null and empty text has size OVERHEAD; null lang, source and id
 come first in their dimension; repeated rows each get a slot of their own; an
-empty table gives no rows; input columns named like an output are replaced.
+empty table gives no rows; very long texts count by their size only; input
+columns named like an output are replaced.
 """
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -37,29 +47,41 @@ BUCKET_ROWS = 8192
 DIMENSIONS = ("log_size", "lang", "source", "doc_id")
 
 
-def _text_number(c: str) -> Column:
-    """The first six bytes as a number, in code point order."""
-    return F.conv(F.rpad(F.hex(F.substring(F.coalesce(F.col(c), F.lit("")).cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("double")
+#: Bytes of a name that order it; steps of its dimension, and the hash within a step.
+SIX, STEPS, WITHIN = 6, 1 << 18, 1 << 10
+
+
+def _text_number(c: str, shared: int) -> Column:
+    """The SIX bytes behind the first `shared` ones as a number above 0, in code point order; 0 for null and empty."""
+    body = F.coalesce(F.col(c), F.lit("")).cast("binary")
+    tail = F.rpad(F.hex(F.substring(body, shared + 1, SIX)), 2 * SIX, "0")
+    return F.when(F.octet_length(body) > 0, F.conv(tail, 16, 10).cast("double") + 1).otherwise(F.lit(0.0))
 
 
 def measured(documents: DataFrame) -> DataFrame:
     """(doc_id, size, text_crc32, k0.., id_hash): for each dimension a key of KEY_BITS, first its value over the whole table's range, then text_crc32."""
     size = (F.coalesce(F.octet_length("text"), F.lit(0)) + OVERHEAD).cast("long")
-    raw = documents.select(
-        F.col("doc_id").alias("doc_id"),
-        size.alias("size"),
-        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
-        F.log2(size.cast("double")).alias("x0"),
-        _text_number("lang").alias("x1"),
-        _text_number("source").alias("x2"),
-        F.coalesce(F.col("doc_id").cast("double"), F.lit(0.0)).alias("x3"),
-    )
+    body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    raw = documents.select(F.col("doc_id").alias("doc_id"), size.alias("size"), F.crc32(body).alias("text_crc32"), F.unhex(F.substring(F.sha2(body, 256), 1, 32)).alias("group"), F.col("lang").alias("lang"), F.col("source").alias("source"))
     raw = materialise(raw, "kd-measured")
+    # A null comes first here as well: it is the group's smallest value if it occurs.
+    low = lambda c: F.min(F.struct(F.col(c).isNotNull().alias("some"), F.col(c).alias("v")))["v"]
+    groups = raw.groupBy("group").agg(F.count(F.lit(1)).alias("n"), *[low(c).alias(f"low_{c}") for c in ("lang", "source", "doc_id")]).where("n > 1").withColumn("many", F.lit(True)).drop("n")
+    raw = raw.join(groups, "group", "left")
+    raw = raw.withColumns({c: F.when(F.col("many"), F.col(f"low_{c}")).otherwise(F.col(c)) for c in ("lang", "source")} | {"at_id": F.when(F.col("many"), F.col("low_doc_id")).otherwise(F.col("doc_id"))})
+    raw = materialise(raw.select("doc_id", "size", "text_crc32", "lang", "source", "at_id"), "kd-groups")
+    named = {c: F.when(F.col(c) != "", F.col(c)) for c in ("lang", "source")}
+    ends = raw.agg(*[f(v).alias(f"{n}_{c}") for c, v in named.items() for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    shared = {c: len(os.path.commonprefix([ends[f"lo_{c}"].encode(), ends[f"hi_{c}"].encode()])) if ends[f"lo_{c}"] else 0 for c in named}
+    raw = raw.withColumns({"x0": F.log2(F.col("size").cast("double")), "x1": _text_number("lang", shared["lang"]), "x2": _text_number("source", shared["source"]), "x3": F.coalesce(F.col("at_id").cast("double"), F.lit(0.0))})
     ends = raw.agg(*[f(f"x{j}").alias(f"{n}{j}") for j in range(len(DIMENSIONS)) for n, f in (("lo", F.min), ("hi", F.max))]).first()
     keys = {}
-    for j in range(len(DIMENSIONS)):
+    for j, name in enumerate(DIMENSIONS):
         lo, hi = ends[f"lo{j}"] or 0.0, ends[f"hi{j}"] or 0.0
-        value = F.floor((F.col(f"x{j}") - lo) / (hi - lo) * ((1 << KEY_BITS - 32) - 1)).cast("long") if hi > lo else F.lit(0).cast("long")
+        steps = STEPS if name in named else STEPS * WITHIN
+        value = F.floor((F.col(f"x{j}") - lo) / (hi - lo) * (steps - 1)).cast("long") if hi > lo else F.lit(0).cast("long")
+        if name in named:
+            value = value * WITHIN + F.when(F.coalesce(F.col(name), F.lit("")) == "", 0).otherwise(F.pmod(F.xxhash64(name), F.lit(WITHIN)))
         keys[f"k{j}"] = F.shiftleft(value, 32) + F.col("text_crc32")
     return raw.select("doc_id", "size", "text_crc32", *[v.alias(k) for k, v in keys.items()], F.pmod(F.xxhash64("doc_id"), F.lit(1 << 2 * DIGIT)).alias("id_hash"))
 
@@ -101,7 +123,7 @@ def grow(rows: DataFrame, shards: int = SHARDS) -> Node:
         for k, n in open_.items():
             if s := found.get(k):
                 n.dimension = max(range(len(DIMENSIONS)), key=lambda j: s[f"r{j}"])
-                searching[k] = {"want": s.w * (n.shards // 2) / n.shards, "slack": TOLERANCE * s.w / n.shards, "prefix": None}
+                searching[k] = {"want": s.w * (n.shards // 2) / n.shards, "shard": s.w / n.shards, "prefix": None}
             else:
                 n.cut = (0, 0)
         for shift, last in [(s, False) for s in range(KEY_BITS - DIGIT, -1, -DIGIT)] + [(DIGIT, True), (0, True)]:
@@ -124,8 +146,9 @@ def grow(rows: DataFrame, shards: int = SHARDS) -> Node:
             for row in crossing:
                 s, at = searching[row.node], row["at"]
                 under, over = at.upto - at.w, at.upto
-                end = shift == 0 and last
-                if end or min(s["want"] - under, over - s["want"]) <= s["slack"]:
+                # One group, or one row, is left: it stays whole, but for a group larger than a shard.
+                end = shift == 0 and (last or at.w <= s["shard"])
+                if end or min(s["want"] - under, over - s["want"]) <= TOLERANCE * s["shard"]:
                     value = at.digit + (over - s["want"] <= s["want"] - under)  # all below this digit go left
                     open_[row.node].cut = (s["key"], (value << shift) - 1) if last else (value << shift, -1)
                     del searching[row.node]
