@@ -13,16 +13,19 @@ suppressed.  The base phrases are found on their own, and their labels always st
 
 Edge cases: null and empty text has no words, no place (first_word and
 last_word null), empty label lists and score 0; texts are scanned whole,
-whatever their length; repeated rows each keep their row; input columns named
-like an output are replaced.
+whatever their length, in time that grows with it; equal detections of one
+interval stay once; repeated rows each keep their row; an empty table gives no
+rows; input columns named like an output are replaced.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 from typing import NamedTuple
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,25 +50,25 @@ LICENSES = {
     "apache-1": (r"apache(?: software)?(?: license)? (?:version )?v?1(?: [01])?", " apache ", "apache 1 [01]"),
     "apache-2": (r"apache(?: software)?(?: license)? (?:version )?v?2(?: 0)?", " apache ", "apache 2 0"),
     "apache": (r"apache(?: software)?", " apache ", "apache"),
-    "gpl-1": (r"(?:gnu )?(?:gpl|general public license) (?:version )?v?1(?: 0)?", "g", "gpl 1 0(?: only| or later)?"),
-    "gpl-2": (r"(?:gnu )?(?:gpl|general public license) (?:version )?v?2(?: 0)?", "g", "gpl 2 0(?: only| or later)?"),
-    "gpl-3": (r"(?:gnu )?(?:gpl|general public license) (?:version )?v?3(?: 0)?", "g", "gpl 3 0(?: only| or later)?"),
-    "gpl": (r"(?:gnu )?(?:gpl|general public)", "g", "gpl"),
-    "lgpl-2": (r"(?:gnu )?(?:lgpl|library general public license) (?:version )?v?2(?: 0)?", "g", "lgpl 2 0(?: only| or later)?"),
-    "lgpl-2.1": (r"(?:gnu )?(?:lgpl|lesser general public license) (?:version )?v?2 1", "g", "lgpl 2 1(?: only| or later)?"),
-    "lgpl-3": (r"(?:gnu )?(?:lgpl|lesser general public license) (?:version )?v?3(?: 0)?", "g", "lgpl 3 0(?: only| or later)?"),
-    "lgpl": (r"(?:gnu )?(?:lgpl|(?:lesser|library) general public)", "g", "lgpl"),
-    "agpl-3": (r"(?:gnu )?(?:agpl|affero general public license) (?:version )?v?3(?: 0)?", "g", "agpl 3 0(?: only| or later)?"),
-    "agpl": (r"(?:gnu )?(?:agpl|affero general public)", "g", "agpl"),
-    "gfdl": (r"(?:gnu )?(?:gfdl|free documentation)", "f", "gfdl 1 [123](?: only| or later)?"),
-    "mpl-1": (r"(?:mpl|mozilla public license) (?:version )?v?1(?: [01])?", "m", "mpl 1 [01]"),
-    "mpl-2": (r"(?:mpl|mozilla public license) (?:version )?v?2(?: 0)?", "m", "mpl 2 0"),
-    "mpl": (r"(?:mpl|mozilla public)", "m", "mpl"),
-    "epl-1": (r"(?:epl|eclipse public license) (?:version )?v?1(?: 0)?", "e", "epl 1 0"),
-    "epl-2": (r"(?:epl|eclipse public license) (?:version )?v?2(?: 0)?", "e", "epl 2 0"),
-    "cddl": (r"(?:cddl|common development and distribution)", " c", "cddl 1 [01]"),
-    "cpl": (r"(?:cpl|common public)", " c", "cpl 1 0"),
-    "eupl": (r"(?:eupl|european union public)", " eu", "eupl 1 [012]"),
+    "gpl-1": (r"(?:gnu )?(?:gpl|general public license) (?:version )?v?1(?: 0)?", "gpl|general public", "gpl 1 0(?: only| or later)?"),
+    "gpl-2": (r"(?:gnu )?(?:gpl|general public license) (?:version )?v?2(?: 0)?", "gpl|general public", "gpl 2 0(?: only| or later)?"),
+    "gpl-3": (r"(?:gnu )?(?:gpl|general public license) (?:version )?v?3(?: 0)?", "gpl|general public", "gpl 3 0(?: only| or later)?"),
+    "gpl": (r"(?:gnu )?(?:gpl|general public)", "gpl|general public", "gpl"),
+    "lgpl-2": (r"(?:gnu )?(?:lgpl|library general public license) (?:version )?v?2(?: 0)?", "lgpl|library general", "lgpl 2 0(?: only| or later)?"),
+    "lgpl-2.1": (r"(?:gnu )?(?:lgpl|lesser general public license) (?:version )?v?2 1", "lgpl|lesser general", "lgpl 2 1(?: only| or later)?"),
+    "lgpl-3": (r"(?:gnu )?(?:lgpl|lesser general public license) (?:version )?v?3(?: 0)?", "lgpl|lesser general", "lgpl 3 0(?: only| or later)?"),
+    "lgpl": (r"(?:gnu )?(?:lgpl|(?:lesser|library) general public)", "lgpl|general public", "lgpl"),
+    "agpl-3": (r"(?:gnu )?(?:agpl|affero general public license) (?:version )?v?3(?: 0)?", "agpl|affero", "agpl 3 0(?: only| or later)?"),
+    "agpl": (r"(?:gnu )?(?:agpl|affero general public)", "agpl|affero", "agpl"),
+    "gfdl": (r"(?:gnu )?(?:gfdl|free documentation)", "gfdl|free documentation", "gfdl 1 [123](?: only| or later)?"),
+    "mpl-1": (r"(?:mpl|mozilla public license) (?:version )?v?1(?: [01])?", " mpl|mozilla", "mpl 1 [01]"),
+    "mpl-2": (r"(?:mpl|mozilla public license) (?:version )?v?2(?: 0)?", " mpl|mozilla", "mpl 2 0"),
+    "mpl": (r"(?:mpl|mozilla public)", " mpl|mozilla", "mpl"),
+    "epl-1": (r"(?:epl|eclipse public license) (?:version )?v?1(?: 0)?", " epl|eclipse", "epl 1 0"),
+    "epl-2": (r"(?:epl|eclipse public license) (?:version )?v?2(?: 0)?", " epl|eclipse", "epl 2 0"),
+    "cddl": (r"(?:cddl|common development and distribution)", "cddl|common development", "cddl 1 [01]"),
+    "cpl": (r"(?:cpl|common public)", " cpl|common public", "cpl 1 0"),
+    "eupl": (r"(?:eupl|european union public)", "eupl|european union", "eupl 1 [012]"),
     "artistic-1": (r"(?:perl )?artistic(?: license)? (?:version )?1(?: 0)?", " artistic ", "artistic 1 0"),
     "artistic-2": (r"(?:perl )?artistic(?: license)? (?:version )?2(?: 0)?", " artistic ", "artistic 2 0"),
     "artistic": (r"(?:perl )?artistic", " artistic ", "artistic"),
@@ -73,30 +76,30 @@ LICENSES = {
     "zlib": (r"zlib(?: libpng)?", " zlib ", "zlib"),
     "libpng": (r"libpng", " libpng ", "libpng"),
     "unlicense": (r"unlicense", " unlicense ", "unlicense"),
-    "wtfpl": (r"(?:wtfpl|do what the fuck you want to public)", "w", "wtfpl"),
-    "python": (r"(?:python software foundation|psf)", " p", "(?:psf|python) 2 0"),
+    "wtfpl": (r"(?:wtfpl|do what the fuck you want to public)", "wtfpl|do what the", "wtfpl"),
+    "python": (r"(?:python software foundation|psf)", "python software| psf ", "(?:psf|python) 2 0"),
     "ruby": (r"ruby", " ruby ", "ruby"),
     "php": (r"php", " php ", "php 3 01?"),
     "postgresql": (r"postgresql", " postgresql ", "postgresql"),
     "openssl": (r"openssl", " openssl ", "openssl"),
-    "ofl": (r"(?:sil )?(?:ofl|open font)", " o", "ofl 1 [01]"),
-    "ms-pl": (r"(?:ms pl|microsoft public)", " m", "ms pl"),
-    "ms-rl": (r"(?:ms rl|microsoft reciprocal)", " m", "ms rl"),
+    "ofl": (r"(?:sil )?(?:ofl|open font)", " ofl|open font", "ofl 1 [01]"),
+    "ms-pl": (r"(?:ms pl|microsoft public)", " ms pl|microsoft public", "ms pl"),
+    "ms-rl": (r"(?:ms rl|microsoft reciprocal)", " ms rl|microsoft reciprocal", "ms rl"),
     "ncsa": (r"(?:university of illinois ncsa(?: open source)?|ncsa)", " ncsa ", "ncsa"),
     "upl": (r"universal permissive", " permissive ", "upl 1 0"),
     "bsl": (r"business source", " business ", "busl 1 1"),
-    "sspl": (r"(?:sspl|server side public)", " s", "sspl 1 0"),
+    "sspl": (r"(?:sspl|server side public)", "sspl|server side", "sspl 1 0"),
     "elastic": (r"elastic", " elastic ", "elastic 2 0"),
-    "odbl": (r"(?:odbl|open (?:data commons )?database)", " od| open", "odbl 1 0"),
-    "odc-by": (r"(?:odc by|open data commons attribution)", " od| open", "odc by 1 0"),
+    "odbl": (r"(?:odbl|open (?:data commons )?database)", "odbl| database", "odbl 1 0"),
+    "odc-by": (r"(?:odc by|open data commons attribution)", "odc by|open data commons", "odc by 1 0"),
     "cdla": (r"community data license agreement", " community ", "cdla permissive [12] 0"),
-    "cc0": (r"(?:cc0|cc zero|creative commons zero)(?: 1 0)?", " c", "cc0 1 0"),
-    "cc-by-nc-nd": (r"(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv(?:ative)?s)(?: [1234] [05])?", " c", "cc by nc nd [1234] [05]"),
-    "cc-by-nc-sa": (r"(?:cc by nc sa|creative commons attribution non ?commercial share ?alike)(?: [1234] [05])?", " c", "cc by nc sa [1234] [05]"),
-    "cc-by-nc": (r"(?:cc by nc|creative commons attribution non ?commercial)(?: [1234] [05])?", " c", "cc by nc [1234] [05]"),
-    "cc-by-nd": (r"(?:cc by nd|creative commons attribution no ?deriv(?:ative)?s)(?: [1234] [05])?", " c", "cc by nd [1234] [05]"),
-    "cc-by-sa": (r"(?:cc by sa|creative commons attribution share ?alike)(?: [1234] [05])?", " c", "cc by sa [1234] [05]"),
-    "cc-by": (r"(?:cc by|creative commons attribution)(?: [1234] [05])?", " c", "cc by [1234] [05]"),
+    "cc0": (r"(?:cc0|cc zero|creative commons zero)(?: 1 0)?", "cc0|cc zero|creative commons zero", "cc0 1 0"),
+    "cc-by-nc-nd": (r"(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv(?:ative)?s)(?: [1234] [05])?", "cc by nc nd|attribution non", "cc by nc nd [1234] [05]"),
+    "cc-by-nc-sa": (r"(?:cc by nc sa|creative commons attribution non ?commercial share ?alike)(?: [1234] [05])?", "cc by nc sa|attribution non", "cc by nc sa [1234] [05]"),
+    "cc-by-nc": (r"(?:cc by nc|creative commons attribution non ?commercial)(?: [1234] [05])?", "cc by nc|attribution non", "cc by nc [1234] [05]"),
+    "cc-by-nd": (r"(?:cc by nd|creative commons attribution no ?deriv(?:ative)?s)(?: [1234] [05])?", "cc by nd|attribution no", "cc by nd [1234] [05]"),
+    "cc-by-sa": (r"(?:cc by sa|creative commons attribution share ?alike)(?: [1234] [05])?", "cc by sa|attribution share", "cc by sa [1234] [05]"),
+    "cc-by": (r"(?:cc by|creative commons attribution)(?: [1234] [05])?", "cc by|creative commons attribution", "cc by [1234] [05]"),
 }
 
 #: (form, priority, keywords): {name} and {spdx} stand for a license's.
@@ -104,7 +107,7 @@ FORMS = (
     (r"spdx license identifier {spdx}", 100, (" spdx ",)),
     (r"licen[cs]e {spdx}", 85, (" licen",)),
     (r"(?:licensed|released|distributed|published|available|provided|offered|covered|redistributed) under (?:the )?(?:terms of (?:the )?)?{name}(?: (?:public )?licen[cs]e)?(?: (?:as published by the free software foundation|or (?:any )?later(?: version)?|only|or newer))?", 90, (" under ",)),
-    (r"(?:subject to|governed by|according to|in accordance with) (?:the )?(?:terms of (?:the )?)?{name}(?: (?:public )?licen[cs]e)?", 80, (" t",)),
+    (r"(?:subject to|governed by|according to|in accordance with) (?:the )?(?:terms of (?:the )?)?{name}(?: (?:public )?licen[cs]e)?", 80, (" subject to | governed by | according to | accordance with ",)),
     (r"(?:dual|multi|triple) licensed (?:under )?(?:the )?{name}", 75, (" licensed ",)),
     (r"under (?:the )?(?:terms of (?:the )?)?{name} licen[cs]e", 70, (" under ", " licen")),
     (r"{name}(?: international)?(?: (?:public )?licen[cs]e)(?: agreement)?(?: (?:version )?v?\d+(?: \d+)?)?", 60, (" licen",)),
@@ -140,9 +143,15 @@ class Rule(NamedTuple):
     pattern: re.Pattern
 
 
+def spdx_keyword(spdx: str) -> str:
+    """What every match of an identifier begins with."""
+    first = spdx.split()[0]
+    return "|".join(f" {w}" for w in first.strip("(?:)").split("|"))
+
+
 @functools.cache
 def rules() -> list[Rule]:
-    made = [(label, form.format(name=name, spdx=spdx), priority, (keyword if "{name}" in form else f" {spdx.split()[0]}" if spdx[0].isalnum() else " ", *needs)) for label, (name, keyword, spdx) in LICENSES.items() for form, priority, needs in (*FORMS, *[ALONE] * ("version" in name or "creative" in name))]
+    made = [(label, form.format(name=name, spdx=spdx), priority, (keyword if "{name}" in form else spdx_keyword(spdx), *needs)) for label, (name, keyword, spdx) in LICENSES.items() for form, priority, needs in (*FORMS, *[ALONE] * ("version" in name or "creative" in name))]
     made += [(label, pattern, priority, needs) for label, pattern, priority, needs in NOTICES]
     order = sorted(range(len(made)), key=lambda i: (-made[i][2], i))
     return [Rule(made[i][0], made[i][2], tuple(tuple(w.encode() for w in n.split("|")) for n in made[i][3]), re.compile(rf"(?<= ){made[i][1]}(?= )".encode())) for i in order]
@@ -164,22 +173,44 @@ def detect(flat: bytes) -> list[Detection]:
             present[word] = word in flat
         return present[word]
 
-    out = []
-    if not any(map(has, (b" licen", b" spdx ", b" under ", b" copyright ", b" rights ", b" public domain ", b" creative ", b" cc", b" proprietary ", b" subject ", b" permission ", b" terms ", b" redistribution ", b" accord", b" govern", b" free software ", b" attribution ", b" neither ", b" held liable ", b"gpl", b" mpl ", b" epl ", b" apache ", b" artistic "))):
-        return out
+    out: list[Detection] = []
+    blanks = None
     for rule in rules():
         if all(any(map(has, group)) for group in rule.needs):
             for m in rule.pattern.finditer(flat):
-                first = flat.count(b" ", 0, m.start()) - 1
-                out.append(Detection(first, first + m.group().count(b" "), rule.label, rule.priority))
+                if blanks is None:
+                    blanks = np.flatnonzero(np.frombuffer(flat, np.uint8) == 32)
+                first, last = np.searchsorted(blanks, (m.start(), m.end())).tolist()
+                out.append(Detection(first - 1, last - 1, rule.label, rule.priority))
     return out
 
 
+def covered(first: np.ndarray, last: np.ndarray, by_first: np.ndarray, by_last: np.ndarray) -> np.ndarray:
+    """Which of the intervals lie inside one of the others (sorted by first)."""
+    if not len(by_first):
+        return np.zeros(len(first), bool)
+    furthest = np.maximum.accumulate(by_last)
+    at = np.searchsorted(by_first, first, "right") - 1
+    return (at >= 0) & (furthest[np.maximum(at, 0)] >= last)
+
+
 def resolve(found: list[Detection]) -> list[Detection]:
+    """Those that lie inside no detection of a higher priority, nor, in their own, inside a longer one (of equal intervals the first label stays).
+
+    A suppressed detection lies inside a kept one, so all of a higher priority count, kept or not.
+    """
+    higher = (np.zeros(0, np.int64), np.zeros(0, np.int64))
     kept: list[Detection] = []
-    for d in sorted(set(found), key=lambda d: (-d.priority, d.first - d.last, d.first, d.label)):
-        if not any(k.first <= d.first and d.last <= k.last for k in kept):
-            kept.append(d)
+    rest = sorted(set(found), key=lambda d: (-d.priority, d.first, -d.last, d.label))
+    for _, same in itertools.groupby(rest, key=lambda d: d.priority):
+        own = list(same)
+        first, last = (np.array([getattr(d, c) for d in own], np.int64) for c in ("first", "last"))
+        before = np.concatenate(([-1], np.maximum.accumulate(last)[:-1]))
+        gone = covered(first, last, *higher) | (before >= last)
+        kept += [d for d, g in zip(own, gone, strict=True) if not g]
+        both = np.concatenate((higher[0], first)), np.concatenate((higher[1], last))
+        order = np.argsort(both[0], kind="stable")
+        higher = both[0][order], both[1][order]
     return sorted(kept)
 
 
@@ -187,11 +218,13 @@ def base_places(flat: bytes) -> list[Detection]:
     out = []
     for phrase, label in BASE.items():
         framed = f" {phrase} ".encode()
-        at = flat.find(framed)
+        starts, at = [], flat.find(framed)
         while at >= 0:
-            first = flat.count(b" ", 0, at)
-            out.append(Detection(first, first + phrase.count(" "), label, 100))
+            starts.append(at)
             at = flat.find(framed, at + 1)
+        if starts:
+            words = np.searchsorted(np.flatnonzero(np.frombuffer(flat, np.uint8) == 32), starts).tolist()
+            out += [Detection(first, first + phrase.count(" "), label, 100) for first in words]
     return out
 
 
