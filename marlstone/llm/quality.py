@@ -7,12 +7,16 @@ lookup tables, so a score is a sum of table entries, added up by numpy for a
 batch of rows at once.
 
 The model is fitted on the driver to at most SAMPLE_ROWS labelled feature rows
-(chosen by a hash of the id, so reruns agree); all rows are scored.
+(chosen by a hash of the id, so reruns agree; of rows that share an id and a
+label the smallest feature row); all rows are scored, in one pass that writes nothing.
 
 Edge cases: null and empty text give the feature vector of an empty text and
-are scored like any other; rows with a null label are not learned from; with no
-labelled row, or with one class only, the score is the smoothed share of label 1; repeated rows and
-ids each keep their row; input columns named like an output are replaced.
+are scored like any other; rows with a null label or id are not learned from;
+an id of both labels is learned from twice; with no labelled row, or with one
+class only, the score is the smoothed share of label 1; repeated rows and ids
+each keep their row; rows of equal features have equal scores, and a score at
+THRESHOLD is label 1; very long texts are read whole; an empty table gives no
+rows; input columns named like an output are replaced, other columns stay.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import DOCUMENT_COLUMNS, hold_out, materialise, table
+from .common import DOCUMENT_COLUMNS, hold_out, materialise, sampled, table
 from .textvec import SPACE_BYTES, blocks, spans, word_hashes
 
 SAMPLE_ROWS = 20_000
@@ -75,20 +79,18 @@ def feature_rows(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return np.stack([made[k] for k in FEATURES], axis=1)
 
 
+def features_of(column) -> np.ndarray:
+    parts = [feature_rows(data, offs) for _, _, data, offs in blocks(column)]
+    return np.concatenate(parts) if parts else np.zeros((0, len(FEATURES)))
+
+
 def _featurise(batches):
     import pyarrow as pa
 
     for batch in batches:
-        parts = [feature_rows(data, offs) for _, _, data, offs in blocks(batch.column("_text"))]
-        x = np.concatenate(parts) if parts else np.zeros((0, len(FEATURES)))
+        x = features_of(batch.column("text"))
         column = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
-        yield batch.set_column(batch.schema.get_field_index("_text"), "_features", column.cast(pa.list_(pa.float64())))
-
-
-def with_features(documents: DataFrame) -> DataFrame:
-    """documents with _features array<double>; its column _text goes."""
-    schema = T.StructType([T.StructField("_features", T.ArrayType(T.DoubleType())) if f.name == "_text" else f for f in documents.schema])
-    return documents.mapInArrow(_featurise, schema)
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), column], names=["id", "label", "features"])
 
 
 def best_tree(grad: np.ndarray, hess: np.ndarray, leaves: int, penalty: float) -> np.ndarray:
@@ -189,25 +191,33 @@ def _scorer(model):
         import pyarrow as pa
 
         for batch in batches:
-            column = batch.column("_features")
-            x = column.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(FEATURES))
-            yield batch.set_column(batch.schema.get_field_index("_features"), "_score", pa.array(model.value.score(x)))
+            at = batch.schema.get_field_index("_last")
+            yield batch.set_column(at, "_last", pa.array(model.value.score(features_of(batch.column("_last")))))
 
     return run
 
 
+def fit_quality(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> AdditiveModel:
+    """labels: doc_id, quality.  Learns only from ids that are not held out."""
+    learn = labels.where(~hold_out("doc_id", 3, 1) & F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
+    learn = learn.select(F.col("doc_id").alias("id"), (F.col("quality") == 1).alias("label")).distinct()
+    chosen = materialise(sampled(learn, "id", sample_rows), "quality-sample")
+    rows = documents.select(F.col("doc_id").alias("id"), "text").join(chosen, "id").select("id", "label", "text")
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    found = rows.mapInArrow(_featurise, f"id {kind}, label boolean, features array<double>").groupBy("id", "label").agg(F.min("features").alias("features"))
+    rows = sorted(found.collect(), key=lambda r: (r.id, r.label))  # sample_rows at most
+    x = np.array([r.features for r in rows]).reshape(len(rows), len(FEATURES))
+    return AdditiveModel().fit(x, np.array([float(r.label) for r in rows]))
+
+
 def score_quality(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """documents with held_out, score and predicted. labels: doc_id, quality."""
-    spark = documents.sparkSession
     keep = [c for c in documents.columns if c not in ("held_out", "score", "predicted")]
-    made = materialise(with_features(documents.select(*keep, F.col("text").alias("_text"))), "quality-features")
-    learn = labels.where(~hold_out("doc_id", 3, 1) & F.col("quality").isNotNull()).select("doc_id", F.col("quality").alias("_label"))
-    rows = made.select("doc_id", "_features").join(learn, "doc_id").orderBy(F.xxhash64("doc_id"), "_features", "_label").limit(sample_rows).collect()
-    x = np.array([r._features for r in rows]).reshape(len(rows), len(FEATURES))
-    model = spark.sparkContext.broadcast(AdditiveModel().fit(x, np.array([float(r._label == 1) for r in rows])))
-    schema = T.StructType([T.StructField("_score", T.DoubleType()) if f.name == "_features" else f for f in made.schema])
-    scored = made.mapInArrow(_scorer(model), schema)
-    return scored.select(*keep, hold_out("doc_id", 3, 1).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"))
+    model = documents.sparkSession.sparkContext.broadcast(fit_quality(documents, labels, sample_rows))
+    rows = documents.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)], F.col("text").alias("_last"))
+    schema = T.StructType([T.StructField("_last", T.DoubleType()) if f.name == "_last" else f for f in rows.schema])
+    scored = rows.mapInArrow(_scorer(model), schema).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], F.col("_last"))
+    return scored.select(*[F.col(c) for c in keep], hold_out("doc_id", 3, 1).alias("held_out"), F.col("_last").alias("score"), (F.col("_last") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def keep_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
