@@ -591,8 +591,9 @@ def _score(cache, frequent, total: float, depth: int, top: int, ranges: int, kep
             return pa.RecordBatch.from_arrays([by[f.name] if f.name in by else pa.nulls(packed.num_rows, f.type) for f in schema], schema=schema)
 
         for batch in pieces(batches, "_text"):
-            scores, base, known, tokens = [], [], [], []
+            scores, base, known, tokens, sizes = [], [], [], [], []
             for begin, n, data, offs in blocks(batch.column("_text"), 1 << 22):
+                sizes.append(np.diff(offs))
                 keys, first = places(data, offs, depth)
                 of = row + begin - chunk + np.repeat(np.arange(n), np.diff(first))
                 keys = keys.astype(np.uint64)
@@ -613,7 +614,7 @@ def _score(cache, frequent, total: float, depth: int, top: int, ranges: int, kep
             join = lambda parts, kind: pa.array(np.concatenate(parts) if parts else np.zeros(0), kind)
             k = batch.num_rows
             new = {
-                "kind": pa.array(np.zeros(k, np.int32)), "range": pa.nulls(k, pa.int32()), "chunk": pa.nulls(k, pa.int64()), "body": pa.nulls(k, pa.binary()), "_row": pa.array(row + np.arange(k), pa.int64()),
+                "kind": pa.array(np.zeros(k, np.int32)), "range": pa.nulls(k, pa.int32()), "chunk": pa.nulls(k, pa.int64()), "body": pa.nulls(k, pa.binary()), "_row": pa.array(row + np.arange(k), pa.int64()), "_held": batch.column("_held"), "_bytes": join(sizes, pa.int64()),
                 "_tokens": join(tokens, pa.int64()), "_known": join(known, pa.int64()), "_base": join(base, pa.float64()), "_score": join(scores, pa.int64()),
             }
             row += k
@@ -661,11 +662,11 @@ def _met(total: float):
     return run
 
 
-def score(documents: DataFrame, depth: int = DEPTH, share: int = SHARE) -> DataFrame:
-    """documents with held_out, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte."""
+def score(documents: DataFrame, depth: int = DEPTH, share: int = SHARE, without: tuple[str, ...] = ()) -> DataFrame:
+    """documents, but for the columns named in without, with held_out, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte."""
     spark = documents.sparkSession
     made = ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
-    keep = [c for c in documents.columns if c not in made]
+    keep = [c for c in documents.columns if c not in (*made, *without)]
     learn = documents.where(~hold_out("doc_id", 7, 2)).select("text")
     codes, n_places = key_codes(documents.select("text", (~hold_out("doc_id", 7, 2)).alias("learn")), depth)
     words, seen, distinct = word_counts(learn)
@@ -676,9 +677,9 @@ def score(documents: DataFrame, depth: int = DEPTH, share: int = SHARE) -> DataF
     frequent = spark.sparkContext.broadcast((word, count.astype(np.float64)))
     key, _, code = often(codes, n_places / share)  # share at most
     cache = spark.sparkContext.broadcast((key, code.astype(np.int64)))
-    rows = documents.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)], F.col("text").alias("_text"))
+    rows = documents.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)], hold_out("doc_id", 7, 2).alias("_held"), F.col("text").alias("_text"))
     fields = "".join(f"c{i} {documents.schema[c].dataType.simpleString()}, " for i, c in enumerate(keep))
-    made_by_row = "kind int, range int, chunk long, body binary, _row long, _tokens long, _known long, _base double, _score long"
+    made_by_row = "kind int, range int, chunk long, body binary, _row long, _held boolean, _bytes long, _tokens long, _known long, _base double, _score long"
     score_ = _score(cache, frequent, total, depth, min(TOP, depth), RANGES * _partitions(spark), [f"c{i}" for i in range(len(keep))])
     scored = materialise(rows.mapInArrow(score_, fields + made_by_row), "ctw-scored", "kind")
     asked = scored.where("kind > 0").select("range", "chunk", "kind", "body")
@@ -686,19 +687,18 @@ def score(documents: DataFrame, depth: int = DEPTH, share: int = SHARE) -> DataF
     met = _dealt(told.unionByName(asked)).mapInArrow(_met(total), "_row long, score long, base double, known long")
     met = met.groupBy("_row").agg(*[F.sum(c).alias(c) for c in ("score", "base", "known")])
     end = float(np.log10((ends + 1) / total))
-    text = F.col(f"c{keep.index('text')}")
     bits = -(F.col("_score") + F.coalesce("score", F.lit(0))) / F.lit(float(UNIT))
     return scored.where("kind = 0").join(met, "_row", "left").select(
         *[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)],
-        hold_out(f"c{keep.index('doc_id')}", 7, 2).alias("held_out"),
+        F.col("_held").alias("held_out"),
         (F.col("_tokens") + 1).alias("n_tokens"),
         (F.col("_known") + F.coalesce("known", F.lit(0)) + int(ends > 0)).cast("long").alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         (F.col("_base") + F.coalesce("base", F.lit(0.0)) + end).alias("base_score"),
         bits.alias("score"),
-        (-bits * float(np.log2(10)) / (F.coalesce(F.octet_length(text), F.lit(0)) + 1)).alias("bits_per_byte"),
+        (-bits * float(np.log2(10)) / (F.col("_bytes") + 1)).alias("bits_per_byte"),
     )
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return score(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    return score(table(spark, sf_dir, "documents").select("doc_id", "text"), without=("text",))

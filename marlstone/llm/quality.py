@@ -202,7 +202,7 @@ def fit_quality(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMP
     learn = labels.where(~hold_out("doc_id", 3, 1) & F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
     learn = learn.select(F.col("doc_id").alias("id"), (F.col("quality") == 1).alias("label")).distinct()
     chosen = materialise(sampled(learn, "id", sample_rows), "quality-sample")
-    rows = documents.select(F.col("doc_id").alias("id"), "text").join(chosen, "id").select("id", "label", "text")
+    rows = documents.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(chosen), "id").select("id", "label", "text")  # sample_rows rows at most
     kind = documents.schema["doc_id"].dataType.simpleString()
     found = rows.mapInArrow(_featurise, f"id {kind}, label boolean, features array<double>").groupBy("id", "label").agg(F.min("features").alias("features"))
     rows = sorted(found.collect(), key=lambda r: (r.id, r.label))  # sample_rows at most
