@@ -2,27 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import materialise
 
-MAX_ROUNDS = 200
-
 
 def first_wins(rows: DataFrame, key: Column, seq: str) -> DataFrame:
     """rows with status and matched: of equal keys the row of the smallest seq is accepted, the others match it.
 
-    One value for each key is aggregated (partially, before the shuffle) and
-    joined back, so a key that many rows share does not meet in one task.
+    One value for each key of several rows is aggregated (partially, before the
+    shuffle) and joined back; the planner splits or broadcasts that join, so a
+    key that many rows share does not meet in one task.  A null key is no copy
+    of another: such rows are accepted.
     """
     keyed = rows.withColumn("_key", F.sha2(key.cast("binary"), 256))
-    first = keyed.groupBy("_key").agg(F.min(seq).alias("_first"))
+    first = keyed.where("_key is not null").groupBy("_key").agg(F.min(seq).alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
     out = keyed.join(first, "_key", "left")
-    return out.withColumns({
-        "status": F.when(F.col("_first").eqNullSafe(F.col(seq)), "accepted").otherwise("duplicate"),
-        "matched": F.when(~F.col("_first").eqNullSafe(F.col(seq)), F.col("_first")),
-    }).drop("_key", "_first")
+    copy = F.col("_first").isNotNull() & ~F.col("_first").eqNullSafe(F.col(seq))
+    return out.withColumns({"status": F.when(copy, "duplicate").otherwise("accepted"), "matched": F.when(copy, F.col("_first"))}).drop("_key", "_first")
+
+
+def zipped(left: DataFrame, right: DataFrame, group: str, order: list[str], value: str) -> DataFrame:
+    """(group, i, chosen, rejected, unpaired): the i-th rows of a group in both stages, counted from 1; unpaired where one stage has none."""
+    nth = F.row_number().over(Window.partitionBy(group).orderBy(*order)).cast("long")
+    a, b = (x.select(group, nth.alias("i"), F.col(value).alias(n), F.lit(True).alias(f"_{n}")) for x, n in ((left, "chosen"), (right, "rejected")))
+    return a.join(b, [group, "i"], "full_outer").select(group, "i", "chosen", "rejected", (F.col("_chosen").isNull() | F.col("_rejected").isNull()).alias("unpaired"))
 
 
 def greedy_accept(rows: DataFrame, seq: str, conflicts: DataFrame, copies: DataFrame | None = None) -> DataFrame:
@@ -38,9 +43,7 @@ def greedy_accept(rows: DataFrame, seq: str, conflicts: DataFrame, copies: DataF
     edges = materialise(conflicts.select("u", "v").distinct(), "greedy")
     accepted = rejected = None
     todo = edges
-    for _ in range(MAX_ROUNDS):
-        if todo.isEmpty():
-            break
+    while not todo.isEmpty():
         blocked = todo.select(F.col("v").alias("n")).distinct()
         free = materialise(todo.select(F.col("u").alias("n")).distinct().join(blocked, "n", "left_anti"), "greedy")
         out = materialise(todo.join(free, todo["u"] == free["n"], "left_semi").select(F.col("v").alias("n")).distinct(), "greedy")
@@ -50,8 +53,6 @@ def greedy_accept(rows: DataFrame, seq: str, conflicts: DataFrame, copies: DataF
         rest = todo.join(gone, todo["u"] == gone["n"], "left_anti")
         # A row whose blockers are all rejected has no edge left: it is accepted by default.
         todo = materialise(rest.join(gone, rest["v"] == gone["n"], "left_anti"), "greedy")
-    else:
-        raise RuntimeError(f"conflict chains are longer than {MAX_ROUNDS}")
     base = rows.select(seq)
     if rejected is None:
         by = base.select(seq, F.col(seq).cast("long").alias("matched")).limit(0)
@@ -99,17 +100,13 @@ def multi_key_accept(rows: DataFrame, seq: str, keys: list[Column]) -> DataFrame
     posts = first.withColumn("ks", F.array_compact(F.array(*names)))
     todo = materialise(posts.select("n", F.size("ks").alias("of"), F.explode("ks").alias("k")), "keys")
     held = None
-    for _ in range(MAX_ROUNDS):
-        if todo.isEmpty():
-            break
+    while not todo.isEmpty():
         leads = materialise(todo.groupBy("k").agg(F.min(F.struct("n", "of")).alias("m")).select("k", "m.n", "m.of"), "greedy")
         free = leads.groupBy("n").agg(F.count(F.lit(1)).alias("c"), F.first("of").alias("of")).where("c = of").select("n")
         won = materialise(leads.join(free, "n", "left_semi").select("k", F.col("n").alias("by")), "greedy")
         held = won if held is None else held.union(won)
         gone = materialise(todo.join(won, "k", "left_semi").select("n").distinct(), "greedy")
         todo = materialise(todo.join(gone, "n", "left_anti"), "greedy")
-    else:
-        raise RuntimeError(f"conflict chains are longer than {MAX_ROUNDS}")
     if held is None:
         return named.select(seq, F.lit("accepted").alias("status"), F.lit(None).cast("long").alias("matched"))
     # One accepted row at most holds a key; of a row's keys' holders the first that is earlier rejects it.

@@ -43,8 +43,8 @@ def duplicate_rate(rows: DataFrame, group: str, key: Column) -> DataFrame:
 
 
 def cluster_members(rows: DataFrame, id_: str, key: Column) -> DataFrame:
-    """(cluster, id): all distinct ids of each key of more than one row; one row for each, no lists."""
-    named = rows.select(F.sha2(key.cast("binary"), 256).alias("cluster"), id_)
+    """(cluster, id): all distinct ids of each key of more than one row; one row for each, no lists.  A null key is no cluster."""
+    named = rows.select(F.sha2(key.cast("binary"), 256).alias("cluster"), id_).where("cluster is not null")
     repeated = named.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("cluster")
     return named.join(repeated, "cluster", "left_semi").distinct()
 
@@ -54,7 +54,7 @@ def clusters(rows: DataFrame, id_: str, key: Column, preview: int = 5) -> DataFr
 
     cluster_members() has all members; no task gathers a whole key here.
     """
-    named = rows.select(F.sha2(key.cast("binary"), 256).alias("cluster"), id_, F.pmod(F.xxhash64(id_), F.lit(64)).alias("_p"))
+    named = rows.select(F.sha2(key.cast("binary"), 256).alias("cluster"), id_, F.pmod(F.xxhash64(id_), F.lit(64)).alias("_p")).where("cluster is not null")
     found = named.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.min(id_).alias("first_member")).where("size > 1")
     # Each part of a key gives its own smallest ids; the key's smallest are among them.
     near = named.where(F.col(id_).isNotNull()).distinct().withColumn("_r", F.row_number().over(Window.partitionBy("cluster", "_p").orderBy(id_))).where(F.col("_r") <= preview)
@@ -111,3 +111,47 @@ def sample_by_group(rows: DataFrame, group: str, id_: str, k: int, seed: str) ->
     part = F.pmod(F.xxhash64(id_), F.lit(64))
     near = rows.withColumns({"_h": order, "_p": part}).withColumn("_r", F.row_number().over(Window.partitionBy(group, "_p").orderBy("_h", id_))).where(F.col("_r") <= k)
     return near.withColumn("rank", F.row_number().over(Window.partitionBy(group).orderBy("_h", id_))).where(F.col("rank") <= k).drop("_h", "_p", "_r")
+
+
+def reason_counts(rows: DataFrame, issues: str, group: str) -> DataFrame:
+    """(group, reason, n): how many rows of a group have each of their issue codes; a row counts for each of its own."""
+    return rows.select(group, F.explode(F.array_distinct(issues)).alias("reason")).groupBy(group, "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def coverage(expected: DataFrame, actual: DataFrame, id_: str) -> DataFrame:
+    """(id, status): matched, missing (expected only), unexpected (actual only), or duplicate (more than one actual row).
+
+    Counts are aggregated before the join; a null id matches nothing.
+    """
+    want = expected.select(id_).distinct().withColumn("_want", F.lit(True))
+    got = actual.groupBy(id_).agg(F.count(F.lit(1)).alias("_n"))
+    status = F.when(F.col("_n").isNull(), "missing").when(F.col("_want").isNull(), "unexpected").when(F.col("_n") > 1, "duplicate").otherwise("matched")
+    return want.join(got, id_, "full_outer").select(id_, status.alias("status"))
+
+
+def field_mismatches(rows: DataFrame, specs: DataFrame, id_: str, fields: list[str]) -> DataFrame:
+    """(id, issue): rows without a spec, specs without a row, and the first field in which a row differs from its spec."""
+    a = rows.select(id_, F.lit(True).alias("_row"), *[F.col(f).alias(f"_a_{f}") for f in fields])
+    b = specs.select(id_, F.lit(True).alias("_spec"), *[F.col(f).alias(f"_b_{f}") for f in fields])
+    issue = F.when(F.col("_spec").isNull(), "missing_spec").when(F.col("_row").isNull(), "missing_row")
+    for f in fields:
+        issue = issue.when(~F.col(f"_a_{f}").eqNullSafe(F.col(f"_b_{f}")), f"{f}_mismatch")
+    return a.join(b, id_, "full_outer").select(id_, issue.alias("issue")).where("issue is not null")
+
+
+def ordered_fingerprint(rows: DataFrame, seq: str, row: Column, part_rows: int) -> DataFrame:
+    """(fingerprint, parts): a hash of all rows in the order of seq, over the hashes of parts of part_rows numbers of seq each.
+
+    The last step gets one hash for each part, in one task.
+    """
+    each = rows.select(F.floor(F.col(seq) / part_rows).alias("part"), F.col(seq).alias("seq"), F.sha2(row.cast("binary"), 256).alias("h"))
+    of = lambda items: F.sha2(F.array_join(F.transform(F.array_sort(items), lambda x: x["h"]), "").cast("binary"), 256)
+    parts = each.groupBy("part").agg(of(F.collect_list(F.struct("seq", "h"))).alias("h"))
+    return parts.agg(of(F.collect_list(F.struct("part", "h"))).alias("fingerprint"), F.count(F.lit(1)).alias("parts"))
+
+
+def first_by_group(rows: DataFrame, group: str, seq: str, k: int) -> DataFrame:
+    """The k rows of each group that come first by seq."""
+    near = rows.withColumn("_p", F.pmod(F.xxhash64(seq), F.lit(64)))
+    near = near.withColumn("_r", F.row_number().over(Window.partitionBy(group, "_p").orderBy(seq))).where(F.col("_r") <= k)
+    return near.withColumn("_r", F.row_number().over(Window.partitionBy(group).orderBy(seq))).where(F.col("_r") <= k).drop("_p", "_r")

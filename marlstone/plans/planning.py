@@ -55,9 +55,17 @@ def gaps(ranges: DataFrame, key: str, start: str, stop: str) -> DataFrame:
 
 
 def hash_order(rows: DataFrame, id_: str, salt: str) -> DataFrame:
-    """A stable pseudo-random rank of a catalog."""
+    """A stable pseudo-random rank of a catalog.
+
+    Ids are ranked within the buckets of their hash's first digits, behind the
+    rows of the buckets before; one task sees a count for each bucket (65536).
+    """
     h = F.sha2(F.concat(F.lit(salt), F.col(id_).cast("string")).cast("binary"), 256)
-    return rows.select(id_, F.row_number().over(Window.orderBy(h, id_)).cast("long").alias("rank"))
+    hashed = rows.select(id_, h.alias("_h"), F.substring(h, 1, 4).alias("_bucket"))
+    sizes = hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = hashed.join(sizes.select("_bucket", before.alias("_before")), "_bucket")
+    return ranked.select(id_, (F.row_number().over(Window.partitionBy("_bucket").orderBy("_h", id_)) + F.col("_before")).cast("long").alias("rank"))
 
 
 def gate(checks: dict[str, DataFrame]) -> DataFrame:
@@ -77,3 +85,22 @@ def changed(old: DataFrame, new: DataFrame, key: str, value: str) -> DataFrame:
 
 def cost(tokens_in: Column, tokens_out: Column, price_in: float, price_out: float) -> Column:
     return F.round((tokens_in * price_in + tokens_out * price_out) / 1_000_000, 6)
+
+
+def prefer_final(files: DataFrame, key: list[str], is_shard: str) -> DataFrame:
+    """Of each key the final files, or all its shards where there is none."""
+    finals = files.where(~F.col(is_shard)).select(*key).distinct().withColumn("_final", F.lit(True))
+    return files.join(finals, key, "left").where(~F.col(is_shard) | F.col("_final").isNull()).drop("_final")
+
+
+def yields(counts: DataFrame, key: str, wanted: int) -> DataFrame:
+    """counts (key, capacity, ok, seen) -> yield_rate of the rows seen, the rows projected from the capacity, and the headroom over wanted."""
+    rate = F.col("ok") / F.greatest(F.col("seen"), F.lit(1))
+    projected = F.floor(F.col("capacity") * rate).cast("long")
+    return counts.select(key, "capacity", F.round(rate, 6).alias("yield_rate"), projected.alias("projected"), (projected - wanted).alias("headroom"))
+
+
+def choice(id_: Column, salt: str, options: tuple[str, ...]) -> Column:
+    """One of the options by a salted hash of the id."""
+    n = F.conv(F.substring(F.md5(F.concat(F.lit(salt), id_.cast("string")).cast("binary")), 1, 8), 16, 10).cast("long") % len(options)
+    return F.element_at(F.array(*map(F.lit, options)), n.cast("int") + 1)
