@@ -25,7 +25,7 @@ def new_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, tag: str, by: str | None = None) -> DataFrame:
+def materialise(df: DataFrame, tag: str, by: str | None = None, compression: str = "snappy") -> DataFrame:
     """Write df to the shared folder and read it back.
 
     Cuts the lineage in a way that survives lost executors, and gives the
@@ -35,7 +35,7 @@ def materialise(df: DataFrame, tag: str, by: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, tag)
     writer = df.write if by is None else df.write.partitionBy(by)
-    writer.parquet(path)
+    writer.option("compression", compression).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_to = path
     return out
