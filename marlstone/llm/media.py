@@ -455,7 +455,7 @@ def read_media(media: DataFrame, tensors: bool = False) -> DataFrame:
 
 def stored(documents: DataFrame) -> DataFrame:
     """documents' texts as media files in a table of the shared folder, and what is read back from the stored files, tensors included."""
-    return read_media(materialise(to_media(documents), "media-files"), tensors=True)
+    return read_media(materialise(to_media(documents), "media-files", compression="zstd"), tensors=True)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
