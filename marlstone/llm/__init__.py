@@ -1,7 +1,8 @@
 """Training-data pipeline operators.
 
 Nothing outside this package imports it.  Functions that run inside Python
-workers are pickled by value, so executors need no copy of the package.
+workers are pickled by value; cached tables are named by their module, so the
+repository must be on the executors' path (or shipped by --py-files).
 """
 
 import sys
