@@ -25,7 +25,7 @@ def discover(spark: SparkSession, path: str, names: str = "*.jsonl", batch: str
 
 def manifests(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """(file, metadata, issue): one JSON document a file; bad_json where it does not parse, no_metadata where it has none."""
-    docs = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("_text"))
+    docs = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json").select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("_text"))
     got = docs.withColumns({"_any": F.try_parse_json("_text"), "metadata": F.from_json("_text", f"metadata struct<{schema}>")["metadata"]})
     issue = F.when(F.col("_any").isNull(), "bad_json").when(F.col("metadata").isNull(), "no_metadata")
     return got.select("file", "metadata", issue.alias("issue"))
