@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.shared import materialise
+from ..sources.shared import discard, materialise
 
 
 def jaccard_pairs(sets: DataFrame, id_: str, items: str, threshold: float) -> DataFrame:
@@ -17,7 +17,42 @@ def jaccard_pairs(sets: DataFrame, id_: str, items: str, threshold: float) -> Da
     the length bound.  Pairs are verified on the full sets.
     """
     # Filtered once written: a filter on s would be pushed below, and its expression be run again there.
-    rows = materialise(sets.select(F.col(id_).alias("id"), F.col(items).alias("s")), "jaccard-sets").where(F.size("s") > 0)
+    return _pairs(materialise(sets.select(F.col(id_).alias("id"), F.col(items).alias("s")), "jaccard-sets").where(F.size("s") > 0), threshold)
+
+
+def jaccard_classes(sets: DataFrame, id_: str, items: str, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(pairs, copies): jaccard_pairs of the first rows of equal sets alone, and (id, first, n) of the others.
+
+    A row whose set equals an earlier one's is a copy, at one row, whatever the
+    number of its kin; n is the size of the set.  Empty and null sets have
+    neither pairs nor copies.  Equal sets are told by their SHA-256.
+    """
+    key = F.sha2(F.array_join(F.array_sort(items), ",").cast("binary"), 256)
+    named = materialise(sets.select(F.col(id_).alias("id"), F.col(items).alias("s"), F.when(F.size(items) > 0, key).alias("key")), "jaccard-sets")
+    first = named.where("key is not null").groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").select("key", "first")
+    copies = materialise(named.join(first, "key").where("id > first").select("id", "first", F.size("s").cast("long").alias("n")), "jaccard-copies")
+    rows = named.where("key is not null").join(copies.select("id"), "id", "left_anti").select("id", "s")
+    firsts = materialise(rows, "jaccard-firsts")
+    discard(named)
+    return _pairs(firsts, threshold), copies
+
+
+def expanded(pairs: DataFrame, copies: DataFrame) -> DataFrame:
+    """All pairs (u, v, common, total) of rows, copies included, from what jaccard_classes returns."""
+    of = copies.select("first", F.col("id").alias("member"))
+    near = pairs
+    for end in ("u", "v"):
+        more = near.join(of, near[end] == of["first"]).withColumn(end, F.col("member")).select(*pairs.columns)
+        near = near.unionByName(more)
+    near = near.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), "common", "total")
+    star = copies.select(F.col("first").alias("u"), F.col("id").alias("v"), F.col("n").alias("common"), F.col("n").alias("total"))
+    a, b = copies.select("first", F.col("id").alias("u"), "n"), copies.select("first", F.col("id").alias("v"))
+    within = a.join(b, "first").where("u < v").select("u", "v", F.col("n").alias("common"), F.col("n").alias("total"))
+    return near.unionByName(star).unionByName(within)
+
+
+def _pairs(rows: DataFrame, threshold: float) -> DataFrame:
+    """jaccard_pairs of a written table of id and s, none empty."""
     item = rows.select("id", F.explode("s").alias("item"))
     frequency = item.groupBy("item").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
     # An item of one set joins nothing; it only takes its place at the front of the order.

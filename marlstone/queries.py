@@ -129,10 +129,15 @@ p as (select a.doc_id as u, b.doc_id as v, count(*) as common from s a join s b
 e as (select u, v, common, x.n + y.n - common as total from p join n x on u = x.doc_id join n y on v = y.doc_id where common / (x.n + y.n - common) >= {{0}})"""
 
 
-def _edges(spark, d, threshold: float = 0.80) -> DataFrame:
+def _classes(spark, d, threshold: float = 0.80) -> tuple[DataFrame, DataFrame]:
     # Tokens are a column of their own: inside the shingles' lambda the expression would run anew for each shingle.
     sets = _docs(spark, d).select("doc_id", tx.tokens(F.col("text")).alias("w")).select("doc_id", tx.shingles(F.col("w"), 5).alias("s"))
-    return materialise(similarity.jaccard_pairs(sets, "doc_id", "s", threshold), "edges")
+    pairs, copies = similarity.jaccard_classes(sets, "doc_id", "s", threshold)
+    return materialise(pairs, "edges"), copies
+
+
+def _edges(spark, d, threshold: float = 0.80) -> DataFrame:
+    return similarity.expanded(*_classes(spark, d, threshold))
 
 
 @query(f"with {SETS.format(0.80)} select * from e")
@@ -159,8 +164,11 @@ from documents left join adj on v = doc_id, fin"""
 @query(f"with recursive {SETS.format(0.80)}, x as (select doc_id, {FP.format('text')} as h from documents), c as (select u, v from e union select a.doc_id, b.doc_id from x a join x b on a.h = b.h and a.doc_id < b.doc_id)" + GREEDY)
 def near_dup_greedy(spark, d):
     docs = _docs(spark, d)
-    exact = dedup.first_wins(docs.select("doc_id", "text"), _key(), "doc_id").where("matched is not null").select(F.col("matched").alias("u"), F.col("doc_id").alias("v"))
-    return dedup.greedy_accept(docs, "doc_id", _edges(spark, d).select("u", "v").union(exact))
+    pairs, copies = _classes(spark, d)
+    # Texts without tokens have no set; their exact copies are told by the key.
+    bare = docs.where(F.size(tx.tokens(F.col("text"))) == 0).select("doc_id", "text")
+    exact = dedup.first_wins(bare, _key(), "doc_id").where("matched is not null").select("doc_id", F.col("matched").alias("first"))
+    return dedup.greedy_accept(docs, "doc_id", pairs, copies.select(F.col("id").alias("doc_id"), "first").unionByName(exact))
 
 
 HEAD = r"array_to_string(regexp_extract_all(lower(text), '[a-z0-9]+')[1:3], ' ')"
@@ -189,7 +197,8 @@ def conversation_multi_key(spark, d):
 
 @query(f"with recursive {SETS.format(0.80)}, b as (select u, v from e union select v, u from e), r as (select u, v from b union select r.u, b.v from r join b on r.v = b.u), c as (select u as doc_id, least(u, min(v)) as component from r group by u) select doc_id, component, count(*) over (partition by component) as size from c")
 def near_dup_components(spark, d):
-    named = components(_edges(spark, d).select("u", "v")).select(F.col("node").alias("doc_id"), F.col("comp").alias("component"))
+    pairs, copies = _classes(spark, d)
+    named = components(pairs.select("u", "v").union(copies.select("id", "first"))).select(F.col("node").alias("doc_id"), F.col("comp").alias("component"))
     return named.join(named.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "component").select("doc_id", "component", "size")
 
 
@@ -454,7 +463,9 @@ from k left join near on k.doc_id = near.doc_id)"""
 @query(f"{AUDIT} select * from audit")
 def public_audit_full(spark, d):
     docs = _docs(spark, d)
-    near = _edges(spark, d, 0.80).select(F.col("v").alias("doc_id")).distinct().withColumn("near", F.lit(True))
+    # A copy is near its first; a first is near an earlier row if and only if it is near an earlier first.
+    pairs, copies = _classes(spark, d)
+    near = pairs.select(F.col("v").alias("doc_id")).union(copies.select("id")).distinct().withColumn("near", F.lit(True))
     repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("ids")).where("ids > 1")
     got = dedup.first_wins(docs.select("doc_id", "text", "source"), _key(), "doc_id").join(repeated, "doc_id", "left").join(near, "doc_id", "left")
     verdict = (

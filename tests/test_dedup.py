@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from marlstone.operators import dedup
+from marlstone.operators import dedup, similarity
 
 
 def by_loop(rows):
@@ -32,3 +32,24 @@ def test_null_keys_conflict_with_nothing(spark):
 
 def test_no_rows(spark):
     check(spark, [])
+
+
+def test_pairs_of_equal_sets_come_from_their_firsts(spark):
+    """Whatever is collapsed, all pairs return; empty and null sets have none."""
+    base = list(range(20))
+    sets = {1: base, 2: base[::-1], 3: base[:-1] + [99], 4: base, 5: [], 6: [], 7: None, 8: [7], 9: [7], 10: base[:-1] + [99], 11: list(range(40, 50))}
+    df = spark.createDataFrame([(i, s) for i, s in sets.items()], "id long, s array<bigint>")
+    want = set()
+    for u in sets:
+        for v in sets:
+            a, b = set(sets[u] or ()), set(sets[v] or ())
+            if u < v and a and b and len(a & b) / len(a | b) >= 0.8:
+                want.add((u, v, len(a & b), len(a | b)))
+    pairs, copies = similarity.jaccard_classes(df, "id", "s", 0.8)
+    assert sorted((r.id, r["first"]) for r in copies.collect()) == [(2, 1), (4, 1), (9, 8), (10, 3)]
+    assert [(r.u, r.v) for r in pairs.collect()] == [(1, 3)]
+    got = [tuple(r) for r in similarity.expanded(pairs, copies).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert {tuple(r) for r in similarity.jaccard_pairs(df, "id", "s", 0.8).collect()} == want
+    none, no_copies = similarity.jaccard_classes(df.limit(0), "id", "s", 0.8)
+    assert similarity.expanded(none, no_copies).count() == 0
