@@ -7,7 +7,7 @@ import os
 import duckdb
 import pytest
 
-from marlstone import queries, record_queries, report_queries  # noqa: F401
+from marlstone import chat_queries, queries, record_queries, report_queries  # noqa: F401
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
