@@ -1,6 +1,6 @@
 """Queries of the training-data operators and their DuckDB SQL where SQL can express them."""
 
-from . import ctw, decontam, kdshard, licenses, media, mixing, ngramjoin, quality, toxicity, warc
+from . import collocations, ctw, decontam, filteraudit, kdshard, licenses, media, mixing, ngramjoin, quality, simhash, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
@@ -13,6 +13,9 @@ QUERIES = {
     "op8_decontamination": decontam.query,
     "op9_source_mix": mixing.query,
     "op10_ngram_join": ngramjoin.query,
+    "op11_simhash": simhash.query,
+    "op12_filter_audit": filteraudit.query,
+    "op13_collocations": collocations.query,
 }
 
 ORACLE_SQL = {
@@ -20,4 +23,6 @@ ORACLE_SQL = {
     "op8_decontamination": decontam.ORACLE.replace("{documents}", "documents"),
     "op9_source_mix": mixing.ORACLE.replace("{documents}", "documents"),
     "op10_ngram_join": ngramjoin.ORACLE.replace("{documents}", "documents"),
+    "op12_filter_audit": filteraudit.ORACLE.replace("{documents}", "documents"),
+    "op13_collocations": collocations.ORACLE.replace("{documents}", "documents"),
 }
