@@ -12,8 +12,9 @@ included.
    LEAST, so of the merged sketch one bit a counter is kept: LEAST or more.
 2. The bits are broadcast.  The second pass over the texts drops each n-gram of
    which any bit is unset, and counts all others exactly: in each task, then by
-   phrase.  So nothing frequent is lost, and what the sketch let through wrongly
-   goes with its exact count.
+   phrase, in ranges of hashes.  A task's phrases of a range travel sorted and
+   compressed.  So nothing frequent is lost, and what the sketch let through
+   wrongly goes with its exact count.
 3. A candidate is a phrase of 2 to LONGEST words with a = f(phrase) >= LEAST.  The
    parts of a candidate are at least as frequent, so they were counted too.  It
    is scored by its weakest cut into two parts, floor(SCALE * a * a / (l * r)),
@@ -35,11 +36,14 @@ table gives no rows.  Within a task words are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+import struct
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import discard, materialise, table
+from .packing import pack, unpack
 from .textvec import SPACE_BYTES, blocks, lower_table, mix, pieces, spans, word_hashes
 
 LEAST = 10
@@ -50,8 +54,9 @@ TOP = 2000
 NO_GROUP = "und"
 PIECE_BYTES = b".,;:!?\x0a\x0b\x0c\x0d"
 DEPTH = 2
-BYTES_A_COUNTER, MIN_BITS, MAX_BITS = 16, 16, 26
-#: Counters of a slice; n-grams that a task adds to its sketch, and survivors that it counts, at a time; buckets in which candidates are ranked first.
+BYTES_A_COUNTER, MIN_BITS, MAX_BITS = 32, 16, 26
+#: Ranges of hashes for each shuffle partition; counters of a slice; n-grams that a task adds to its sketch, and survivors that it counts, at a time; buckets in which candidates are ranked first.
+RANGES = 4
 SLICE = 1 << 16
 ADDED = 1 << 22
 COUNTED = 1 << 20
@@ -185,28 +190,45 @@ def frequent_bits(texts: DataFrame, bits: int) -> bytes:
     return out.tobytes()
 
 
-def _counted(sketch, bits: int):
-    """A function for mapInArrow: texts -> (part, k, phrase, n): the task's counts of what the sketch lets through, and its words by part (k 0)."""
+SENT = "part string, range int, phrases binary, counts binary"
+
+
+def _counted(sketch, bits: int, ranges: int):
+    """A function for mapInArrow: texts -> SENT: for each part and range the task's phrases that the sketch lets through, and their counts; range -1: the part's words."""
 
     def run(batches):
         import pyarrow as pa
 
         rows = np.frombuffer(sketch.value, np.uint8).reshape(DEPTH, -1)
-        known = np.zeros(0, np.uint64)
-        counts = np.zeros(0, np.int64)
-        texts: list[tuple[str, int, str]] = []
-        place = np.zeros(0, np.int64)  # of each known key its text's index
-        words: dict[str, int] = {}
+        parts: dict[str, int] = {}
+        words: list[int] = []
+        # Of each survivor: its key in order, and by `place` its phrase and part.
+        known, counts, place = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        phrases: list[bytes] = []
+        part_of: list[np.ndarray] = []
 
         def out():
-            of = [texts[i] for i in place.tolist()]
-            cols = zip(*of, strict=True) if of else ((), (), ())
-            kinds = (pa.string(), pa.int32(), pa.string())
-            return pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(cols, kinds, strict=True)), pa.array(counts, pa.int64())], names=["part", "k", "phrase", "n"])
+            if not len(known):
+                return
+            names, of = list(parts), np.concatenate(part_of)[place]
+            where = of * ranges + (known % np.uint64(ranges)).astype(np.int64)
+            order = np.argsort(where, kind="stable")
+            for some in np.split(order, np.flatnonzero(np.diff(where[order])) + 1):
+                own = place[some].tolist()
+                by = sorted(range(len(own)), key=lambda i: phrases[own[i]])
+                body = b"\n".join(phrases[own[i]] for i in by)
+                p, r = divmod(int(where[some[0]]), ranges)
+                yield sent([(names[p], r, struct.pack("<I", len(body)) + pa.compress(body, codec="zstd", asbytes=True), pack(counts[some[by]].astype(np.uint64)))])
+
+        def sent(rows_):
+            kinds = (pa.string(), pa.int32(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows_, strict=True), kinds, strict=True)], names=["part", "range", "phrases", "counts"])
 
         for data, starts, ends, first, row, after, hashes, names, own, group in _texts(batches):
-            for i, c in zip(own.tolist(), np.diff(first).tolist(), strict=True):
-                words[names[i]] = words.get(names[i], 0) + c
+            number = np.array([parts.setdefault(x, len(parts)) for x in names], np.int64)[own]
+            words += [0] * (len(parts) - len(words))
+            for p, c in zip(number.tolist(), np.diff(first).tolist(), strict=True):
+                words[p] += c
             raw = data.tobytes()
             for k, at, key in grams(hashes, after, group):
                 live = np.ones(len(key), bool)
@@ -222,29 +244,63 @@ def _counted(sketch, bits: int):
                 fresh = np.flatnonzero(~old)
                 if not len(fresh):
                     continue
-                where = np.arange(len(texts), len(texts) + len(fresh))
-                for i in head[fresh].tolist():
-                    phrase = b" ".join(raw[starts[j] : ends[j]] for j in range(i, i + k))
-                    texts.append((names[own[row[i]]], k, phrase.decode("utf-8", "replace")))
+                where = np.arange(len(phrases), len(phrases) + len(fresh))
+                phrases += [b" ".join(raw[a:b] for a, b in zip(starts[i : i + k].tolist(), ends[i : i + k].tolist(), strict=True)) for i in head[fresh].tolist()]
+                part_of.append(number[row[head[fresh]]])
                 known, counts, place = (np.insert(x, found[fresh], y) for x, y in ((known, key[fresh]), (counts, n[fresh]), (place, where)))
             if len(known) >= COUNTED:
-                yield out()
+                yield from out()
                 known, counts, place = known[:0], counts[:0], place[:0]
-                texts.clear()
-        yield out()
-        yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array([0] * len(words), pa.int32()), pa.array([""] * len(words), pa.string()), pa.array(list(words.values()), pa.int64())], names=["part", "k", "phrase", "n"])
+                phrases.clear()
+                part_of.clear()
+        yield from out()
+        if parts:
+            yield sent([(name, -1, None, pack(np.array([n], np.uint64))) for name, n in zip(parts, words, strict=True)])
 
     return run
 
 
+def _summed(batches):
+    """Rows of SENT sorted by part and range -> (part, k, phrase, n): phrases met LEAST times or more, and with k 0 the part's words."""
+    import pyarrow as pa
+
+    now, total = None, {}
+
+    def finish():
+        part, r = now
+        kept = [(p.count(b" ") + 1 if r >= 0 else 0, p.decode("utf-8", "replace"), n) for p, n in total.items() if n >= LEAST or r < 0]
+        for i in range(0, len(kept), 50_000):
+            k, phrase, n = zip(*kept[i : i + 50_000], strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array([part] * len(k), pa.string()), pa.array(k, pa.int32()), pa.array(phrase, pa.string()), pa.array(n, pa.int64())], names=["part", "k", "phrase", "n"])
+
+    for batch in batches:
+        for part, r, body, counts in zip(*(batch.column(c).to_pylist() for c in ("part", "range", "phrases", "counts")), strict=True):
+            if (part, r) != now:
+                if now is not None:
+                    yield from finish()
+                now, total = (part, r), {}
+            (n,) = unpack(counts)
+            own = [b""] if r < 0 else pa.decompress(body[4:], decompressed_size=struct.unpack("<I", body[:4])[0], codec="zstd", asbytes=True).split(b"\n")
+            for p, c in zip(own, n.tolist(), strict=True):
+                total[p] = total.get(p, 0) + c
+    if now is not None:
+        yield from finish()
+
+
+def counted(texts: DataFrame, sketch, bits: int, ranges: int) -> DataFrame:
+    """(part, range, phrases, counts): what each task counts of what the sketch lets through."""
+    return texts.mapInArrow(_counted(sketch, bits, ranges), SENT)
+
+
 def frequent_phrases(texts: DataFrame) -> DataFrame:
     """(part, k, phrase, n), written: all phrases of 1 to LONGEST words met LEAST times or more in their part, and with k 0 each part's words; texts: text, part."""
     spark = texts.sparkSession
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     bits = min(MAX_BITS, max(MIN_BITS, (size // BYTES_A_COUNTER).bit_length()))
     sketch = spark.sparkContext.broadcast(frequent_bits(texts, bits))
-    some = texts.mapInArrow(_counted(sketch, bits), "part string, k int, phrase string, n long")
-    return materialise(some.groupBy("part", "k", "phrase").agg(F.sum("n").alias("n")).where(f"k = 0 or n >= {LEAST}"), "phrases")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    some = counted(texts, sketch, bits, RANGES * partitions).repartition(partitions, "part", "range").sortWithinPartitions("part", "range")
+    return materialise(some.mapInArrow(_summed, "part string, k int, phrase string, n long"), "phrases")
 
 
 def scored(phrases: DataFrame) -> DataFrame:
