@@ -261,8 +261,10 @@ def link_fingerprints(nodes: DataFrame, hot: int = HOT) -> DataFrame:
     rows, level = nodes.select(F.lit(0).cast("long").alias("mask"), "fp", F.col("fp").alias("comp")), [0]
     comps, made = None, []
     while True:
-        children = [c for m in level for c in cut(m)]
-        posts = materialise(_posted(rows, level), "simhash-posts")
+        # Two cuts may share out the bits so that they have a finer one in common.
+        children = sorted({c for m in level for c in cut(m)})
+        posts = _posted(rows, level)
+        posts = materialise(posts if comps is None else posts.dropDuplicates(["mask", "fp"]), "simhash-posts")
         if made:
             discard(made.pop())
         keyed = posts.withColumn("bucket", _bucket())
