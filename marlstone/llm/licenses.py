@@ -257,9 +257,12 @@ FIELDS = "n_words long, n_base long, first_word long, last_word long, base_label
 
 def scan_licenses(documents: DataFrame) -> DataFrame:
     """documents with the columns of FIELDS, in place of text."""
-    rows = documents.select(*[c for c in documents.columns if c not in MADE and c != "text"], F.col("text").cast("binary").alias("_text"))
-    kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema if f.name != "_text")
-    return rows.mapInArrow(_scan, kept + FIELDS)
+    # Other columns travel under names of their own, so that none of them clashes.
+    names = [c for c in documents.columns if c not in MADE and c != "text"]
+    rows = documents.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], F.col("text").cast("binary").alias("_text"))
+    kept = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema if f.name != "_text")
+    out = rows.mapInArrow(_scan, kept + FIELDS)
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], *MADE)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ import struct
 import zlib
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, table
@@ -436,21 +436,24 @@ def _decode(tensors: bool):
 FEATURES = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
-def _fields(df: DataFrame, without: str) -> str:
-    return "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema if f.name != without)
+def _mapped(df: DataFrame, without: tuple[str, ...], payload: Column, name: str, run, made: str) -> DataFrame:
+    """run on df's columns but `without`, which travel under names of their own, and payload as `name`; made: the fields it adds."""
+    names = [c for c in df.columns if c not in without]
+    rows = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], payload.alias(name))
+    kept = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema if f.name != name)
+    out = rows.mapInArrow(run, kept + made)
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], *out.columns[len(names) :])
 
 
 def to_media(documents: DataFrame) -> DataFrame:
     """documents with n_bytes and media, the progressive JPEG file that holds the text, in place of text."""
-    rows = documents.select(*[c for c in documents.columns if c not in ("text", "n_bytes", "media")], F.col("text").cast("binary").alias("_text"))
-    return rows.mapInArrow(_encode, _fields(rows, "_text") + "n_bytes long, media binary")
+    return _mapped(documents, ("text", "n_bytes", "media"), F.col("text").cast("binary"), "_text", _encode, "n_bytes long, media binary")
 
 
 def read_media(media: DataFrame, tensors: bool = False) -> DataFrame:
     """media's rows with what is read back from their files: FEATURES, and the tensor struct<height, width, rgb> if asked for."""
     made = {f.split()[0] for f in FEATURES.split(", ")} | {"tensor"}
-    rows = media.select(*[c for c in media.columns if c not in made])
-    return rows.mapInArrow(_decode(tensors), _fields(rows, "media") + FEATURES + ", tensor struct<height:int,width:int,rgb:binary>" * tensors)
+    return _mapped(media, (*made, "media"), F.col("media"), "media", _decode(tensors), FEATURES + ", tensor struct<height:int,width:int,rgb:binary>" * tensors)
 
 
 def stored(documents: DataFrame) -> DataFrame:
