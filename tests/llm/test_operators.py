@@ -197,16 +197,20 @@ def scheduled(rows, want):
     for i, r in enumerate(rows):
         docs[r[3]].append((hashlib.md5(str(r[0] or 0).encode()).hexdigest(), len(words(r[1])), i))
     laid = {s: [i for _, n, i in sorted(d) for _ in range(n)] for s, d in docs.items()}
-    taken, first, at = Counter(), {}, Counter()
+    slots = {s: [] for s in order}
     for slot in range(math.ceil(sum(map(len, laid.values())) / mixing.BLOCK)):
         u = slot * mixing.GOLDEN % mixing.POINTS
         for s in order:
             if bounds[s][0] <= u < bounds[s][1]:
-                for w in range(at[s], min(at[s] + mixing.BLOCK, 3 * len(laid[s]))):
-                    i = laid[s][w % len(laid[s])]
-                    taken[i] += 1
-                    first.setdefault(i, slot)
-                at[s] += mixing.BLOCK
+                slots[s].append(slot)
+    taken, first = Counter(), {}
+    for s in order:
+        for w in range(quota[s]):
+            i = laid[s][w % len(laid[s])]
+            taken[i] += 1
+            if i not in first:
+                block = w // mixing.BLOCK
+                first[i] = slots[s][block] if block < len(slots[s]) else None
     return [(r[0], r[3], len(words(r[1])), taken[i], first.get(i)) for i, r in enumerate(rows)]
 
 
@@ -222,7 +226,7 @@ def test_source_mix(spark, corpus):
     for s in order:
         own = [r for r in got if r.source == s]
         assert all(math.isclose(r.target, want[s]) and r.source_size == sizes[s] for r in own)
-        assert abs(sum(r.taken for r in own) - want[s]) <= 3 * mixing.BLOCK
+        assert abs(sum(r.taken for r in own) - want[s]) <= 0.5
         assert all(0 <= r.taken <= 3 * r["size"] for r in own)
     assert Counter((r.doc_id, r.source, r["size"], r.taken, r.first_slot) for r in got) == Counter(scheduled(corpus, want))
     again = mixing.mix(frame(spark, corpus).repartition(7)).collect()
@@ -230,6 +234,18 @@ def test_source_mix(spark, corpus):
     assert mixing.mix(frame(spark, corpus).limit(0)).count() == 0
 
 
+def test_sources_of_a_few_words_meet_their_targets(spark):
+    rows = [(1000 + i, "w " * n, "en", f"s{n:03d}") for i, n in enumerate((1, 2, 5, 9, 30, 64, 65, 130, 200))] + [(i, "x " * 500, "en", "z") for i in range(20)]
+    got = mixing.mix(frame(spark, rows)).collect()
+    taken = Counter()
+    for r in got:
+        taken[r.source] += r.taken
+    targets = {r.source: r.target for r in got}
+    assert all(abs(taken[s] - t) <= 0.5 for s, t in targets.items())
+    assert targets["s001"] == 3 and taken["s001"] == 3 and taken["s200"] == 600
+    assert sorted(map(tuple, got), key=repr) == sorted(((a, b, c, next(r.source_size for r in got if r.source == b), targets[b], d, e) for a, b, c, d, e in scheduled([(r[0], r[1], r[2], r[3]) for r in rows], targets)), key=repr)
+
+
 def test_schedule_is_even_everywhere(spark):
     """Any stretch of the schedule holds each source's share of it."""
     rows = [(i, "w " * 500, "en", f"s{i % 4}") for i in range(400)]
