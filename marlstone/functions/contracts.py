@@ -13,10 +13,27 @@ from .text import normal_space
 from .validators import codes
 
 #: Patterns and limits (fixed values).
-SCHEMA_FIELDS = r'"(?:id|prompt|reasoning|chosen|rejected|response|metadata|role|content)"\s*:'
+RESPONSE_FIELDS = r'"(?:id|prompt|reasoning|response|metadata)"\s*:'
+PAIR_FIELDS = r'"(?:id|prompt|chosen|rejected|metadata|role|content)"\s*:'
 REFUSAL = r"\b(?:i\s+can(?:not|'?t)|i\s+am\s+unable|i'm\s+unable|unable\s+to|can(?:not|'?t)\s+provide|i\s+do\s+not\s+have\s+access|i\s+don't\s+have\s+access|not\s+enough\s+information|insufficient\s+information|as\s+an\s+ai)\b"
 RESTRAINT = r"\b(?:can(?:not|'?t)|do\s+not|don't|should\s+not|will\s+not|won't|unverifiable|unknown|not\s+publicly|not\s+available|unavailable|not\s+enough|insufficient|no\s+reliable|avoid\s+inventing|cannot\s+determine|private|no\s+source)\b"
-ARITHMETIC = r"(-?\d+)\s*([+\-*/x])\s*(-?\d+)"
+ARITHMETIC = r"(-?\d+)\s*([+\-*/x×÷])\s*(-?\d+)"
+WORD_PROBLEMS = (
+    (r"(?i)\bhas\s+(\d+)\s+pencils\b.*\binto\s+(\d+)\s+bags\b", "/"),
+    (r"(?i)\bhas\s+(\d+)\s+shelves\b.*\bwith\s+(\d+)\s+books\b", "*"),
+    (r"(?i)\bbuys\s+(\d+)\s+packs\b.*\bwith\s+(\d+)\s+markers\b", "*"),
+    (r"(?i)\bhas\s+(\d+)\s+cars\b.*\bwith\s+(\d+)\s+seats\b", "*"),
+    (r"(?i)\buses\s+(\d+)\s+cups\b.*\bfor\s+(\d+)\s+loaves\b", "*"),
+    (r"(?i)\bcompletes\s+(\d+)\s+laps\b.*\bof\s+(\d+)\s+meters\b", "*"),
+    (r"(?i)\bships\s+(\d+)\s+boxes\b.*\bwith\s+(\d+)\s+items\b", "*"),
+    (r"(?i)\bhas\s+(\d+)\s+students\b.*\binto\s+(\d+)\s+groups\b", "/"),
+    (r"(?i)\bsold\s+(\d+)\s+morning\s+tickets\b.*\band\s+(\d+)\s+afternoon\s+tickets\b", "+"),
+)
+NAMED_FUNCTION = r"(?i)\bfunction\s+named\s+([A-Za-z_]\w*)\b"
+EXPECTED_FUNCTION = r"(?i)\bnamed\s+([A-Za-z_]\w*)\b"
+SIGNATURE_ONLY = r"^\s*(?:async\s+)?def\s+[A-Za-z_]\w*\s*\([^\n]*\)\s*:\s*$"
+FUNCTION = r"\b(?:async\s+)?def\s+[A-Za-z_]\w*\s*\("
+FUNCTION_NAME = r"\bdef\s+([A-Za-z_]\w*)\s*\("
 INTEGER = r"^[+-]?\d+$"
 MIN_CONTRAST_WORDS, CONTRAST_JACCARD, CONTRAST_LENGTH = 6, 0.92, 0.08
 MAX_RESTRAINT_WORDS, MAX_REWRITE_WORDS = 60, 18
@@ -81,17 +98,26 @@ def copies(prompt: Column, answer: Column) -> Column:
     return (prompt != "") & (answer != "") & ((prompt == answer) | longer)
 
 
-def leaks(text: Column) -> Column:
-    """A schema's field, or JSON whole or broken."""
-    return F.regexp_like(text, F.lit(SCHEMA_FIELDS)) | F.substring(text, 1, 1).isin("{", "[")
+def leaks(text: Column, fields: str) -> Column:
+    """A field of the rows' own schema, or JSON whole or broken."""
+    return F.regexp_like(text, F.lit(fields)) | F.substring(text, 1, 1).isin("{", "[")
 
 
-def arithmetic_result(prompt: Column) -> Column:
-    """The result of the first operation of two integers; null if there is none or it is no integer."""
-    a, op, b = (F.regexp_extract(prompt, ARITHMETIC, i) for i in (1, 2, 3))
+def _applied(a: Column, op: Column, b: Column) -> Column:
+    """a op b of two digit strings; null where it is no integer."""
     a, b = a.try_cast("bigint"), b.try_cast("bigint")
     whole = (b != 0) & (F.try_mod(a, b) == 0)
-    return F.when(op == "+", a + b).when(op == "-", a - b).when(op.isin("*", "x"), a * b).when((op == "/") & whole, F.try_divide(a, b).cast("bigint"))
+    times, over = op.isin("*", "x", "×"), op.isin("/", "÷")
+    return F.when(op == "+", F.try_add(a, b)).when(op == "-", F.try_subtract(a, b)).when(times, F.try_multiply(a, b)).when(over & whole, F.try_divide(a, b).cast("bigint"))
+
+
+def arithmetic_result(prompt: Column) -> Column:
+    """The result of the first operation of two integers, else of the first kind of word problem that the prompt is; null if there is none or it is no integer."""
+    a, op, b = (F.regexp_extract(prompt, ARITHMETIC, i) for i in (1, 2, 3))
+    out = F.when(op != "", _applied(a, op, b))
+    for pattern, op_ in WORD_PROBLEMS:
+        out = out.when(F.regexp_like(prompt, F.lit(pattern)), _applied(F.regexp_extract(prompt, pattern, 1), F.lit(op_), F.regexp_extract(prompt, pattern, 2)))
+    return out
 
 
 def response(signal: Column, prompt: Column, answer: Column) -> Column:
@@ -103,17 +129,20 @@ def response(signal: Column, prompt: Column, answer: Column) -> Column:
     integer = F.regexp_like(t, F.lit(INTEGER))
     sums = (signal == "arithmetic") & full & want.isNotNull()
     shaped = F.regexp_like(t, F.lit(r"\bdef\s+\w+\s*\(|\blambda\b"))
+    required = F.nullif(F.regexp_extract(p, NAMED_FUNCTION, 1), F.lit(""))
+    named = F.array_contains(F.regexp_extract_all(t, F.lit(FUNCTION_NAME), 1), required)
     asks = F.contains(F.lower(p), F.lit("sql query")) | F.contains(F.lower(p), F.lit("write a query")) | F.contains(F.lower(p), F.lit("write a select")) | F.contains(F.lower(p), F.lit("write a sql"))
     return codes(
         (t == "", "empty_response"),
         ((t != "") & (F.length(t) < 3) & ~((signal == "arithmetic") & integer), "too_short_response"),
         (copies(seed_key(p), seed_key(t)), "repeats_prompt"),
-        ((t != "") & leaks(t), "schema_leakage"),
+        ((t != "") & leaks(t, RESPONSE_FIELDS), "schema_leakage"),
         ((signal != "factual_restraint") & F.regexp_like(low, F.lit(REFUSAL)), "unexpected_refusal"),
         (sums & only & ~integer, "arithmetic_non_integer_answer"),
         (sums & ~(only & ~integer) & ~F.array_contains(F.regexp_extract_all(t, F.lit(r"[+-]?\d+"), 0), want.cast("string")), "arithmetic_wrong_answer"),
         ((signal == "code") & full & F.contains(t, F.lit("```")), "markdown_fence"),
         ((signal == "code") & full & F.contains(F.lower(p), F.lit("python function")) & ~shaped, "code_missing_function_definition"),
+        ((signal == "code") & full & shaped & ~F.contains(t, F.lit("```")) & required.isNotNull() & ~named, "code_wrong_function_name"),
         ((signal == "database") & full & asks & ~(F.contains(low, F.lit("select")) & F.contains(low, F.lit("from"))), "database_missing_sql_query"),
         ((signal == "factual_restraint") & (t != "") & ~F.regexp_like(low, F.lit(RESTRAINT)), "factual_restraint_missing_restraint"),
     )
@@ -139,10 +168,29 @@ def pair(prompt: Column, chosen: Column, rejected: Column) -> Column:
         (full & (c == r), "identical_pair"),
         (full & (c != r) & close, "non_contrastive_pair"),
         (copies(p, c) | copies(p, r), "prompt_copy_pair"),
-        (leaks(_text(chosen)) | leaks(_text(rejected)), "schema_leakage"),
+        (leaks(_text(chosen), PAIR_FIELDS) | leaks(_text(rejected), PAIR_FIELDS), "schema_leakage"),
     )
 
 
+def code_pair(prompt: Column, chosen: Column, rejected: Column, failure_mode: Column) -> Column:
+    """Issue codes of a pair of code answers, by the shape of functions; whether code parses is not looked at."""
+    c, r = _text(chosen), _text(rejected)
+    expected = F.nullif(F.regexp_extract(F.coalesce(prompt, F.lit("")), EXPECTED_FUNCTION, 1), F.lit(""))
+    names = F.regexp_extract_all(c, F.lit(FUNCTION_NAME), 1)
+    only = F.regexp_like(c, F.lit(SIGNATURE_ONLY))
+    return codes(
+        (only, "chosen_code_signature_only"),
+        (~only & (F.size(names) == 0), "chosen_code_missing_function"),
+        (~only & (F.size(names) > 0) & expected.isNotNull() & ~F.array_contains(names, expected), "chosen_code_wrong_function_name"),
+        ((failure_mode == "code_syntax_error") & ~F.regexp_like(r, F.lit(FUNCTION)), "rejected_code_not_python_function"),
+    )
+
+
+def restraint_length(category: Column, chosen: Column) -> Column:
+    """Whether an answer that holds back private information does so at length."""
+    return codes(((category == "private_info_restraint") & (F.regexp_count(F.lower(F.coalesce(chosen, F.lit(""))), F.lit("[a-z0-9]+")) > MAX_RESTRAINT_WORDS), "chosen_restraint_too_verbose"))
+
+
 def pair_contract(family: Column, prompt: Column, chosen: Column, rejected: Column) -> Column:
     """Issue codes of pairs whose template lets a machine tell the right answer."""
     c, r = _text(chosen), _text(rejected)

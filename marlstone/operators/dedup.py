@@ -9,18 +9,27 @@ from ..sources.shared import materialise
 
 
 def first_wins(rows: DataFrame, key: Column, seq: str) -> DataFrame:
-    """rows with status and matched: of equal keys the row of the smallest seq is accepted, the others match it.
+    """rows with status and matched: of equal keys one row of the smallest seq is accepted, the others match its seq.
 
     One value for each key of several rows is aggregated (partially, before the
     shuffle) and joined back; the planner splits or broadcasts that join, so a
-    key that many rows share does not meet in one task.  A null key is no copy
-    of another: such rows are accepted.
+    key that many rows share does not meet in one task.  Of several rows with
+    the smallest seq the one of the smallest hash of its columns is accepted,
+    and one of rows that are equal in all: only those equal rows are numbered.
+    A null key is no copy of another: such rows are accepted.
     """
-    keyed = rows.withColumn("_key", F.sha2(key.cast("binary"), 256))
-    first = keyed.where("_key is not null").groupBy("_key").agg(F.min(seq).alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    keyed = rows.withColumns({"_key": F.sha2(key.cast("binary"), 256), "_tie": F.xxhash64(*rows.columns)})
+    each = keyed.where("_key is not null").groupBy("_key", F.col(seq).alias("_seq"), "_tie").agg(F.count(F.lit(1)).alias("_equal"))
+    first = each.groupBy("_key").agg(F.min(F.struct("_seq", "_tie", "_equal")).alias("_first"), F.sum("_equal").alias("_n")).where("_n > 1")
+    first = materialise(first.select("_key", "_first"), "firsts")
     out = keyed.join(first, "_key", "left")
-    copy = F.col("_first").isNotNull() & ~F.col("_first").eqNullSafe(F.col(seq))
-    return out.withColumns({"status": F.when(copy, "duplicate").otherwise("accepted"), "matched": F.when(copy, F.col("_first"))}).drop("_key", "_first")
+    leads = F.col("_first").isNull() | (F.col(seq).eqNullSafe(F.col("_first._seq")) & (F.col("_tie") == F.col("_first._tie")))
+    done = out.withColumn("_copy", ~leads)
+    if not first.where("_first._equal > 1").isEmpty():
+        again = leads & (F.coalesce("_first._equal", F.lit(1)) > 1)
+        nth = F.row_number().over(Window.partitionBy("_key").orderBy("_tie"))
+        done = done.where(~again).unionByName(out.where(again).withColumn("_copy", nth > 1))
+    return done.withColumns({"status": F.when(F.col("_copy"), "duplicate").otherwise("accepted"), "matched": F.when(F.col("_copy"), F.col("_first._seq"))}).drop("_key", "_tie", "_first", "_copy")
 
 
 def zipped(left: DataFrame, right: DataFrame, group: str, order: list[str], value: str) -> DataFrame:

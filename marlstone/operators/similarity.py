@@ -25,16 +25,24 @@ def jaccard_classes(sets: DataFrame, id_: str, items: str, threshold: float) ->
 
     A row whose set equals an earlier one's is a copy, at one row, whatever the
     number of its kin; n is the size of the set.  Empty and null sets have
-    neither pairs nor copies.  Equal sets are told by their SHA-256.
+    neither pairs nor copies.  Equal sets are told by their SHA-256.  An id of
+    several different sets takes part with each; two such rows are no pair, and
+    of the pairs of two ids the most similar one is listed.
     """
     key = F.sha2(F.array_join(F.array_sort(items), ",").cast("binary"), 256)
     named = materialise(sets.select(F.col(id_).alias("id"), F.col(items).alias("s"), F.when(F.size(items) > 0, key).alias("key")), "jaccard-sets")
-    first = named.where("key is not null").groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").select("key", "first")
+    first = named.where("key is not null").groupBy("key").agg(F.min("id").alias("first"))
     copies = materialise(named.join(first, "key").where("id > first").select("id", "first", F.size("s").cast("long").alias("n")), "jaccard-copies")
-    rows = named.where("key is not null").join(copies.select("id"), "id", "left_anti").select("id", "s")
+    # One row for each set.  Ids may repeat on different sets, so sets are joined under a name of their own.
+    name = F.xxhash64("id", "key")
+    rows = named.join(first, "key").where("id = first").dropDuplicates(["key"]).select(name.alias("id"), "s", F.col("id").alias("of"))
     firsts = materialise(rows, "jaccard-firsts")
     discard(named)
-    return _pairs(firsts, threshold), copies
+    of = firsts.select("id", "of")
+    pairs = _pairs(firsts.select("id", "s"), threshold)
+    pairs = pairs.join(of.select(F.col("id").alias("u"), F.col("of").alias("a")), "u").join(of.select(F.col("id").alias("v"), F.col("of").alias("b")), "v")
+    pairs = pairs.where("a <> b").groupBy(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).agg(F.max(F.struct(F.col("common") / F.col("total"), "common", "total")).alias("m"))
+    return pairs.select("u", "v", "m.common", "m.total"), copies
 
 
 def expanded(pairs: DataFrame, copies: DataFrame) -> DataFrame:

@@ -62,7 +62,7 @@ def lit(s: str) -> str:
 
 RESPONSES = rf"""{_sql('response')}, t as (select *, {TRIM.format('answer')} as t, {RESULT} as want from m), s as (select *, lower(t) as low, {SEED.format('prompt')} as sp, {SEED.format('t')} as st, regexp_matches(t, '^[+-]?\d+$') as whole, contains(lower(prompt), 'only the integer result') as only_ from t),
 issued as (select k, signal, {JOINED.format(rf'''case when t = '' then 'empty_response' end, case when t <> '' and length(t) < 3 and not (signal = 'arithmetic' and whole) then 'too_short_response' end,
- case when {COPY.format('sp', 'st')} then 'repeats_prompt' end, case when t <> '' and (regexp_matches(t, {lit(ct.SCHEMA_FIELDS)}) or t[1] in ('{{', '[')) then 'schema_leakage' end,
+ case when {COPY.format('sp', 'st')} then 'repeats_prompt' end, case when t <> '' and (regexp_matches(t, {lit(ct.RESPONSE_FIELDS)}) or t[1] in ('{{', '[')) then 'schema_leakage' end,
  case when signal <> 'factual_restraint' and regexp_matches(low, {lit(ct.REFUSAL)}) then 'unexpected_refusal' end,
  case when signal = 'arithmetic' and t <> '' and want is not null and only_ and not whole then 'arithmetic_non_integer_answer' end,
  case when signal = 'arithmetic' and t <> '' and want is not null and not (only_ and not whole) and not list_contains(regexp_extract_all(t, '[+-]?\d+'), cast(want as varchar)) then 'arithmetic_wrong_answer' end,
@@ -100,7 +100,7 @@ select k, {JOINED.format(rf'''case when tc = '' or tr = '' then 'empty_pair_text
  case when c <> '' and r <> '' and c = r then 'identical_pair' end,
  case when c <> '' and r <> '' and c <> r and u >= 6 and i / u >= 0.92 and abs(length(c) - length(r)) <= 0.08 * greatest(length(c), length(r)) then 'non_contrastive_pair' end,
  case when {COPY.format('p', 'c')} or {COPY.format('p', 'r')} then 'prompt_copy_pair' end,
- case when regexp_matches(tc, {lit(ct.SCHEMA_FIELDS)}) or regexp_matches(tr, {lit(ct.SCHEMA_FIELDS)}) or tc[1] in ('{{', '[') or tr[1] in ('{{', '[') then 'schema_leakage' end''')} as issues from x""")
+ case when regexp_matches(tc, {lit(ct.PAIR_FIELDS)}) or regexp_matches(tr, {lit(ct.PAIR_FIELDS)}) or tc[1] in ('{{', '[') or tr[1] in ('{{', '[') then 'schema_leakage' end''')} as issues from x""")
 def pair_quality_full(spark, d):
     m = _made(spark, d, "pair")
     return m.select("k", F.array_join(ct.pair(F.col("prompt"), F.col("chosen"), F.col("rejected")), ",").alias("issues"))

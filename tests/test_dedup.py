@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from marlstone.functions.text import normal_space
 from marlstone.operators import dedup, similarity
 
 
@@ -53,3 +54,20 @@ def test_pairs_of_equal_sets_come_from_their_firsts(spark):
     assert {tuple(r) for r in similarity.jaccard_pairs(df, "id", "s", 0.8).collect()} == want
     none, no_copies = similarity.jaccard_classes(df.limit(0), "id", "s", 0.8)
     assert similarity.expanded(none, no_copies).count() == 0
+
+
+def test_first_wins_accepts_one_of_repeated_rows(spark):
+    rows = [(1, "a", "x"), (1, "a", "x"), (1, "A ", "y"), (2, "a", "x"), (3, "b", "z"), (3, "b", "z"), (3, "b", "z"), (4, None, "n"), (4, None, "n"), (None, "c", "x"), (7, "c", "x")]
+    df = spark.createDataFrame(rows, "id long, t string, more string").repartition(3)
+    got = dedup.first_wins(df, normal_space(F.col("t")), "id").collect()
+    accepted = sorted([(r.id, (r.t or "").strip().lower()) for r in got if r.status == "accepted"], key=repr)
+    assert accepted == sorted([(1, "a"), (3, "b"), (4, ""), (4, ""), (None, "c")], key=repr)
+    assert sorted([(r.id, r.matched) for r in got if r.status == "duplicate"], key=repr) == sorted([(1, 1), (1, 1), (2, 1), (3, 3), (3, 3), (7, None)], key=repr)
+
+
+def test_repeated_ids_lose_no_link(spark):
+    a, b = list(range(100, 120)), list(range(200, 220))
+    rows = [(1, a), (5, a), (5, b), (7, b[:-1] + [9]), (8, b), (9, b), (9, b)]
+    pairs, copies = similarity.jaccard_classes(spark.createDataFrame(rows, "id long, s array<bigint>"), "id", "s", 0.8)
+    assert {tuple(r) for r in pairs.collect()} == {(5, 7, 19, 21)}
+    assert sorted(map(tuple, copies.collect())) == [(5, 1, 20), (8, 5, 20), (9, 5, 20), (9, 5, 20)]

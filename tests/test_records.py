@@ -30,6 +30,25 @@ def test_responses(spark):
     assert issues(spark, ct.machine_verified, ["string"] * 3, rows[:4]) == [True, False, False, False]
 
 
+def test_word_problems_and_named_functions(spark):
+    rows = [
+        ("arithmetic", "Ann has 12 pencils and puts them into 4 bags", "It is 3"), ("arithmetic", "It sold 5 morning tickets, 2 left, and 7 afternoon tickets", "11"), ("arithmetic", "6 × 7?", "42"), ("arithmetic", "12 ÷ 5?", "is 2"), ("arithmetic", "12 ÷ 4?", "four"),
+        ("arithmetic", "He uses 3 cups of flour for 4 loaves", "13"), ("arithmetic", "Ann has 12 pencils and puts them into 0 bags", "any"), ("code", "Write a Python function named add_up", "def add(x): pass"), ("code", "a function named f", "def g(x): pass\ndef f(): pass"), ("code", "a function named f", "```def g(): pass```"),
+        ("code", "x", 'has "role": and "chosen": in it'), ("code", "x", 'has "response" : in it'),
+    ]
+    assert issues(spark, ct.response, ["string"] * 3, rows) == [
+        [], ["arithmetic_wrong_answer"], [], [], ["arithmetic_wrong_answer"], ["arithmetic_wrong_answer"], [], ["code_wrong_function_name"], [], ["markdown_fence"], [], ["schema_leakage"],
+    ]
+    pairs = [("p", 'has "response": in it', "plain text"), ("p", 'has "role": in it', "plain text"), ("p", "plain text", '"chosen" : 1')]
+    assert issues(spark, ct.pair, ["string"] * 3, pairs) == [[], ["schema_leakage"], ["schema_leakage"]]
+
+
+def test_code_pairs_and_length_of_restraint(spark):
+    rows = [("named add", "def add(a): return a", "def add(a: return", "code_syntax_error"), ("named add", "def add(a):", "text", "code_syntax_error"), ("x", "print(1)", None, None), ("is named add", "async def sum(a):\n  return a", "text", "code_logic_error")]
+    assert issues(spark, ct.code_pair, ["string"] * 4, rows) == [[], ["chosen_code_signature_only", "rejected_code_not_python_function"], ["chosen_code_missing_function"], ["chosen_code_wrong_function_name"]]
+    assert issues(spark, ct.restraint_length, ["string"] * 2, [("private_info_restraint", "no " * 60), ("private_info_restraint", "no " * 61), ("other", "no " * 99), ("private_info_restraint", None)]) == [[], ["chosen_restraint_too_verbose"], [], []]
+
+
 def test_pairs(spark):
     long = "one two three four five six seven eight nine ten eleven twelve thirteen"
     rows = [("p", "yes it is", "no it is not"), ("p", "same  *text*", "Same text"), ("p", "", "b c"), ("p", "x", "7"), ("p", long, long + "."), ("p", '{"id": 1}', "plain"), (None, "a b", None), (long, long, "other")]
