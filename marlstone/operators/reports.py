@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .frames import within_last
+
 
 def uniqueness(rows: DataFrame, key: Column) -> DataFrame:
     """One row: total, unique, duplicate_count, unique_ratio, repeated_value_count and maximum_repetition of key."""
@@ -98,10 +100,10 @@ def telemetry(events: DataFrame) -> DataFrame:
 
 
 def bursts(events: DataFrame, seconds: int, limit: int) -> DataFrame:
-    """Events at which a user has more than limit events within the last seconds."""
+    """Events at which a user has more than limit events within the last seconds; a user's events are counted in parts of time."""
     at = events.withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
-    window = Window.partitionBy("user_id").orderBy("us").rangeBetween(-seconds * 1_000_000, 0)
-    return at.withColumn("recent", F.count(F.lit(1)).over(window)).where(F.col("recent") > limit).select("event_id", "user_id", "recent")
+    counted = within_last(at, "user_id", "us", seconds * 1_000_000, {"recent": F.count(F.lit(1))})
+    return counted.where(F.col("recent") > limit).select("event_id", "user_id", "recent")
 
 
 def sample_by_group(rows: DataFrame, group: str, id_: str, k: int, seed: str) -> DataFrame:

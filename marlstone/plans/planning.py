@@ -48,12 +48,6 @@ def weighted_schedule(spark: SparkSession, n: int, weights: dict[str, int]) -> D
     return spark.range(n).select(F.col("id").alias("i"), names[slot].alias("category"), (F.floor(F.col("id") / len(slots)) * sizes[slot] + slot - starts[slot]).cast("long").alias("ordinal"))
 
 
-def gaps(ranges: DataFrame, key: str, start: str, stop: str) -> DataFrame:
-    """(key, gap_start, gap_stop): what lies between the ranges [start, stop) of a key."""
-    before = F.max(stop).over(Window.partitionBy(key).orderBy(start, stop).rowsBetween(Window.unboundedPreceding, -1))
-    return ranges.withColumn("_before", before).where(F.col(start) > F.col("_before")).select(key, F.col("_before").alias("gap_start"), F.col(start).alias("gap_stop"))
-
-
 def hash_order(rows: DataFrame, id_: str, salt: str) -> DataFrame:
     """A stable pseudo-random rank of a catalog.
 

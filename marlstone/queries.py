@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .functions import text as tx
 from .functions import validators as vd
-from .operators import dedup, reports, similarity
+from .operators import dedup, frames, reports, similarity
 from .operators.components import components
 from .plans import planning
 from .sources.shared import materialise, table
@@ -40,15 +40,16 @@ def _key(c: str = "text"):
     return tx.normal_space(F.col(c))
 
 
-FIRST = f"with k as (select *, {FP.format('text')} as h from documents), f as (select h, min(doc_id) as m from k group by h)"
+#: Of equal keys one row is the first, also where ids repeat; a null text is no copy.
+FIRST = f"with k as (select *, {FP.format('text')} as h from documents), f as (select *, min(doc_id) over (partition by h) as m, h is null or row_number() over (partition by h order by doc_id) = 1 as one from k)"
 
 
-@query(f"{FIRST} select doc_id, source, case when m = doc_id then 'accepted' else 'duplicate' end as status, case when m <> doc_id then m end as matched from k join f using (h)")
+@query(f"{FIRST} select doc_id, source, case when one then 'accepted' else 'duplicate' end as status, case when not one then m end as matched from f")
 def exact_dedup(spark, d):
     return dedup.first_wins(_docs(spark, d).select("doc_id", "source", "text"), _key(), "doc_id").drop("text")
 
 
-@query(f"{FIRST} select source, count(*) filter (where m = doc_id) as accepted, count(*) filter (where m <> doc_id) as duplicates, cast(sum(case when m = doc_id then greatest(1, ceil(length(text) / 4.0)) else 0 end) as bigint) as accepted_tokens from k join f using (h) group by source")
+@query(f"{FIRST} select source, count(*) filter (where one) as accepted, count(*) filter (where not one) as duplicates, cast(sum(case when one then greatest(1, ceil(length(text) / 4.0)) else 0 end) as bigint) as accepted_tokens from f group by source")
 def exact_dedup_report(spark, d):
     got = dedup.first_wins(_docs(spark, d).withColumn("tokens", tx.token_estimate(F.col("text"))), _key(), "doc_id")
     ok = F.col("status") == "accepted"
@@ -404,7 +405,7 @@ def weighted_schedule(spark, d):
 @query("with r as (select l_suppkey, l_partkey as s, l_partkey + cast(l_quantity as bigint) as e from lineitem), w as (select *, max(e) over (partition by l_suppkey order by s, e rows between unbounded preceding and 1 preceding) as b from r) select l_suppkey, b as gap_start, s as gap_stop from w where s > b")
 def range_gaps(spark, d):
     r = table(spark, d, "lineitem").select("l_suppkey", F.col("l_partkey").alias("s"), (F.col("l_partkey") + F.col("l_quantity").cast("long")).alias("e"))
-    return planning.gaps(r, "l_suppkey", "s", "e")
+    return frames.gaps(r, "l_suppkey", "s", "e")
 
 
 @query("with w as (select event_id, user_id, count(*) over (partition by user_id order by ts range between interval 3600 seconds preceding and current row) as recent from events) select * from w where recent > 2")
@@ -445,7 +446,7 @@ def cost_scenarios(spark, d):
     return tokens.select("lang", F.inline(F.array(*each)))
 
 
-@query(f"with k as (select doc_id, text, {FP.format('text')} as h from documents), f as (select h, min(doc_id) as m from k group by h) select doc_id, case when coalesce(trim(text), '') = '' then 'empty_text' when m <> doc_id then 'exact_duplicate' else 'ok' end as verdict from k join f using (h)")
+@query(f"{FIRST} select doc_id, case when coalesce(trim(text), '') = '' then 'empty_text' when not one then 'exact_duplicate' else 'ok' end as verdict from f")
 def public_audit(spark, d):
     got = dedup.first_wins(_docs(spark, d).select("doc_id", "text"), _key(), "doc_id")
     return got.select("doc_id", F.when(F.coalesce(F.trim("text"), F.lit("")) == "", "empty_text").when(F.col("status") == "duplicate", "exact_duplicate").otherwise("ok").alias("verdict"))
