@@ -7,7 +7,7 @@ import os
 import duckdb
 import pytest
 
-from marlstone import chat_queries, queries, record_queries, report_queries  # noqa: F401
+from marlstone import chat_queries, order_queries, queries, record_queries, report_queries, structure_queries  # noqa: F401
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -16,6 +16,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
+    con.execute("set temp_directory = ''")
     con.execute("set timezone = 'UTC'")
     for t in TABLES:
         con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
