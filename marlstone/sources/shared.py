@@ -13,9 +13,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it; a temporary one only where none is named."""
+    """The folder all executors share, as the cluster names it.
+
+    Where none is named, a session in one process (tests, a laptop) gets a
+    temporary one; on a cluster that would be a folder of the driver alone.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="marlstone-shared-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
