@@ -11,10 +11,10 @@ from ..sources.shared import discard, materialise
 def jaccard_pairs(sets: DataFrame, id_: str, items: str, threshold: float) -> DataFrame:
     """(u, v, common, total) of pairs u < v whose sets have a Jaccard similarity of threshold or more.
 
-    sets: one row for each id, items an array of distinct 64-bit values.  Items
-    are ordered by frequency, then value; two such sets share one of their
-    first n - ceil(threshold * n) + 1 items, so only those are joined, under
-    the length bound.  Pairs are verified on the full sets.
+    sets: one row for each id, items an array of distinct 64-bit values.  In one
+    order for all, two such sets share one of their first
+    n - ceil(threshold * n) + 1 items, so only those are joined, under the
+    length bound.  Pairs are verified on the full sets.
     """
     # Filtered once written: a filter on s would be pushed below, and its expression be run again there.
     return _pairs(materialise(sets.select(F.col(id_).alias("id"), F.col(items).alias("s")), "jaccard-sets").where(F.size("s") > 0), threshold)
@@ -25,11 +25,11 @@ def jaccard_classes(sets: DataFrame, id_: str, items: str, threshold: float) ->
 
     A row whose set equals an earlier one's is a copy, at one row, whatever the
     number of its kin; n is the size of the set.  Empty and null sets have
-    neither pairs nor copies.  Equal sets are told by their SHA-256.  An id of
+    neither pairs nor copies.  Equal sets are told by two hashes and their size.  An id of
     several different sets takes part with each; two such rows are no pair, and
     of the pairs of two ids the most similar one is listed.
     """
-    key = F.sha2(F.array_join(F.array_sort(items), ",").cast("binary"), 256)
+    key = F.concat_ws(":", F.xxhash64(F.array_sort(items)), F.hash(F.array_sort(items)), F.size(items))
     named = materialise(sets.select(F.col(id_).alias("id"), F.col(items).alias("s"), F.when(F.size(items) > 0, key).alias("key")), "jaccard-sets")
     first = named.where("key is not null").groupBy("key").agg(F.min("id").alias("first"))
     copies = materialise(named.join(first, "key").where("id > first").select("id", "first", F.size("s").cast("long").alias("n")), "jaccard-copies")
@@ -59,15 +59,34 @@ def expanded(pairs: DataFrame, copies: DataFrame) -> DataFrame:
     return near.unionByName(star).unionByName(within)
 
 
+#: Sets whose items tell what is frequent, about; items that are then called frequent, at most.
+SAMPLE_SETS, FREQUENT = 2000, 4096
+
+
+def frequent_items(rows: DataFrame) -> list[int]:
+    """The items (of rows id, s) that several sets of a sample hold, rarest first, at most FREQUENT."""
+    n = rows.count()
+    some = rows.where(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(max(1, n // SAMPLE_SETS))) == 0)
+    each = some.select(F.explode("s").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    return [r["item"] for r in each.orderBy(F.desc("f"), "item").limit(FREQUENT).collect()][::-1]
+
+
 def _pairs(rows: DataFrame, threshold: float) -> DataFrame:
-    """jaccard_pairs of a written table of id and s, none empty."""
-    item = rows.select("id", F.explode("s").alias("item"))
-    frequency = item.groupBy("item").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
-    # An item of one set joins nothing; it only takes its place at the front of the order.
-    shared = item.join(frequency, "item").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("f", "item"))).alias("o"))
+    """jaccard_pairs of a written table of id and s, none empty.
+
+    Any order of items that is the same for all sets finds all pairs; one that
+    puts frequent items last makes fewer candidates.  What is frequent comes
+    from a sample of bounded size, all other items go by value, so each row
+    makes its own prefix: nothing is counted or joined for it.
+    """
+    frequent = frequent_items(rows)
+    known = F.split(F.lit(",".join(map(str, frequent))), ",") if frequent else F.array()
+    common = F.array_intersect(known.cast("array<bigint>"), "s")
+    split = rows.select("id", "s", common.alias("common"))
     n = F.size("s")
-    keep = n - F.ceil(F.lit(threshold) * n) + 1 - (n - F.size("o"))
-    prefix = rows.join(shared, "id").where(keep > 0).select("id", n.alias("n"), F.explode(F.slice("o", F.lit(1), keep.cast("int"))).alias("p")).select("id", "n", F.col("p.item").alias("item"))
+    keep = n - F.ceil(F.lit(threshold) * n) + 1
+    ordered = F.concat(F.array_sort(F.array_except("s", "common")), "common")
+    prefix = split.select("id", n.alias("n"), F.explode(F.slice(ordered, F.lit(1), keep.cast("int"))).alias("item"))
     prefix = materialise(prefix, "jaccard-prefix")
     a, b = prefix.select(F.col("id").alias("u"), F.col("n").alias("nu"), "item"), prefix.select(F.col("id").alias("v"), F.col("n").alias("nv"), "item")
     pairs = a.join(b, "item").where((F.col("u") < F.col("v")) & (F.least("nu", "nv") >= F.lit(threshold) * F.greatest("nu", "nv"))).select("u", "v").distinct()
