@@ -70,3 +70,44 @@ def funnel(candidates: Column, rates: tuple[Column, Column, Column]) -> tuple[Co
     judged = candidates * rates[0]
     reviewed = judged * rates[1]
     return judged, reviewed, F.greatest(F.lit(1.0), reviewed * rates[2])
+
+
+#: Limits and patterns of a source inventory (fixed values).
+MIN_SOURCES, MAX_TEMPLATE_SHARE = 3, 0.40
+NUMBERED = r"(?:_|-)(?:variant|version|style|tone)?\d+$"
+
+
+def source_issues(sources: DataFrame, group: str, key: str, template: str, output_mode: Column, interactions: Column, surface: Column, least: int = MIN_SOURCES, share: float = MAX_TEMPLATE_SHARE) -> DataFrame:
+    """(group, key, issue): what is wrong with an inventory of sources; key is null where it is the group's fault.
+
+    A group needs `least` sources, no template of more than `share` of them; a
+    source a key that is no numbered variant and stands once, tool calls only
+    with tools, and a surface that no other source has.  surface: the source
+    without its key and metadata, as a text in which numbers and marks say nothing.
+    """
+    rows = sources.select(F.col(group).alias("group"), F.col(key).alias("key"), F.col(template).alias("_template"), output_mode.alias("_mode"), interactions.alias("_how"), F.sha2(surface.cast("binary"), 256).alias("_surface"))
+    sizes = rows.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
+    most = rows.groupBy("group", "_template").agg(F.count(F.lit(1)).alias("n")).groupBy("group").agg(F.max("n").alias("most"))
+    of_group = sizes.withColumnRenamed("group", "_g").join(most, F.col("_g").eqNullSafe(F.col("group"))).select("group", F.explode(F.array_compact(F.array(
+        F.when(F.col("n") < least, "too_few_sources"), F.when(F.col("most") > F.lit(share) * F.col("n"), "concentrated_template"),
+    ))).alias("issue"))
+    bare = F.trim(F.coalesce("key", F.lit("")))
+    own = rows.select("group", "key", F.explode(F.array_compact(F.array(
+        F.when(bare == "", "missing_key"), F.when(F.regexp_like(bare, F.lit(NUMBERED)), "numbered_variant"),
+        F.when((F.col("_mode") == "tool_call") & ~F.coalesce(F.array_contains("_how", "tool_mediated"), F.lit(False)), "tool_call_without_tools"),
+    ))).alias("issue"))
+    twice = rows.where(bare != "").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    alike = rows.groupBy("_surface").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_surface")
+    shared = rows.join(twice, "key", "left_semi").select("group", "key", F.lit("repeated_key").alias("issue"))
+    near = rows.join(alike, "_surface", "left_semi").select("group", "key", F.lit("superficial_copy").alias("issue"))
+    return of_group.select("group", F.lit(None).cast("string").alias("key"), "issue").unionByName(own).unionByName(shared).unionByName(near)
+
+
+def controller_totals(controllers: DataFrame, order: str) -> DataFrame:
+    """One row of the run's totals over its batch-size controllers (current, maximum, minimum, observed_minimum, observed_peak and four counts); the last by order gives the current size; zeros without any."""
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    counts = ("increases", "decreases", "successes", "failures")
+    return controllers.agg(
+        zero(F.max_by("current", order)).alias("current"), zero(F.max("maximum")).alias("maximum"), zero(F.min("minimum")).alias("minimum"), zero(F.min("observed_minimum")).alias("observed_minimum"),
+        zero(F.max("observed_peak")).alias("observed_peak"), *[zero(F.sum(c)).alias(c) for c in counts],
+    )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import materialise
+from .frames import ranked
 
 
 def first_wins(rows: DataFrame, key: Column, seq: str) -> DataFrame:
@@ -33,9 +34,15 @@ def first_wins(rows: DataFrame, key: Column, seq: str) -> DataFrame:
 
 
 def zipped(left: DataFrame, right: DataFrame, group: str, order: list[str], value: str) -> DataFrame:
-    """(group, i, chosen, rejected, unpaired): the i-th rows of a group in both stages, counted from 1; unpaired where one stage has none."""
-    nth = F.row_number().over(Window.partitionBy(group).orderBy(*order)).cast("long")
-    a, b = (x.select(group, nth.alias("i"), F.col(value).alias(n), F.lit(True).alias(f"_{n}")) for x, n in ((left, "chosen"), (right, "rejected")))
+    """(group, i, chosen, rejected, unpaired): the i-th rows of a group in both stages, counted from 1; unpaired where one stage has none.
+
+    order: a number (long), then ties.  A group is numbered in parts, so a large
+    one does not meet in one task.
+    """
+    a, b = (
+        ranked(x, group, order[0], order[1:]).select(group, (F.col("_rank") + 1).alias("i"), F.col(value).alias(n), F.lit(True).alias(f"_{n}"))
+        for x, n in ((left, "chosen"), (right, "rejected"))
+    )
     return a.join(b, [group, "i"], "full_outer").select(group, "i", "chosen", "rejected", (F.col("_chosen").isNull() | F.col("_rejected").isNull()).alias("unpaired"))
 
 

@@ -16,13 +16,13 @@ PART_ROWS = 50_000
 
 
 def cut_by_range(rows: DataFrame, key: str, order: str, part_rows: int = PART_ROWS) -> DataFrame:
-    """rows with _part, a number that grows with the order column (long, not null) within a key (null keys are one key)."""
+    """rows with _part, a number that grows with the order column (long, nulls first) within a key (null keys are one key)."""
     k = F.col(key)
     extent = rows.groupBy(k.alias("_key")).agg(F.min(order).alias("_lo"), F.max(order).alias("_hi"), F.ceil(F.count(F.lit(1)) / F.lit(part_rows)).alias("_parts"))
     # In doubles, so that a wide range does not overflow; a part's edge need not be exact, only the same for equal values.
     at = (F.col(order).cast("double") - F.col("_lo")) / (F.col("_hi").cast("double") - F.col("_lo") + 1) * F.col("_parts")
     met = rows.join(extent, k.eqNullSafe(F.col("_key")))
-    return met.withColumn("_part", F.least(F.floor(at), F.col("_parts") - 1).cast("long")).drop("_key", "_lo", "_hi", "_parts")
+    return met.withColumn("_part", F.when(F.col(order).isNull(), 0).otherwise(F.least(F.floor(at), F.col("_parts") - 1)).cast("long")).drop("_key", "_lo", "_hi", "_parts")
 
 
 def ranked(rows: DataFrame, key: str, order: str, ties: list[str], part_rows: int = PART_ROWS) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .operators import frames, hashtree
+from .operators import acceptance, frames, hashtree
 from .queries import query
 from .sources.shared import table
 from .streaming import stateful
@@ -59,3 +59,28 @@ def user_sessions(spark, d):
 from (select *, unnest([time_bucket(interval 15 minutes, ts) - k * interval 15 minutes for k in range(4)]) as w from events) group by all""")
 def sliding_windows(spark, d):
     return stateful.sliding(table(spark, d, "events"))
+
+
+SURFACE = "trim(regexp_replace(lower(regexp_replace(p_name, ' .*', '')), '[^a-z]+', ' '{g}))"
+
+
+@query(f"""with r as (select p_brand as grp, case when p_partkey % 11 = 0 then ' ' when p_partkey % 3 = 0 then replace(p_name, ' ', '_') || '_' || p_size else p_name || ' of ' || p_brand end as key, p_type as t, p_size % 5 = 0 as call, p_size % 2 = 0 as tools, {SURFACE.format(g=", 'g'")} as surface from part),
+g as (select grp, count(*) as n from r group by grp), m as (select grp, max(n) as most from (select grp, t, count(*) as n from r group by grp, t) group by grp)
+select grp as "group", null as key, 'too_few_sources' as issue from g where n < 3 union all select grp, null, 'concentrated_template' from g join m using (grp) where most > 0.4 * n
+union all select grp, key, 'missing_key' from r where trim(key) = '' union all select grp, key, 'numbered_variant' from r where regexp_matches(trim(key), '(?:_|-)(?:variant|version|style|tone)?[0-9]+$')
+union all select grp, key, 'tool_call_without_tools' from r where call and not tools union all select grp, key, 'repeated_key' from r where trim(key) <> '' and key in (select key from r group by key having count(*) > 1)
+union all select grp, key, 'superficial_copy' from r where surface in (select surface from r group by surface having count(*) > 1)""")
+def source_inventory(spark, d):
+    """Parts as sources: brands as groups, types as templates, names as surfaces."""
+    key = "case when p_partkey % 11 = 0 then ' ' when p_partkey % 3 = 0 then concat(replace(p_name, ' ', '_'), '_', p_size) else concat(p_name, ' of ', p_brand) end"
+    rows = table(spark, d, "part").selectExpr("p_brand", f"{key} as key", "p_type", "p_size", f"{SURFACE.format(g='')} as surface")
+    mode = F.when(F.col("p_size") % 5 == 0, "tool_call").otherwise("text")
+    how = F.when(F.col("p_size") % 2 == 0, F.array(F.lit("tool_mediated"))).otherwise(F.array(F.lit("single_turn")))
+    return acceptance.source_issues(rows, "p_brand", "key", "p_type", mode, how, F.col("surface"))
+
+
+@query("""select coalesce(max_by(cast(value * 10 as bigint), event_id), 0) as current, cast(coalesce(max(user_id), 0) as bigint) as maximum, cast(coalesce(min(user_id), 0) as bigint) as minimum, cast(coalesce(min(cast(value as bigint)), 0) as bigint) as observed_minimum,
+ cast(coalesce(max(cast(value as bigint)), 0) as bigint) as observed_peak, count(*) filter (where event_type = 'click') as increases, count(*) filter (where event_type = 'error') as decreases, cast(sum(user_id) as bigint) as successes, count(*) as failures from events""")
+def controller_totals(spark, d):
+    rows = table(spark, d, "events").select("event_id", F.bround(F.col("value") * 10).cast("long").alias("current"), F.col("user_id").alias("maximum"), F.col("user_id").alias("minimum"), F.bround("value").cast("long").alias("observed_minimum"), F.bround("value").cast("long").alias("observed_peak"), (F.col("event_type") == "click").cast("long").alias("increases"), (F.col("event_type") == "error").cast("long").alias("decreases"), F.col("user_id").alias("successes"), F.lit(1).alias("failures"))
+    return acceptance.controller_totals(rows, "event_id")

@@ -220,8 +220,10 @@ def telemetry_two_level(spark, d):
 
 @query("select lang, source, grouping_id(lang, source) as level, count(*) as n, count(distinct text) as texts, cast(coalesce(sum(length(text)), 0) as bigint) as chars from documents group by grouping sets ((), (lang), (source), (lang, source))")
 def coverage_sets(spark, d):
-    _docs(spark, d).createOrReplaceTempView("marlstone_coverage")
-    return spark.sql("select lang, source, grouping_id(lang, source) as level, count(*) as n, count(distinct text) as texts, coalesce(sum(length(text)), 0) as chars from marlstone_coverage group by grouping sets ((), (lang), (source), (lang, source))")
+    # Of a text only its hash and length are needed: whole texts are not sent once for each set.
+    rows = _docs(spark, d).select("lang", "source", F.sha2(F.col("text").cast("binary"), 256).alias("h"), F.length("text").alias("chars"))
+    sets = rows.groupingSets([[], ["lang"], ["source"], ["lang", "source"]], "lang", "source")
+    return sets.agg(F.grouping_id().cast("long").alias("level"), F.count(F.lit(1)).alias("n"), F.count_distinct("h").alias("texts"), F.coalesce(F.sum("chars"), F.lit(0)).alias("chars"))
 
 
 @query("with r as (select doc_id // 256 as part, doc_id, sha256(doc_id || ':' || coalesce(text, '')) as h from documents), p as (select part, sha256(string_agg(h, '' order by doc_id, h)) as h from r group by part) select sha256(string_agg(h, '' order by part)) as fingerprint, count(*) as parts from p")

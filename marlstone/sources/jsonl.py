@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-OBJECT = "^object|^variant"
-
 
 def scan(spark: SparkSession, path: str) -> DataFrame:
     """(file, line, text, row, issues) of each line; row is a variant, null where issues is not empty; never fails on content.
@@ -25,9 +23,45 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
     return numbered.select("file", F.col("line").cast("long").alias("line"), "text", F.when(F.size(issues) == 0, row).alias("row"), issues.alias("issues"))
 
 
-def read_strict(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Rows of the schema; the first line that does not parse ends the job."""
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+def _whole_rows(scanned: DataFrame, checks: Column | None) -> DataFrame:
+    """A scan whose issues hold those of checks too: a column on `row` that gives an array of codes."""
+    if checks is None:
+        return scanned
+    return scanned.withColumn("issues", F.when(F.size("issues") == 0, F.coalesce(checks, F.array().cast("array<string>"))).otherwise(F.col("issues")))
+
+
+def read_strict(spark: SparkSession, path: str, schema: str, checks: Column | None = None) -> DataFrame:
+    """Rows of the schema (in DDL); the job ends with the file, line and issues of the first bad row that a task meets.
+
+    Bad are lines that are no JSON object, objects that do not fit the schema,
+    and what checks finds; blank lines are left out.
+    """
+    found = _whole_rows(scan(spark, path), checks).where(~F.array_contains("issues", "empty_line"))
+    row = F.try_variant_get("row", "$", f"struct<{schema}>")
+    issues = F.when(F.size("issues") > 0, F.array_join("issues", ",")).when(row.isNull(), "bad_type")
+    where = F.concat(F.lit("bad row at "), "file", F.lit(" line "), F.col("line").cast("string"), F.lit(": "), issues)
+    typed = found.select(F.when(issues.isNull(), row).otherwise(F.raise_error(where).cast(f"struct<{schema}>")).alias("r"))
+    return typed.select("r.*")
+
+
+def error_table(spark: SparkSession, path: str, checks: Column | None = None, tool_or_role: tuple[str, ...] = ("role", "tool")) -> DataFrame:
+    """(file, line, id, error, tool_or_role) of each issue of each row; id is the row's own where it has one, tool_or_role whether the code names one of those."""
+    found = _whole_rows(scan(spark, path), checks)
+    named = F.lit(False)
+    for word in tool_or_role:
+        named = named | F.contains(F.col("error"), F.lit(word))
+    each = found.select("file", "line", F.try_variant_get("row", "$.id", "string").alias("id"), F.explode("issues").alias("error"))
+    return each.withColumn("tool_or_role", named)
+
+
+def write_validated(rows: DataFrame, path: str, issues: Column) -> int:
+    """Overwrite path with rows as JSON lines and return how many were written; nothing is replaced if any row has issues (an array of codes)."""
+    bad = rows.select(issues.alias("i")).where("size(i) > 0").limit(1).collect()
+    if bad:
+        raise ValueError(f"invalid row: {','.join(bad[0]['i'])}")
+    rows.write.mode("overwrite").json(path)
+    # What is counted is what was written.
+    return rows.sparkSession.read.text(path).count()
 
 
 def write_split(tagged: DataFrame, path: str, issues: str = "issues") -> None:

@@ -2,9 +2,12 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from marlstone.functions import decisions as dc
+from marlstone.operators import acceptance
+from marlstone.sources import jsonl
 
 
 def values(spark, column, schema, rows):
@@ -74,3 +77,54 @@ def test_domains(spark):
     c = dc.domain_issues({"mode": (F.col("m"), ("single", "multi"))}, F.col("d"), F.col("f"))
     rows = [(" Single ", 1, "two_words2"), ("other", 6, "Two"), (None, None, None), ("multi", 5, "a__b")]
     assert values(spark, c, "m string, d int, f string", rows) == [[], ["invalid_mode", "invalid_difficulty", "invalid_template_family"], ["invalid_mode", "invalid_difficulty", "invalid_template_family"], ["invalid_template_family"]]
+
+
+LINES = ['{"id": "a", "n": 1}', "", "[1]", '{"id": "b", "n": "x"}', "{broken", '{"n": 3, "role": 1}']
+
+
+def test_strict_scans_name_the_line_and_error_tables_the_rows(spark, tmp_path):
+    good, bad = tmp_path / "good.jsonl", tmp_path / "bad.jsonl"
+    good.write_text("\n".join(LINES[:2]) + '\n{"id": "c", "n": 2, "more": []}\n')
+    bad.write_text("\n".join(LINES))
+    assert sorted(map(tuple, jsonl.read_strict(spark, str(good), "id string, n int").collect())) == [("a", 1), ("c", 2)]
+    with pytest.raises(Exception, match=r"good.jsonl line 3: low"):
+        jsonl.read_strict(spark, str(good), "id string, n int", F.when(F.try_variant_get("row", "$.n", "int") > 1, F.array(F.lit("low")))).collect()
+    for lines, message in ((LINES[:3], r"line 3: not_object"), ([LINES[3]], r"line 1: bad_type"), ([LINES[0], LINES[4]], r"line 2: bad_json")):
+        one = tmp_path / "one.jsonl"
+        one.write_text("\n".join(lines))
+        with pytest.raises(Exception, match=message):
+            jsonl.read_strict(spark, str(one), "id string, n int").collect()
+    checks = F.array_compact(F.array(F.when(F.try_variant_get("row", "$.role", "int").isNotNull(), "bad_role"), F.when(F.try_variant_get("row", "$.id", "string").isNull(), "no_id")))
+    got = [(r.line, r.id, r.error, r.tool_or_role) for r in jsonl.error_table(spark, str(bad), checks).orderBy("line", "error").collect()]
+    assert got == [(2, None, "empty_line", False), (3, None, "not_object", False), (5, None, "bad_json", False), (6, None, "bad_role", True), (6, None, "no_id", False)]
+
+
+def test_validated_overwrite_counts_or_replaces_nothing(spark, tmp_path):
+    path = str(tmp_path / "out")
+    df = spark.createDataFrame([(1, "a"), (2, "b\nc")], "k long, t string")
+    checks = F.array_compact(F.array(F.when(F.col("k") > 2, "too_large")))
+    assert jsonl.write_validated(df, path, checks) == 2
+    with pytest.raises(ValueError, match="too_large"):
+        jsonl.write_validated(df.withColumn("k", F.col("k") + 1), path, checks)
+    assert sorted(map(tuple, spark.read.schema("k long, t string").json(path).collect())) == [(1, "a"), (2, "b\nc")]
+    assert jsonl.write_validated(df.limit(0), path, checks) == 0
+
+
+def test_source_inventories(spark):
+    rows = [
+        ("g", "one", "t1", "text", None, "s1"), ("g", "two_variant2", "t1", "tool_call", ["tool_mediated"], "s2"), ("g", "three", "t2", "tool_call", ["single_turn"], "s3"), ("g", "four", "t3", "text", [], "s1"), ("g", "five", "t4", None, None, None),
+        ("h", "one", "t1", "text", None, "s5"), ("h", " ", "t2", "text", None, "s6"), (None, None, "t", "text", None, "s7"),
+    ]
+    df = spark.createDataFrame(rows, "grp string, k string, t string, m string, how array<string>, s string")
+    got = sorted(map(tuple, acceptance.source_issues(df, "grp", "k", "t", F.col("m"), F.col("how"), F.col("s")).collect()), key=repr)
+    assert got == sorted([
+        ("h", None, "too_few_sources"), ("h", None, "concentrated_template"), (None, None, "too_few_sources"), (None, None, "concentrated_template"), ("g", "two_variant2", "numbered_variant"), ("g", "three", "tool_call_without_tools"),
+        ("g", "one", "repeated_key"), ("h", "one", "repeated_key"), ("g", "one", "superficial_copy"), ("g", "four", "superficial_copy"), ("h", " ", "missing_key"), (None, None, "missing_key"),
+    ], key=repr)
+
+
+def test_controller_totals(spark):
+    schema = "i int, current int, maximum int, minimum int, observed_minimum int, observed_peak int, increases int, decreases int, successes int, failures int"
+    df = spark.createDataFrame([(2, 8, 64, 1, 4, 16, 1, 0, 5, 1), (1, 4, 32, 2, 2, 40, 0, 3, 6, 2)], schema)
+    assert tuple(acceptance.controller_totals(df, "i").first()) == (8, 64, 1, 2, 40, 1, 3, 11, 3)
+    assert tuple(acceptance.controller_totals(df.limit(0), "i").first()) == (0,) * 9

@@ -44,6 +44,12 @@ def test_ranks_and_last_rows_are_those_of_a_loop(spark, timed):
     sums = {i: (sum(v for _, _, v in rows[max(0, n - 6) : n + 1]), min(t for _, t, _ in rows[max(0, n - 6) : n + 1])) for rows in ordered.values() for n, (i, _, _) in enumerate(rows)}
     for size in (1, 9, 50_000):
         assert {r.id: r["_rank"] for r in frames.ranked(df, "k", "t", ["id"], size).collect()} == ranks
+        some = df.withColumn("t", F.when(F.col("id") % 3 > 0, F.col("t")))
+        order = lambda r: (r["t"] is not None, r["t"], r["id"])
+        by_key = {}
+        for r in sorted(frames.ranked(some, "k", "t", ["id"], size).collect(), key=order):
+            by_key.setdefault(r["k"], []).append(r["_rank"])
+        assert all(r == list(range(len(r))) for r in by_key.values()) and sum(map(len, by_key.values())) == len(timed)
         got = frames.last_rows(df, "k", "t", ["id"], 7, {"s": F.sum("v"), "low": F.min("t")}, size).collect()
         assert {r.id: (r.s, r.low) for r in got} == sums and len(got) == len(timed)
 
