@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def scan(spark: SparkSession, path: str) -> DataFrame:
@@ -38,7 +39,12 @@ def read_strict(spark: SparkSession, path: str, schema: str, checks: Column | No
     """
     found = _whole_rows(scan(spark, path), checks).where(~F.array_contains("issues", "empty_line"))
     row = F.try_variant_get("row", "$", f"struct<{schema}>")
-    issues = F.when(F.size("issues") > 0, F.array_join("issues", ",")).when(row.isNull(), "bad_type")
+    unfit = row.isNull()
+    for name in StructType.fromDDL(schema).names:
+        # A value that does not fit its type reads as null.
+        given = F.try_variant_get("row", f"$['{name}']", "variant")
+        unfit = unfit | (given.isNotNull() & ~F.is_variant_null(given) & row[name].isNull())
+    issues = F.when(F.size("issues") > 0, F.array_join("issues", ",")).when(unfit, "bad_type")
     where = F.concat(F.lit("bad row at "), "file", F.lit(" line "), F.col("line").cast("string"), F.lit(": "), issues)
     typed = found.select(F.when(issues.isNull(), row).otherwise(F.raise_error(where).cast(f"struct<{schema}>")).alias("r"))
     return typed.select("r.*")
