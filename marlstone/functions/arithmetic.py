@@ -43,12 +43,16 @@ def _times(a: Column, b: Column) -> Column:
 
 def _fraction(n: Column, d: Column) -> Column:
     """n / d with a positive denominator, 1 where it divides n; a null numerator where d is 0 or too many digits were needed (32 of a quotient)."""
-    whole = F.try_mod(n, d) == 0
     minus = lambda x: _wide(0) - x  # noqa: E731  a sign before a decimal keeps 34 digits only
-    return F.struct(
-        F.when(d == 1, n).when(d == -1, minus(n)).when(whole, F.try_divide(n, d)).when(d < 0, minus(n)).when(d > 0, n).cast(WIDE).alias("n"),
-        F.when(whole, _wide(1)).when(d < 0, minus(d)).otherwise(d).cast(WIDE).alias("d"),
-    )
+
+    def reduced(x: Column) -> Column:
+        n, d, whole = x["n"], x["d"], F.try_mod(x["n"], x["d"]) == 0
+        return F.struct(
+            F.when(d == 1, n).when(d == -1, minus(n)).when(whole, F.try_divide(n, d)).when(d < 0, minus(n)).when(d > 0, n).cast(WIDE).alias("n"),
+            F.when(whole, _wide(1)).when(d < 0, minus(d)).otherwise(d).cast(WIDE).alias("d"),
+        )
+
+    return _let(F.struct(n.alias("n"), d.alias("d")), reduced)
 
 
 def _frame(sn, sd, add, tn, td, mul, sign) -> Column:
@@ -135,10 +139,10 @@ def _empty(text: Column) -> Column:
     return F.trim(F.coalesce(text, F.lit(""))) == ""
 
 
-def arithmetic_record(question: Column, steps: Column, answer: Column, expression: Column | None = None, verification_answer: Column | None = None) -> Column:
+def arithmetic_record(question: Column, steps: Column, answer: Column, expression: Column | None = None, verification_answer: Column | None = None, value: Column | None = None) -> Column:
     """Issue codes of an arithmetic record; with an expression and its answer, those of the verification too.
 
-    steps: array<string>.
+    steps: array<string>; value: a column that has evaluated(expression) already.
     """
     bad_steps = steps.isNull() | (F.size(steps) == 0) | F.exists(steps, _empty)
     shape = [
@@ -164,7 +168,7 @@ def arithmetic_record(question: Column, steps: Column, answer: Column, expressio
             (own != said, "arithmetic_answer_mismatch"),
         ])
 
-    return _let(evaluated(expression), verified)
+    return _let(evaluated(expression), verified) if value is None else verified(value)
 
 
 def _codes(rules: list) -> Column:

@@ -94,10 +94,11 @@ ANSWER = "case when l_linestatus = 'F' then cast({0} as varchar(30)) else concat
  {JOINED.format("case when l_discount = 0.02 then 'bad_steps' when l_discount = 0.04 then 'arithmetic_meta_commentary' end, " + VERIFIED.format('arithmetic') + ''',
  case when l_linestatus <> 'F' then 'arithmetic_bad_answer' end, case when whole and said <> want then 'arithmetic_verification_answer_mismatch' end, case when l_linestatus = 'F' and said <> want then 'arithmetic_answer_mismatch' end''')} as issues from a""")
 def arithmetic_records(spark, d):
-    rows = _lines(spark, d)
+    # A column of its own, so that it is evaluated once.
+    rows = _lines(spark, d).withColumn("value", ar.evaluated(F.col("expression")))
     steps = F.when(F.col("l_discount") == 0.02, F.array(F.lit("add"), F.lit(" "))).when(F.col("l_discount") == 0.04, F.array(F.lit("It is"), F.lit("Ambiguous here"))).otherwise(F.array(F.lit("compute"), F.col("expression")))
-    issues = ar.arithmetic_record(F.lit("What is it?"), steps, F.expr(ANSWER.format("want")), F.col("expression"), F.col("said").cast("string"))
-    value = ar.evaluated(F.col("expression"))
+    issues = ar.arithmetic_record(F.lit("What is it?"), steps, F.expr(ANSWER.format("want")), F.col("expression"), F.col("said").cast("string"), F.col("value"))
+    value = F.col("value")
     shown = F.when(value.isNotNull(), F.when(value["d"] == 1, value["n"].cast("string")).otherwise("fraction"))
     return rows.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", shown.alias("value"), F.array_join(issues, ",").alias("issues"))
 
