@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from .text import normal_space
 
-#: A string of a JSON text, a run of blanks, or any other character.
-PIECE = r'"(?:[^"\\]|\\.)*"|[^"]'
+#: A string of a canonical JSON text, a field's name with its colon, or what lies between them.  The possessive
+#: repeat keeps no state for each character, so a long string needs no deep stack.
+PIECE = r'"(?:[^"\\]|\\.)*+":?|[^"]+'
 
 
 def canonical(json: Column) -> Column:
@@ -33,16 +34,16 @@ def _string(quoted: Column) -> Column:
 
 
 def _quoted(value: Column) -> Column:
-    whole = F.to_json(F.array(value))
-    return F.substring(whole, F.lit(2), F.length(whole) - 2)
+    # Only the array's own brackets stand outside the quotes.
+    return F.btrim(F.to_json(F.array(value)), F.lit("[]"))
 
 
 def normal_values(json: Column, normal=normal_space) -> Column:
     """canonical() with every string value, at any depth, in the form normal(column); names of fields stay."""
     pieces = F.regexp_extract_all(canonical(json), F.lit(PIECE), 0)
-    # In canonical text a name is a string right before a colon.
-    is_value = lambda x, i: F.startswith(x, F.lit('"')) & ~F.coalesce(F.get(pieces, i + 1) == ":", F.lit(False))
-    return F.array_join(F.transform(pieces, lambda x, i: F.when(is_value(x, i), _quoted(normal(_string(x)))).otherwise(x)), "")
+    # In canonical text a name is a string right before a colon; each piece tells by itself which it is.
+    is_value = lambda x: F.startswith(x, F.lit('"')) & F.endswith(x, F.lit('"'))
+    return F.array_join(F.transform(pieces, lambda x: F.when(is_value(x), _quoted(normal(_string(x)))).otherwise(x)), "")
 
 
 def row_key(json: Column, normal=normal_space) -> Column:

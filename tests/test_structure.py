@@ -152,6 +152,13 @@ def test_values_are_normal_at_any_depth_and_names_stay(spark):
     assert casefold.folded_key is not tx.normal_space  # any column function will do as the normal form
 
 
+def test_long_strings_are_normalised(spark):
+    """A string of any length, escapes included, in a fixed depth of stack, and brackets at its ends stay."""
+    long = '[X\\"y  ' * 40_000 + "]"
+    got = issues(spark, cn.normal_values(F.col("t")), "t string", [(f'{{"K": "{long}", "b": ["[A]", "]"]}}',)])
+    assert got == ['{"K":"' + '[x\\"y ' * 40_000 + ']","b":["[a]","]"]}']
+
+
 def plain_template(t, slots=SLOTS):
     pattern = "|".join(map(re.escape, sorted({s for s in slots if len(s) >= 3}, key=lambda s: (-len(s), s))))
     t = re.sub(r"\b(?:[A-Z][a-z]+)(?:\s+[A-Z][a-z]+){1,3}\b", " <entity> ", t)
