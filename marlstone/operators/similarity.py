@@ -2,45 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import discard, materialise
 
 
 def jaccard_pairs(sets: DataFrame, id_: str, items: str, threshold: float) -> DataFrame:
-    """(u, v, common, total) of pairs u < v whose sets have a Jaccard similarity of threshold or more.
+    """(u, v, common, total) of pairs u < v whose sets have a Jaccard similarity of threshold or more; see jaccard_classes."""
+    return expanded(*jaccard_classes(sets, id_, items, threshold))
+
+
+def jaccard_classes(sets: DataFrame, id_: str, items: str, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(pairs, copies): pairs (u, v, common, total), u < v, of the first rows of equal sets alone, and (id, first, n) of the others.
 
     sets: one row for each id, items an array of distinct 64-bit values.  In one
-    order for all, two such sets share one of their first
+    order for all, two sets of that similarity share one of their first
     n - ceil(threshold * n) + 1 items, so only those are joined, under the
     length bound.  Pairs are verified on the full sets.
-    """
-    # Filtered once written: a filter on s would be pushed below, and its expression be run again there.
-    return _pairs(materialise(sets.select(F.col(id_).alias("id"), F.col(items).alias("s")), "jaccard-sets").where(F.size("s") > 0), threshold)
-
-
-def jaccard_classes(sets: DataFrame, id_: str, items: str, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(pairs, copies): jaccard_pairs of the first rows of equal sets alone, and (id, first, n) of the others.
 
     A row whose set equals an earlier one's is a copy, at one row, whatever the
     number of its kin; n is the size of the set.  Empty and null sets have
     neither pairs nor copies.  Equal sets are told by two hashes and their size.  An id of
     several different sets takes part with each; two such rows are no pair, and
     of the pairs of two ids the most similar one is listed.
+
+    The sets are not written: they are made for their prefixes, of the rows that
+    have a candidate for their bitmaps, and of those that still have one for the
+    verification.
     """
-    key = F.concat_ws(":", F.xxhash64(F.array_sort(items)), F.hash(F.array_sort(items)), F.size(items))
-    named = materialise(sets.select(F.col(id_).alias("id"), F.col(items).alias("s"), F.when(F.size(items) > 0, key).alias("key")), "jaccard-sets")
-    first = named.where("key is not null").groupBy("key").agg(F.min("id").alias("first"))
-    copies = materialise(named.join(first, "key").where("id > first").select("id", "first", F.size("s").cast("long").alias("n")), "jaccard-copies")
-    # One row for each set.  Ids may repeat on different sets, so sets are joined under a name of their own.
-    name = F.xxhash64("id", "key")
-    rows = named.join(first, "key").where("id = first").dropDuplicates(["key"]).select(name.alias("id"), "s", F.col("id").alias("of"))
-    firsts = materialise(rows, "jaccard-firsts")
+    rows = sets.select(F.col(id_).alias("id"), F.col(items).alias("s"))
+    named = materialise(_prefixes(rows, threshold), "jaccard-prefix")
+    first = named.where("n > 0").groupBy("c", "k", "n").agg(F.min("id").alias("first"))
+    classes = materialise(first, "jaccard-classes")
+    of = classes.select("c", "k", F.col("n").alias("m"), "first")
+    met = named.select("id", "c", "k", "n").join(of, ["c", "k"]).where("n = m and id > first")
+    copies = materialise(met.select("id", "first", F.col("n").cast("long").alias("n")), "jaccard-copies")
+    candidates = materialise(_candidates(named.select("c", "n", F.explode("prefix").alias("item")), threshold), "jaccard-candidates")
     discard(named)
-    of = firsts.select("id", "of")
-    pairs = _pairs(firsts.select("id", "s"), threshold)
-    pairs = pairs.join(of.select(F.col("id").alias("u"), F.col("of").alias("a")), "u").join(of.select(F.col("id").alias("v"), F.col("of").alias("b")), "v")
+    near = materialise(_close(candidates, rows, classes, threshold), "jaccard-close")
+    ids = _wanted(near, classes)
+    again = _hashed(among(rows, ids, "id").select("id", F.sort_array("s").alias("s")))
+    full = materialise(again.join(ids, ["id", "c", "k", "n"]).select("c", "id", "s"), "jaccard-firsts")
+    pairs = _verified(near, full, threshold)
     pairs = pairs.where("a <> b").groupBy(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).agg(F.max(F.struct(F.col("common") / F.col("total"), "common", "total")).alias("m"))
     return pairs.select("u", "v", "m.common", "m.total"), copies
 
@@ -67,12 +73,18 @@ def frequent_items(rows: DataFrame) -> list[int]:
     """The items (of rows id, s) that several sets of a sample hold, rarest first, at most FREQUENT."""
     n = rows.count()
     some = rows.where(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(max(1, n // SAMPLE_SETS))) == 0)
-    each = some.select(F.explode("s").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    # The outer explode asks for no filter on s, which would be pushed below and make s again there.
+    each = some.select(F.explode_outer("s").alias("item")).where("item is not null").groupBy("item").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
     return [r["item"] for r in each.orderBy(F.desc("f"), "item").limit(FREQUENT).collect()][::-1]
 
 
-def _pairs(rows: DataFrame, threshold: float) -> DataFrame:
-    """jaccard_pairs of a written table of id and s, none empty.
+def _hashed(rows: DataFrame) -> DataFrame:
+    """rows with c, k and n, two hashes and the size of the sorted set s."""
+    return rows.select("*", F.xxhash64("s").alias("c"), F.hash("s").alias("k"), F.greatest(F.size("s"), F.lit(0)).alias("n"))
+
+
+def _prefixes(rows: DataFrame, threshold: float) -> DataFrame:
+    """(id, c, k, n, prefix) of rows (id, s).
 
     Any order of items that is the same for all sets finds all pairs; one that
     puts frequent items last makes fewer candidates.  What is frequent comes
@@ -81,15 +93,79 @@ def _pairs(rows: DataFrame, threshold: float) -> DataFrame:
     """
     frequent = frequent_items(rows)
     known = F.split(F.lit(",".join(map(str, frequent))), ",") if frequent else F.array()
-    common = F.array_intersect(known.cast("array<bigint>"), "s")
-    split = rows.select("id", "s", common.alias("common"))
-    n = F.size("s")
-    keep = n - F.ceil(F.lit(threshold) * n) + 1
-    ordered = F.concat(F.array_sort(F.array_except("s", "common")), "common")
-    prefix = split.select("id", n.alias("n"), F.explode(F.slice(ordered, F.lit(1), keep.cast("int"))).alias("item"))
-    prefix = materialise(prefix, "jaccard-prefix")
-    a, b = prefix.select(F.col("id").alias("u"), F.col("n").alias("nu"), "item"), prefix.select(F.col("id").alias("v"), F.col("n").alias("nv"), "item")
-    pairs = a.join(b, "item").where((F.col("u") < F.col("v")) & (F.least("nu", "nv") >= F.lit(threshold) * F.greatest("nu", "nv"))).select("u", "v").distinct()
-    met = pairs.join(rows.select(F.col("id").alias("u"), F.col("s").alias("su")), "u").join(rows.select(F.col("id").alias("v"), F.col("s").alias("sv")), "v")
-    met = met.select("u", "v", F.size(F.array_intersect("su", "sv")).cast("long").alias("common"), (F.size("su") + F.size("sv")).alias("sum"))
-    return met.select("u", "v", "common", (F.col("sum") - F.col("common")).cast("long").alias("total")).where(F.col("common") / F.col("total") >= threshold)
+    split = _hashed(rows.select("id", F.sort_array("s").alias("s"))).withColumn("common", F.array_intersect(known.cast("array<bigint>"), "s"))
+    keep = (F.col("n") - F.ceil(F.lit(threshold) * F.col("n")) + 1).cast("int")
+    ordered = F.concat(F.array_except("s", "common"), "common")  # array_except keeps the order of s
+    return split.select("id", "c", "k", "n", F.slice(ordered, F.lit(1), keep).alias("prefix"))
+
+
+def _candidates(posts: DataFrame, threshold: float) -> DataFrame:
+    """(u, v), u < v, of posts (item, c, n) that share an item, under the length bound; a post travels once, those that stand alone end there."""
+    once = posts.repartition("item").groupBy("item", "c", "n").agg(F.lit(1).alias("one")).drop("one")
+    own = Window.partitionBy("item")
+    shared = once.withColumns({"lo": F.min("c").over(own), "hi": F.max("c").over(own)}).where("lo < hi").select("item", "c", "n")
+    met = materialise(shared, "jaccard-posts")
+    a, b = met.select(F.col("c").alias("u"), F.col("n").alias("nu"), "item"), met.select(F.col("c").alias("v"), F.col("n").alias("nv"), "item")
+    return a.join(b, "item").where((F.col("u") < F.col("v")) & (F.least("nu", "nv") >= F.lit(threshold) * F.greatest("nu", "nv"))).select("u", "v").distinct()
+
+
+#: Bits of a filter for each key, and 2 to this power bits at most (8 MB).
+BITS_PER_KEY, MOST_BITS = 16, 26
+
+
+def among(rows: DataFrame, keys: DataFrame, id_: str) -> DataFrame:
+    """The rows whose id is one of the written table keys', and few others: each row asks a broadcast bitmap of bounded size, none is shuffled."""
+    size = 1 << min(MOST_BITS, max(15, (keys.count() * BITS_PER_KEY).bit_length()))
+    bit = F.pmod(F.xxhash64(id_), F.lit(size)) + 1
+    bitmap = keys.select(bit.alias("b")).groupBy(F.bitmap_bucket_number("b").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits"))
+    at = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.expr("substring(bits, cast(_at div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    asked = rows.withColumns({"_bucket": F.bitmap_bucket_number(bit), "_at": at})
+    return asked.join(F.broadcast(bitmap), (F.col("_bucket") == F.col("bucket")) & (F.getbit(byte, (F.col("_at") % 8).cast("int")) == 1), "left_semi").drop("_bucket", "_at")
+
+
+def _wanted(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(c, k, n, id): the first rows of the classes of the pairs (u, v); of classes that share a name each takes part."""
+    wanted = pairs.select(F.explode(F.array("u", "v")).alias("c")).distinct()
+    return materialise(classes.join(wanted, "c", "left_semi").select("c", "k", "n", F.col("first").alias("id")), "jaccard-wanted")
+
+
+#: Words of 64 bits in a set's bitmap, and in its fold that is asked first.
+BITMAP_WORDS, FOLD_WORDS = 64, 16
+
+
+def _folded(bits: Column, words: int) -> Column:
+    """A bitmap of so many words: bits that come together by XOR tell the parity of their residues together."""
+    if words == BITMAP_WORDS:
+        return bits
+    return F.when(bits.isNotNull(), F.array(*[reduce(Column.bitwiseXOR, [bits[i] for i in range(at, BITMAP_WORDS, words)]) for at in range(words)]))
+
+
+def _close(candidates: DataFrame, rows: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """The candidates (u, v) whose sets may differ by as few items as the threshold asks for.
+
+    A set's bitmap tells of each residue of its items whether it holds an odd
+    number of them, so two bitmaps differ in no more bits than the sets do in items.
+    """
+    ids = _wanted(candidates, classes)
+    again = _hashed(among(rows, ids, "id").select("id", F.sort_array("s").alias("s")))
+    each = again.select("id", "c", "k", "n", F.explode_outer("s").alias("x")).withColumns({"word": F.pmod(F.shiftright("x", 6), F.lit(BITMAP_WORDS)), "bit": F.expr("shiftleft(1L, cast(x & 63 as int))")})
+    words = [F.bit_xor(F.when(F.col("word") == i, F.col("bit")).otherwise(F.lit(0).cast("long"))) for i in range(BITMAP_WORDS)]
+    # Rows that repeat an id and its set would cancel each other: without a bitmap nothing is ruled out.
+    bits = F.when(F.count(F.lit(1)) == F.first("n"), F.array(*words))
+    maps = each.groupBy("id", "c", "k", "n").agg(bits.alias("bits")).join(ids, ["id", "c", "k", "n"]).select("c", "n", "bits")
+    maps = materialise(maps, "jaccard-bitmaps")
+    most = (F.col("nu") + F.col("nv")) * F.lit((1 - threshold) / (1 + threshold)) + 1
+    for words in (FOLD_WORDS, BITMAP_WORDS):
+        some = maps.select("c", "n", _folded(F.col("bits"), words).alias("bits"))
+        met = candidates.join(some.select(F.col("c").alias("u"), F.col("n").alias("nu"), F.col("bits").alias("bu")), "u").join(some.select(F.col("c").alias("v"), F.col("n").alias("nv"), F.col("bits").alias("bv")), "v")
+        apart = F.reduce(F.zip_with("bu", "bv", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+        candidates = met.where(F.coalesce(apart <= most, F.lit(True))).select("u", "v").distinct()
+    return candidates
+
+
+def _verified(candidates: DataFrame, full: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, common, total) of the candidates (u, v) among full (c, id, s) that reach the threshold, by id."""
+    met = candidates.join(full.select(F.col("c").alias("u"), F.col("id").alias("a"), F.col("s").alias("su")), "u").join(full.select(F.col("c").alias("v"), F.col("id").alias("b"), F.col("s").alias("sv")), "v")
+    met = met.select("a", "b", F.size(F.array_intersect("su", "sv")).cast("long").alias("common"), (F.size("su") + F.size("sv")).alias("sum"))
+    return met.select("a", "b", "common", (F.col("sum") - F.col("common")).cast("long").alias("total")).where(F.col("common") / F.col("total") >= threshold)

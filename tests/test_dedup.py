@@ -1,5 +1,7 @@
 """Greedy acceptance on small tables, against a loop over the rows."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from marlstone.functions.text import normal_space
@@ -71,3 +73,39 @@ def test_repeated_ids_lose_no_link(spark):
     pairs, copies = similarity.jaccard_classes(spark.createDataFrame(rows, "id long, s array<bigint>"), "id", "s", 0.8)
     assert {tuple(r) for r in pairs.collect()} == {(5, 7, 19, 21)}
     assert sorted(map(tuple, copies.collect())) == [(5, 1, 20), (8, 5, 20), (9, 5, 20), (9, 5, 20)]
+
+
+def test_sets_are_not_written_and_all_pairs_are_found(spark, monkeypatch):
+    """Of many sets that share passages only the near ones are written whole; the pairs are those of all against all."""
+    rng = random.Random(5)
+    passages = [[rng.getrandbits(62) for _ in range(40)] for _ in range(30)]
+    sets = {i: [x for p in rng.sample(passages, 6) for x in p] + [rng.getrandbits(62) for _ in range(60)] for i in range(200)}
+    for i in range(200, 240):
+        s = sets[i - 200]
+        sets[i] = s[: len(s) - i % 40] + [rng.getrandbits(62) for _ in range(i % 40)]
+    sets |= {240: sets[0], 241: sets[0], 242: [1], 243: [1], 244: list(range(5000)), 245: list(range(600, 5000))}
+    want = set()
+    for u in sets:
+        for v in sets:
+            if u < v and len(set(sets[u]) & set(sets[v])) >= 0.8 * len(set(sets[u]) | set(sets[v])):
+                want.add((u, v, len(set(sets[u]) & set(sets[v])), len(set(sets[u]) | set(sets[v]))))
+    items = {}
+    real = similarity.materialise
+
+    def noted(df, tag):
+        items[tag] = real(df, tag)
+        return items[tag]
+
+    monkeypatch.setattr(similarity, "materialise", noted)
+    df = spark.createDataFrame(list(sets.items()), "id long, s array<bigint>")
+    pairs, copies = similarity.jaccard_classes(df, "id", "s", 0.8)
+    assert {tuple(r) for r in similarity.expanded(pairs, copies).collect()} == want and len(want) > 40
+    whole = [r[0] for r in items["jaccard-firsts"].select(F.size("s")).collect()]
+    assert sum(whole) < 0.5 * sum(map(len, sets.values())) and "jaccard-sets" not in items
+
+
+def test_bitmaps_of_repeated_rows_rule_nothing_out(spark):
+    s = list(range(100, 140))
+    rows = [(1, s), (1, s), (2, s[:-1] + [7]), (3, s[2:]), (3, s[2:])]
+    pairs, _ = similarity.jaccard_classes(spark.createDataFrame(rows, "id long, s array<bigint>"), "id", "s", 0.8)
+    assert {tuple(r) for r in pairs.collect()} == {(1, 2, 39, 41), (1, 3, 38, 40), (2, 3, 37, 41)}
