@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import materialise
+
 #: Rows of a key in a part, about, where its order column is even.
 PART_ROWS = 50_000
 
@@ -66,13 +68,41 @@ def last_rows(rows: DataFrame, key: str, order: str, ties: list[str], n: int, ag
     return out.where(F.col("_part") == own).drop("_part", "_rank")
 
 
-def swept(events: DataFrame, key: str, at: str, depths: list[str], part_rows: int = PART_ROWS) -> DataFrame:
+def large_keys(events: DataFrame, key: str, part_rows: int = PART_ROWS) -> DataFrame:
+    """(_large) the keys of more than part_rows rows, written."""
+    many = events.groupBy(F.col(key).alias("_large")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > part_rows)
+    return materialise(many.select("_large", F.lit(True).alias("_found")), "sweep-large")
+
+
+def swept(events: DataFrame, key: str, at: str, depths: list[str], part_rows: int = PART_ROWS, large: DataFrame | None = None, dealt: bool = False) -> DataFrame:
     """(key, at, next, prev, the depths' changes, and for each depth d its value before and after: d_before, d_after) of each distinct position.
 
     events: key, at (long) and by how much each depth changes there.  Changes at
-    one position are added first; a part gets the depth at its start and the
-    positions next to its ends from a table with one row for each part.
+    one position are added first.  A key of at most part_rows rows meets in one
+    task, so its rows travel once; only larger ones are cut into parts.
+    large: large_keys() of events, or of rows of which events has no more;
+    dealt: whether events lie by key already, as a sweep leaves them.
     """
+    large = large_keys(events, key, part_rows) if large is None else large
+    if large.isEmpty():
+        return _swept_whole(events, key, at, depths, dealt)
+    # The table of large keys is short: of so many rows a part of them at most.
+    marked = events.join(large, F.col(key).eqNullSafe(F.col("_large")), "left")
+    small = _swept_whole(marked.where("_found is null").drop("_large", "_found"), key, at, depths, False)
+    return small.unionByName(_swept_in_parts(marked.where("_found").drop("_large", "_found"), key, at, depths, part_rows))
+
+
+def _swept_whole(events: DataFrame, key: str, at: str, depths: list[str], dealt: bool) -> DataFrame:
+    sums = (events if dealt else events.repartition(key)).groupBy(key, at).agg(*[F.sum(d).alias(d) for d in depths])
+    own = Window.partitionBy(key).orderBy(at)
+    upto = own.rowsBetween(Window.unboundedPreceding, 0)
+    out = sums.withColumns({"next": F.lead(at).over(own), "prev": F.lag(at).over(own), **{f"{d}_after": F.sum(d).over(upto).cast("long") for d in depths}})
+    out = out.withColumns({f"{d}_before": F.col(f"{d}_after") - F.col(d) for d in depths})
+    return out.select(key, at, "next", "prev", *depths, *[f"{d}_{w}" for d in depths for w in ("before", "after")])
+
+
+def _swept_in_parts(events: DataFrame, key: str, at: str, depths: list[str], part_rows: int) -> DataFrame:
+    """swept() of large keys: a part gets the depth at its start and the positions next to its ends from a table with one row for each part."""
     sums = events.groupBy(key, at).agg(*[F.sum(d).alias(d) for d in depths])
     cut = cut_by_range(sums, key, at, part_rows)
     ends = cut.groupBy(F.col(key).alias("_key"), F.col("_part").alias("_p")).agg(F.min(at).alias("_first"), F.max(at).alias("_last"), *[F.sum(d).alias(f"_{d}") for d in depths])
@@ -111,9 +141,10 @@ def uncovered(planned: DataFrame, completed: DataFrame, key: str, start: str, st
         deep = lambda at, by, name=name: F.struct(at.cast("long").alias("at"), *[F.lit(by if n == name else 0).alias(n) for n in ("plan", "done")])
         some = side.where(F.col(start) < F.col(stop)).select(F.col(key).alias(key), F.inline(F.array(deep(F.col(start), 1), deep(F.col(stop), -1))))
         points = some if points is None else points.unionByName(some)
-    met = swept(points, key, "at", ["plan", "done"], part_rows)
+    large = large_keys(points, key, part_rows)
+    met = swept(points, key, "at", ["plan", "done"], part_rows, large)
     open_ = lambda when: (F.col(f"plan_{when}") > 0) & (F.col(f"done_{when}") <= 0)
     # Where a piece begins and where it ends: +1 and -1 of one depth, swept again to bring both together.
     edges = met.where(open_("before") != open_("after")).select(key, "at", F.when(open_("after"), 1).otherwise(-1).alias("edge"))
-    pieces = swept(edges, key, "at", ["edge"], part_rows)
+    pieces = swept(edges, key, "at", ["edge"], part_rows, large, dealt=True)
     return pieces.where("edge > 0").select(key, F.col("at").alias(start), F.col("next").alias(stop))

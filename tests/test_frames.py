@@ -223,3 +223,20 @@ def test_sessions_and_sliding_windows_of_a_stream_are_those_of_the_table(spark,
     micros = lambda m: 1704067200_000_000 + m * 60_000_000
     assert (1, micros(0), micros(80), 4, 2.5) in {tuple(r) for r in stateful.sessions(table).collect()}
     assert {(r.user_id, r.n) for r in stateful.sessions(table).collect()} == {(1, 4), (2, 1), (1, 1)}
+
+
+def test_small_keys_are_swept_in_one_shuffle(spark):
+    """Keys below part_rows are not cut; beside a large key, a null one and a small one all answer as one sweep of each would."""
+    rows = [("big", i * 3, i * 3 + (2 if i % 4 else 5)) for i in range(60)] + [("few", 1, 4), ("few", 2, 3), ("few", 9, 12), (None, 5, 6), (None, 8, 9)]
+    df = spark.createDataFrame(rows, "k string, s long, e long")
+    want = set()
+    for k in {r[0] for r in rows}:
+        end = None
+        for _, s, e in sorted(r for r in rows if r[0] == k):
+            if end is not None and s > end:
+                want.add((k, end, s))
+            end = e if end is None else max(end, e)
+    assert {tuple(r) for r in frames.gaps(df, "k", "s", "e", 20).collect()} == want
+    assert {tuple(r) for r in frames.gaps(df, "k", "s", "e").collect()} == want
+    plan = frames.gaps(df, "k", "s", "e")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
