@@ -9,10 +9,12 @@ golden-ratio point i * GOLDEN mod POINTS, and belongs to the source in whose
 part of the cumulative targets the point falls; the k-th slot of a source takes
 its k-th block.  A source's blocks are cut from its documents, shuffled by md5
 of the id and laid end to end, again from the start when they are used up, up to
-its target in whole words, where the last block is cut.  So a source of any size
-gives its target; the slots tell where in the mix its blocks stand.  The points
-give a source as many slots as it has blocks but for a few: blocks without one,
-such as those of a source of a few words, stand at the mix's end.
+its target in whole words, where the last block is cut.  What a document gives
+is the sum, block by block, of what the granted slots hold of it.  The points
+give a source as many slots as it has blocks but for a few: slots beyond its
+target grant nothing, and blocks that no slot has reached, such as those of a
+source of a few words, get slots of their own after the others.  So a source of
+any size gives its target.
 
 Ranks and running sums are taken within buckets of bounded size and offset by
 bucket totals, so that no source, however large, meets in one task.
@@ -92,27 +94,55 @@ def schedule(sources: DataFrame, words: int) -> DataFrame:
     return _running(owned, ["rank"], "chunk", F.lit(1), ["slot"], "block").select("rank", "block", "slot")
 
 
-def mix(documents: DataFrame) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken, first_slot) of each row of documents (doc_id, text, source)."""
+def grants(sources: DataFrame, slots: DataFrame, n: int) -> DataFrame:
+    """(rank, block, slot): the slot that grants each block of the mix: one of the n of the schedule, or one after them for a block that these do not reach."""
+    need = sources.select("rank", F.ceil(F.col("quota") / BLOCK).alias("blocks"))
+    reached = slots.groupBy("rank").agg(F.count(F.lit(1)).alias("reached"))
+    short = need.join(reached, "rank", "left").withColumn("reached", F.least("blocks", F.coalesce("reached", F.lit(0))))
+    before = F.sum(F.col("blocks") - F.col("reached")).over(Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1))
+    late = short.withColumn("before", F.coalesce(before, F.lit(0))).where("reached < blocks")
+    late = late.select("rank", "reached", "before", F.explode(F.sequence(F.col("reached"), F.col("blocks") - 1)).alias("block"))
+    late = late.select("rank", "block", (F.lit(n) + F.col("before") + F.col("block") - F.col("reached")).alias("slot"))
+    return slots.join(need, "rank").where("block < blocks").select("rank", "block", "slot").unionByName(late)
+
+
+def mix_blocks(documents: DataFrame) -> DataFrame:
+    """mix() with more of each row's part in it: the granted blocks that hold words of it, the last of their slots, and its words in slots after the schedule's."""
     sized = documents.select(F.col("doc_id").alias("doc_id"), F.col("source").alias("_source"), word_count(F.col("text")).alias("_size"))
     sized = materialise(sized, "mixing-sizes")
     sources = materialise(targets(sized), "mixing-targets")
     words = sources.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
-    slots = materialise(schedule(sources, words), "mixing-slots")
+    n = math.ceil(words / BLOCK)
+    granted = grants(sources, materialise(schedule(sources, words), "mixing-slots"), n)
     # One row for each source; the planner broadcasts it where it is small.
-    placed = sized.join(sources.withColumnRenamed("quota", "given"), sized["_source"].eqNullSafe(sources["_source"])).drop(sources["_source"])
+    placed = sized.join(sources, sized["_source"].eqNullSafe(sources["_source"])).drop(sources["_source"])
     shuffled = placed.withColumn("h", F.md5(F.coalesce(F.col("doc_id"), F.lit(0)).cast("string").cast("binary")))
     in_bucket = F.floor(F.conv(F.substring("h", 1, 8), 16, 10).cast("long") * F.ceil(F.col("docs") / BUCKET_ROWS) / (1 << 32))
     laid = _running(shuffled.where("_size > 0").withColumn("bucket", in_bucket), ["rank"], "bucket", F.col("_size"), ["h", "_size"], "start")
 
-    # What the first `given` words of CAP rounds hold of a document: no row for each block or round.
-    within = lambda to: F.least(F.col("given"), to)
-    at = lambda turn: F.col("start") + turn * F.col("source_size")
-    held = sum((within(at(k) + F.col("_size")) - within(at(k)) for k in range(CAP)), F.lit(0).cast("long"))
-    first = F.when(F.col("start") < F.col("given"), F.floor(F.col("start") / BLOCK).cast("long"))
-    taken = laid.withColumns({"taken": held.cast("long"), "block": first}).join(slots, ["rank", "block"], "left").withColumnRenamed("slot", "first_slot")
-    out = lambda df: df.select("doc_id", F.col("_source").alias("source"), F.col("_size").alias("size"), "source_size", "target", "taken", "first_slot")
-    return out(taken).unionByName(out(shuffled.where("_size = 0").withColumns({"taken": F.lit(0).cast("long"), "first_slot": F.lit(None).cast("long")})))
+    # A piece is what one block holds of one round of a document; the last block ends at the quota.
+    rounds = F.greatest(F.lit(0), F.least(F.lit(CAP - 1), F.floor((F.col("quota") - 1 - F.col("start")) / F.col("source_size")).cast("int")))
+    lo = F.col("turn") * F.col("source_size") + F.col("start")
+    turn = laid.withColumn("turn", F.explode(F.sequence(F.lit(0), rounds))).withColumns({"lo": lo, "hi": F.least(lo + F.col("_size"), "quota")})
+    row = ["rank", "start", "doc_id", "_source", "_size", "source_size", "target"]
+    at = F.floor(F.col("lo") / BLOCK)
+    pieces = turn.select(*row, "lo", "hi", F.explode(F.sequence(at, F.greatest(at, F.floor((F.col("hi") - 1) / BLOCK)))).alias("block"))
+    overlap = F.greatest(F.lit(0), F.least("hi", (F.col("block") + 1) * BLOCK) - F.greatest("lo", F.col("block") * BLOCK))
+    pieces = pieces.select(*row, "block", overlap.cast("long").alias("held"))
+    given = F.col("slot").isNotNull() & (F.col("held") > 0)
+    taken = pieces.join(granted, ["rank", "block"], "left").groupBy(*row).agg(
+        F.sum(F.when(given, F.col("held")).otherwise(0)).alias("taken"), F.min(F.when(given & (F.col("slot") < n), F.col("slot"))).alias("first_slot"),
+        F.count_if(given).alias("blocks"), F.max(F.when(given, F.col("slot"))).alias("last_slot"), F.sum(F.when(given & (F.col("slot") >= n), F.col("held")).otherwise(0)).alias("late_words"),
+    )
+    zero, none = F.lit(0).cast("long"), F.lit(None).cast("long")
+    nothing = shuffled.where("_size = 0").withColumns({"taken": zero, "first_slot": none, "blocks": zero, "last_slot": none, "late_words": zero})
+    out = lambda df: df.select("doc_id", F.col("_source").alias("source"), F.col("_size").alias("size"), "source_size", "target", "taken", "first_slot", "blocks", "last_slot", "late_words")
+    return out(taken).unionByName(out(nothing))
+
+
+def mix(documents: DataFrame) -> DataFrame:
+    """(doc_id, source, size, source_size, target, taken, first_slot) of each row of documents (doc_id, text, source)."""
+    return mix_blocks(documents).drop("blocks", "last_slot", "late_words")
 
 
 def mix_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -131,11 +161,11 @@ def mix_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "first_slot")
+    return mix_blocks(table(spark, sf_dir, "documents")).drop("source")
 
 
 ORACLE = rf"""
-with d as (select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as size, md5(cast(coalesce(doc_id, 0) as varchar)) as h from {{documents}}),
+with d as (select row_number() over () as row_, doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as size, md5(cast(coalesce(doc_id, 0) as varchar)) as h from {{documents}}),
 s0 as (select source, cast(sum(size) as bigint) as source_size, row_number() over (order by source nulls last) - 1 as k from d group by source),
 s1 as (select *, k % 3 + 1 as w, cast(sum(source_size) over () as bigint) as total from s0),
 s2 as (select *, total - cast(coalesce(sum(3 * source_size) over (order by source_size / w, k rows between unbounded preceding and 1 preceding), 0) as bigint) as rest,
@@ -148,12 +178,16 @@ c as (select q.*, cast(sum(quota) over (order by k) as bigint) as upto, cast(sum
 parts as (select k, cast(floor(cast(upto - quota as double) / all_ * {POINTS}) as bigint) as lo, cast(floor(cast(upto as double) / all_ * {POINTS}) as bigint) as hi from c where quota > 0),
 points as (select i as slot, i % {POINTS} * {GOLDEN} % {POINTS} as u from range((select coalesce(max(n), 0) from c)) as t(i)),
 slots as (select k, slot, row_number() over (partition by k order by slot) - 1 as block from points join parts on lo <= u and u < hi),
-g as (select c.*, quota as given from c),
-p as (select d.*, k, source_size, target, given,
+reached as (select c.k, cast(ceil(quota / {BLOCK}.0) as bigint) as blocks, least(cast(ceil(quota / {BLOCK}.0) as bigint), count(slot)) as m from c left join slots on c.k = slots.k group by c.k, quota),
+short as (select *, cast(coalesce(sum(blocks - m) over (order by k rows between unbounded preceding and 1 preceding), 0) as bigint) as before from reached),
+late as (select k, m + i as block, (select max(n) from c) + before + i as slot from short, unnest(range(blocks - m)) as x(i)),
+granted as (select k, block, slot from slots join reached using (k) where block < blocks union all select k, block, slot from late),
+p as (select d.*, k, n, source_size, target, quota,
         cast(coalesce(sum(size) over (partition by k order by h, size rows between unbounded preceding and 1 preceding), 0) as bigint) as start
-      from d join g on d.source is not distinct from g.source),
-t as (select *, least(given, start + size) - least(given, start) + least(given, source_size + start + size) - least(given, source_size + start)
-        + least(given, 2 * source_size + start + size) - least(given, 2 * source_size + start) as taken from p)
-select doc_id, cast(size as bigint) as size, source_size, target, cast(taken as bigint) as taken, case when size > 0 and start < given then slot end as first_slot
-from t left join slots on t.k = slots.k and block = start // {BLOCK}
+      from d join c on d.source is not distinct from c.source),
+turns as (select row_, k, n, turn * source_size + start as lo, least(turn * source_size + start + size, quota) as hi from p, range(3) as r(turn)),
+pieces as (select row_, k, n, block, least(hi, (block + 1) * {BLOCK}) - greatest(lo, block * {BLOCK}) as held from turns, unnest(range(lo // {BLOCK}, (hi - 1) // {BLOCK} + 1)) as b(block) where lo < hi),
+t as (select row_, sum(held) as taken, min(slot) filter (slot < n) as first_slot, count(*) as blocks, max(slot) as last_slot, coalesce(sum(held) filter (slot >= n), 0) as late_words from pieces join granted using (k, block) group by row_)
+select doc_id, cast(size as bigint) as size, source_size, target, cast(coalesce(taken, 0) as bigint) as taken, first_slot, coalesce(blocks, 0) as blocks, last_slot, cast(coalesce(late_words, 0) as bigint) as late_words
+from p left join t on p.row_ = t.row_
 """

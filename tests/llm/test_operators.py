@@ -246,6 +246,34 @@ def test_sources_of_a_few_words_meet_their_targets(spark):
     assert sorted(map(tuple, got), key=repr) == sorted(((a, b, c, next(r.source_size for r in got if r.source == b), targets[b], d, e) for a, b, c, d, e in scheduled([(r[0], r[1], r[2], r[3]) for r in rows], targets)), key=repr)
 
 
+def test_slots_decide_what_a_document_gives(spark, monkeypatch):
+    """What is taken is summed over granted blocks: each has one slot, and a block without its grant gives nothing."""
+    rows = [(i, "w " * (7 * i % 190 + 1), "en", f"s{i % 5}") for i in range(120)] + [(900, "tiny one", "en", "tiny"), (901, None, "en", "s0")]
+    got = mixing.mix_blocks(frame(spark, rows)).collect()
+    n = math.ceil(sum(r["size"] for r in got) / mixing.BLOCK)
+    want = scheduled([(r[0], r[1] or "", r[2], r[3]) for r in rows], {r.source: r.target for r in got})
+    assert Counter((r.doc_id, r.source, r["size"], r.taken, r.first_slot) for r in got) == Counter(want)
+    for r in got:
+        assert 0 <= r.late_words <= r.taken <= r.blocks * mixing.BLOCK and (r.last_slot is None) == (r.taken == 0) == (r.blocks == 0)
+        assert (r.late_words > 0) == (r.last_slot is not None and r.last_slot >= n)
+        assert r.first_slot is None or r.first_slot <= r.last_slot
+    whole, seen = mixing.grants, []
+
+    def without_block_1(*args):
+        df = whole(*args)
+        seen.extend(df.collect())
+        return df.where("block <> 1")
+
+    monkeypatch.setattr(mixing, "grants", without_block_1)
+    less = Counter()
+    for r in mixing.mix(frame(spark, rows)).collect():
+        less[r.source] += r.taken
+    assert len({r.slot for r in seen}) == len(seen) == len({(r["rank"], r.block) for r in seen})
+    for s in {r[3] for r in rows}:
+        quota = sum(r.taken for r in got if r.source == s)
+        assert less[s] == quota - max(0, min(quota, 2 * mixing.BLOCK) - mixing.BLOCK)
+
+
 def test_schedule_is_even_everywhere(spark):
     """Any stretch of the schedule holds each source's share of it."""
     rows = [(i, "w " * 500, "en", f"s{i % 4}") for i in range(400)]
