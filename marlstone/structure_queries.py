@@ -94,11 +94,12 @@ ANSWER = "case when l_linestatus = 'F' then cast({0} as varchar(30)) else concat
  {JOINED.format("case when l_discount = 0.02 then 'bad_steps' when l_discount = 0.04 then 'arithmetic_meta_commentary' end, " + VERIFIED.format('arithmetic') + ''',
  case when l_linestatus <> 'F' then 'arithmetic_bad_answer' end, case when whole and said <> want then 'arithmetic_verification_answer_mismatch' end, case when l_linestatus = 'F' and said <> want then 'arithmetic_answer_mismatch' end''')} as issues from a""")
 def arithmetic_records(spark, d):
-    # A column of its own, so that it is evaluated once.
-    rows = _lines(spark, d).withColumn("value", ar.evaluated(F.col("expression")))
+    rows = _lines(spark, d).withColumn("answer", F.expr(ANSWER.format("want")))
+    parts = ar.arithmetic_parts(F.col("answer"), F.col("expression"), F.col("said").cast("string"))
+    rows = rows.withColumns(parts)
     steps = F.when(F.col("l_discount") == 0.02, F.array(F.lit("add"), F.lit(" "))).when(F.col("l_discount") == 0.04, F.array(F.lit("It is"), F.lit("Ambiguous here"))).otherwise(F.array(F.lit("compute"), F.col("expression")))
-    issues = ar.arithmetic_record(F.lit("What is it?"), steps, F.expr(ANSWER.format("want")), F.col("expression"), F.col("said").cast("string"), F.col("value"))
-    value = F.col("value")
+    issues = ar.arithmetic_record(F.lit("What is it?"), steps, F.col("answer"), F.col("expression"), F.col("said").cast("string"), {k: F.col(k) for k in parts})
+    value = F.col("_value")
     shown = F.when(value.isNotNull(), F.when(value["d"] == 1, value["n"].cast("string")).otherwise("fraction"))
     return rows.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", shown.alias("value"), F.array_join(issues, ",").alias("issues"))
 
@@ -117,7 +118,11 @@ select {LINE.replace(', l_tax, l_discount, l_linestatus', '')}, {JOINED.format("
  case when numeric_ and hits = 1 then cast(case when want + 1 = said then 0 when want = said then 1 when want - 2 = said then 2 else 3 end as int) end as correct from n""")
 def math_questions(spark, d):
     rows = _lines(spark, d).withColumn("choices", F.array(*map(F.expr, CHOICES))).withColumn("why", F.expr(WHY.format("want")))
-    issues, correct = ar.math_question(F.lit("What is it?"), F.col("choices"), F.col("why"), F.col("expression"), F.col("said").cast("string"))
+    parts = ar.math_parts(F.col("choices"), F.col("expression"), F.col("said").cast("string"))
+    rows = rows.withColumns(parts)
+    hits = ar.math_hits(F.col("choices"), {k: F.col(k) for k in parts})
+    rows = rows.withColumns(hits)
+    issues, correct = ar.math_question(F.lit("What is it?"), F.col("choices"), F.col("why"), F.col("expression"), F.col("said").cast("string"), {k: F.col(k) for k in (*parts, *hits)})
     return rows.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.array_join(issues, ",").alias("issues"), correct.alias("correct"))
 
 

@@ -13,6 +13,7 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
+from marlstone import queries
 from marlstone.functions import arithmetic as ar
 from marlstone.functions import canonical as cn
 from marlstone.functions import casefold
@@ -96,6 +97,12 @@ def test_arithmetic_records(spark):
     assert issues(spark, ar.arithmetic_record(F.col("q"), F.col("s"), F.col("a")), schema, rows[:1] + rows[3:4]) == [[], ["bad_steps"]]
 
 
+def test_costly_parts_of_records_are_made_once_and_not_interpreted(spark):
+    for name in ("arithmetic_records", "math_questions"):
+        plan = queries.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("ArrowEvalPython [") == 1 and "aggregate(" not in plan and "filter(array(CASE" not in plan, plan
+
+
 def test_math_questions(spark):
     schema = "q string, c array<string>, w string, e string, v string"
     both = ar.math_question(*map(F.col, "qcwev"))
