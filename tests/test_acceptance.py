@@ -6,6 +6,7 @@ import unicodedata
 
 from pyspark.sql import functions as F
 
+from marlstone import queries, record_queries, report_queries  # noqa: F401
 from marlstone.functions import casefold, metadata
 from marlstone.operators import acceptance
 from marlstone.sources import files, jsonl
@@ -100,3 +101,10 @@ def test_rejected_rows_keep_spec_and_decision(spark, tmp_path):
     assert got == {1: ('{"spec_name":"s1"}', '{"text":"t1"}', lost), 3: (None, None, lost), None: (None, None, lost)}
     run = files.write_manifest(rows.groupBy().count(), str(tmp_path / "m"), kind="sft")
     assert [tuple(r) for r in spark.read.json(str(tmp_path / "m")).select("count", "kind", "run_id").collect()] == [(2, "sft", run)]
+
+
+def test_acceptance_checks_each_pair_once_on_all_cores(spark):
+    """All counts come from written groups, not from three scans of the pairs; the pairs are dealt over all cores, however few parts their file has."""
+    plan = queries.QUERIES["dataset_acceptance"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "o_orderkey" not in plan and "regexp" not in plan, plan
+    assert record_queries._made(spark, "/root/testdata/sf0.001", "pair").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
