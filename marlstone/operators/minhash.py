@@ -1,4 +1,4 @@
-"""MinHash-LSH with exact verification, in built-in functions, and clusters counted with multiplicities.
+"""MinHash-LSH with exact verification, and clusters counted with multiplicities; signatures by numpy on Arrow batches, the rest in built-in functions.
 
 Candidates share a band of their signatures; each is verified on the whole sets,
 so no link is wrong, and a pair at the threshold is missed with a chance of
@@ -13,16 +13,28 @@ between components.
 
 from __future__ import annotations
 
+import random
+import sys
+
+import numpy as np
+import pyarrow as pa
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from ..sources.shared import discard, materialise
 from .components import components
 
+# Python workers need no copy of the repository.
+register_pickle_by_value(sys.modules[__name__])
+
 PERMUTATIONS = 64
 RECALL = 0.99
 #: Members of a bucket in a tile's side, about.
 TILE = 2048
+#: Items hashed at a time.
+ITEMS = 1 << 18
 
 
 def bands(threshold: float, permutations: int = PERMUTATIONS, recall: float = RECALL) -> tuple[int, int]:
@@ -34,14 +46,35 @@ def bands(threshold: float, permutations: int = PERMUTATIONS, recall: float = RE
     return permutations, 1
 
 
-def signatures(sets: DataFrame, id_: str, items: str, permutations: int = PERMUTATIONS) -> DataFrame:
-    """(id, sig): for each permutation the smallest hash of the set's items (64-bit values); empty sets have none.
+def _signed(permutations: int):
+    """A function of array columns without empty ones: for each permutation the smallest hash of a row's items."""
+    rng = random.Random(permutations)
+    factors = [(np.uint64(rng.getrandbits(64) | 1), np.uint64(rng.getrandbits(64))) for _ in range(permutations)]
 
-    The items of a row meet in a partial aggregation, so only signatures are shuffled.
-    """
-    each = sets.select(F.col(id_).alias("id"), F.explode(items).alias("x"))
-    least = each.groupBy("id").agg(*[F.min(F.xxhash64("x", F.lit(i))).alias(f"m{i}") for i in range(permutations)])
-    return least.select("id", F.array(*[f"m{i}" for i in range(permutations)]).alias("sig"))
+    def signed(sets: pa.Array) -> pa.Array:
+        ends = np.cumsum(sets.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+        starts = np.concatenate(([0], ends))[:-1]
+        items = sets.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        out, lo = np.empty((len(ends), permutations), np.uint64), 0
+        while lo < len(ends):
+            hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + ITEMS, "right")))
+            x = items[starts[lo] : ends[hi - 1]]
+            x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+            x ^= x >> np.uint64(29)
+            for k, (times, plus) in enumerate(factors):
+                out[lo:hi, k] = np.minimum.reduceat(x * times + plus, starts[lo:hi] - starts[lo])
+            lo = hi
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(ends) + 1, dtype=np.int32) * permutations, pa.int32()), pa.array(out.reshape(-1).view(np.int64)))
+
+    # The types are named, as Spark reads a column function's kind from them.
+    signed.__annotations__ = {"sets": pa.Array, "return": pa.Array}
+    return F.arrow_udf(signed, ArrayType(LongType()))
+
+
+def signatures(sets: DataFrame, id_: str, items: str, permutations: int = PERMUTATIONS, *others: str) -> DataFrame:
+    """(id, sig and the columns named): for each permutation the smallest hash of the set's items (64-bit values); empty sets have none."""
+    full = sets.where(F.size(items) > 0)
+    return full.select(F.col(id_).alias("id"), _signed(permutations)(F.col(items)).alias("sig"), *others)
 
 
 def band_keys(sig: Column, group: Column, n: int, rows: int) -> Column:
@@ -81,7 +114,7 @@ def links(sets: DataFrame, id_: str, items: str, threshold: float, group: str |
     n, rows = bands(threshold, permutations, recall)
     grouped = sets.select(F.col(id_).cast("long").alias("id"), F.col(items).alias("s"), (F.xxhash64(group) if group else F.lit(0).cast("long")).alias("g"))
     kept = materialise(grouped, "minhash-sets")
-    signed = signatures(kept, "id", "s", permutations).join(kept.select("id", "g"), "id")
+    signed = signatures(kept, "id", "s", permutations, "g")
     posts = materialise(signed.select("id", F.explode(band_keys(F.col("sig"), F.col("g"), n, rows)).alias("key")), "minhash-posts")
     shared = posts.groupBy("key").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "hub")
     met = materialise(posts.join(shared, "key"), "minhash-buckets")

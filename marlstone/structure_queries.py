@@ -17,7 +17,7 @@ from .functions import templates as tp
 from .functions import text as tx
 from .operators import minhash
 from .queries import FP, KEY, _conversations, _docs, query
-from .sources.shared import materialise, table
+from .sources.shared import discard, materialise, table
 
 TEMPLATE = KEY.format("""regexp_replace(regexp_replace(coalesce(text, ''), '"[^"]*"', '<quoted>', 'g'), '[0-9]+(?:[.,][0-9]+)*', '<num>', 'g')""")
 NEAR = f"""with recursive t as (select source, {TEMPLATE} as t, count(*) as n, min(doc_id) as id from documents group by 1, 2),
@@ -33,10 +33,14 @@ low as (select u, min(v) as low from r group by u), m as (select source, id, n,
 def _templates(spark, d) -> DataFrame:
     """(source, id, n, s): the distinct templates of each source, how many texts have them, and their shingles."""
     t = _docs(spark, d).select("doc_id", "source", tx.template(F.coalesce("text", F.lit(""))).alias("t"))
-    each = t.groupBy("source", F.sha2(F.col("t").cast("binary"), 256).alias("h")).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("id"))
-    # Only one text of each template is looked at further; tokens are a column of their own, so that they are not made anew for each shingle.
-    texts = each.join(t.select(F.col("doc_id").alias("id"), "t"), "id").select("source", "id", "n", tx.tokens(F.col("t")).alias("w"))
-    return materialise(texts.select("source", "id", "n", tx.shingles(F.col("w"), 5).alias("s")), "templates")
+    # The template of a text is made once; its words go on as hashes, of which only one text of each template is looked at further.
+    key = t.withColumns({"h": F.sha2(F.col("t").cast("binary"), 256), "w": tx.tokens(F.col("t"))})
+    key = materialise(key.select("doc_id", "source", "h", F.transform("w", lambda w: F.xxhash64(w)).alias("w")), "template-words")
+    each = key.groupBy("source", "h").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("id"))
+    texts = each.join(key.select(F.col("doc_id").alias("id"), "w"), "id")
+    rows = materialise(texts.select("source", "id", "n", tx.hashed_shingles(F.col("w"), 5).alias("s")), "templates")
+    discard(key)
+    return rows
 
 
 def _clustered(spark, d) -> DataFrame:

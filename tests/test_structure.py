@@ -285,6 +285,16 @@ def test_minhash_links_are_right_and_find_what_the_exact_join_finds(spark, near_
     assert clusters == {**a, 1000: 1000}
 
 
+def test_signatures_take_one_pass_and_no_row_for_each_item(spark):
+    rows = [(i, [hash((i, j)) for j in range(n)]) for i, n in enumerate((1, 0, 3, 70, 5))] + [(9, None)]
+    got = minhash.signatures(spark.createDataFrame(rows, "id long, s array<bigint>"), "id", "s", 16)
+    assert {r.id for r in got.collect()} == {0, 2, 3, 4} and all(len(r.sig) == 16 for r in got.collect())
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Aggregate" not in plan
+    turned = minhash.signatures(spark.createDataFrame([(i, s and s[::-1]) for i, s in rows], "id long, s array<bigint>"), "id", "s", 16)
+    assert {r.id: r.sig for r in turned.collect()} == {r.id: r.sig for r in got.collect()}
+
+
 def test_minhash_keeps_groups_apart_and_stands_empty_tables(spark):
     df = spark.createDataFrame([(1, [1, 2, 3], "a"), (2, [1, 2, 3], "b"), (3, [1, 2, 3], "a"), (4, [1, 2, 3], None), (5, [1, 2, 3], None)], "id long, s array<bigint>, g string")
     assert {(r.u, r.v) for r in minhash.links(df, "id", "s", 0.8, "g").collect()} == {(1, 3), (4, 5)}
