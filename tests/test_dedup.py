@@ -1,11 +1,14 @@
 """Greedy acceptance on small tables, against a loop over the rows."""
 
+import os
 import random
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from marlstone.functions.text import normal_space
 from marlstone.operators import dedup, similarity
+from marlstone.sources.shared import shuffles_end
 
 
 def by_loop(rows):
@@ -109,3 +112,73 @@ def test_bitmaps_of_repeated_rows_rule_nothing_out(spark):
     rows = [(1, s), (1, s), (2, s[:-1] + [7]), (3, s[2:]), (3, s[2:])]
     pairs, _ = similarity.jaccard_classes(spark.createDataFrame(rows, "id long, s array<bigint>"), "id", "s", 0.8)
     assert {tuple(r) for r in pairs.collect()} == {(1, 2, 39, 41), (1, 3, 38, 40), (2, 3, 37, 41)}
+
+
+def near(sets, threshold=0.8):
+    out = set()
+    for u in sets:
+        for v in sets:
+            if u < v:
+                both = len(set(sets[u]) & set(sets[v]))
+                if both >= threshold * (total := len(set(sets[u]) | set(sets[v]))):
+                    out.add((u, v, both, total))
+    return out
+
+
+def tables_of(monkeypatch):
+    """Rows of each table that the join writes, summed by tag."""
+    rows, real = {}, similarity.materialise
+
+    def noted(df, tag):
+        out = real(df, tag)
+        rows[tag] = rows.get(tag, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(similarity, "materialise", noted)
+    return rows
+
+
+def test_a_set_is_sent_once_for_its_near_copies(spark, monkeypatch):
+    """A group's sets go to few tiles, not to each pair of the group; its pairs are made about once, not for each shared item."""
+    rng = random.Random(3)
+    base = [rng.getrandbits(62) for _ in range(120)]
+    sets = {i: base[i % 7 :] + [rng.getrandbits(62) for _ in range(rng.randrange(4, 14))] for i in range(70)}
+    want, rows = near(sets), tables_of(monkeypatch)
+    pairs, copies = similarity.jaccard_classes(spark.createDataFrame(list(sets.items()), "id long, s array<bigint>"), "id", "s", 0.8)
+    assert {tuple(r) for r in pairs.collect()} == want and len(want) > 1000 and copies.count() == 0
+    assert rows["jaccard-sent"] < 12 * len(sets) and rows["jaccard-near"] < 1.2 * len(want)
+
+
+def test_unrelated_sets_of_a_frequent_passage_are_not_listed(spark, monkeypatch):
+    """Pairs that share a frequent item are held against the bitmaps before they are written; those of sets of any size are found."""
+    rng = random.Random(4)
+    made = lambda n: [rng.getrandbits(62) for _ in range(n)]
+    line = list(range(-(1 << 62), -(1 << 62) + 30))  # the smallest items, so that prefixes hold them
+    monkeypatch.setattr(similarity, "FREQUENT", 0)
+    sets = {i: line + made(100) for i in range(120)}
+    for k, n in enumerate((1300, 1480, 1700, 4000)):
+        long = made(n)
+        sets |= {1000 * (k + 1) + i: line + long[i:] + made(rng.randrange(n // 5)) for i in range(11)}
+    want, rows = near(sets), tables_of(monkeypatch)
+    pairs = similarity.jaccard_classes(spark.createDataFrame(list(sets.items()), "id long, s array<bigint>"), "id", "s", 0.8)[0]
+    assert {tuple(r) for r in pairs.collect()} == want and len({u // 1000 for u, *_ in want}) == 4
+    assert rows["jaccard-candidates"] + rows["jaccard-near"] < 2 * len(want)
+
+
+def test_pairs_of_sets_that_share_a_name_are_all_counted():
+    sets = pa.table({"key": [0] * 4, "c": [5, 3, 5, 9], "id": [1, 2, 4, 7], "s": pa.array([[1, 2, 3, 4], [1, 2, 3, 4, 5], [8], [1, 2, 3, 5]], pa.list_(pa.int64()))})
+    pairs = pa.table({"key": [0, 0, 0], "u": [3, 5, 3], "v": [5, 9, 9]})
+    got = similarity._counted(0.6)(pairs, sets)
+    assert sorted(zip(*(c.to_pylist() for c in got.columns), strict=True)) == [(1, 7, 3, 5), (2, 1, 4, 5), (2, 7, 4, 5)]
+    assert similarity._counted(0.6)(pairs.slice(0, 0), sets).num_rows == similarity._counted(0.6)(pairs, sets.slice(0, 0)).num_rows == 0
+
+
+def test_shuffle_files_end_with_their_statement(spark, tmp_path):
+    held = lambda: sum(f.startswith("shuffle_") for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString() for _, _, names in os.walk(d) for f in names)
+    key, df = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", spark.range(1000).repartition(3, "id").repartition(5)
+    before, files = spark.conf.get(key), held()
+    with shuffles_end(spark):
+        df.write.parquet(str(tmp_path / "one"))
+    assert held() <= files and spark.conf.get(key) == before and spark.read.parquet(str(tmp_path / "one")).count() == 1000
+    df.write.parquet(str(tmp_path / "two"))
+    assert held() > files
