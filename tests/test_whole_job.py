@@ -47,3 +47,14 @@ def test_every_member_of_a_cluster_is_listed(spark):
     found = reports.clusters(df, "doc_id", F.col("text"))
     assert sorted(tuple(r)[1:] for r in found.collect()) == [(2, 21, "21"), (12, 0, "0,1,2,3,4")]
     assert "collect_set" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_the_audit_sends_no_texts(spark, tmp_path, monkeypatch):
+    """What goes through the audit's joins is what the verdict asks of a text; the verdicts of null and blank texts and sources stay."""
+    rows = [(1, "a b", "src1"), (2, None, "src1"), (3, None, "src2"), (4, "  ", "src1"), (5, "A  b", "src9"), (6, "c", None), (None, "d", "src1")]
+    spark.createDataFrame([(i, t, "en", s, 0) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    seen, real = [], dedup.first_wins
+    monkeypatch.setattr(dedup, "first_wins", lambda rows, key, seq: (seen.extend(rows.columns), real(rows, key, seq))[1])
+    got = {r.doc_id: r.verdict for r in queries.QUERIES["public_audit_full"](spark, str(tmp_path)).collect()}
+    assert got == {1: "ok", 2: "empty_text", 3: "empty_text", 4: "empty_text", 5: "exact_duplicate", 6: "invalid_source", None: "duplicate_id"}
+    assert seen and "text" not in seen and "source" not in seen
