@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.shared import materialise
+from ..sources.shared import discard, materialise, shuffles_end
 from .frames import ranked
 
 
@@ -56,19 +56,23 @@ def greedy_accept(rows: DataFrame, seq: str, conflicts: DataFrame, copies: DataF
     neighbours.  The number of rounds is that of the longest chain of
     conflicts; each round is joins on the remaining edges only.
     """
-    edges = materialise(conflicts.select("u", "v").distinct(), "greedy")
-    accepted = rejected = None
-    todo = edges
-    while not todo.isEmpty():
-        blocked = todo.select(F.col("v").alias("n")).distinct()
-        free = materialise(todo.select(F.col("u").alias("n")).distinct().join(blocked, "n", "left_anti"), "greedy")
-        out = materialise(todo.join(free, todo["u"] == free["n"], "left_semi").select(F.col("v").alias("n")).distinct(), "greedy")
-        accepted = free if accepted is None else accepted.union(free)
-        rejected = out if rejected is None else rejected.union(out)
-        gone = free.union(out)
-        rest = todo.join(gone, todo["u"] == gone["n"], "left_anti")
-        # A row whose blockers are all rejected has no edge left: it is accepted by default.
-        todo = materialise(rest.join(gone, rest["v"] == gone["n"], "left_anti"), "greedy")
+    with shuffles_end(rows.sparkSession):
+        edges = materialise(conflicts.select("u", "v").distinct(), "greedy")
+        rejected = None
+        todo = edges
+        while not todo.isEmpty():
+            blocked = todo.select(F.col("v").alias("n")).distinct()
+            free = materialise(todo.select(F.col("u").alias("n")).distinct().join(blocked, "n", "left_anti"), "greedy")
+            out = materialise(todo.join(free, todo["u"] == free["n"], "left_semi").select(F.col("v").alias("n")).distinct(), "greedy")
+            rejected = out if rejected is None else rejected.union(out)
+            gone = free.union(out)
+            rest = todo.join(gone, todo["u"] == gone["n"], "left_anti")
+            # A row whose blockers are all rejected has no edge left: it is accepted by default.
+            left = materialise(rest.join(gone, rest["v"] == gone["n"], "left_anti"), "greedy")
+            discard(free)
+            if todo is not edges:
+                discard(todo)
+            todo = left
     base = rows.select(seq)
     if rejected is None:
         by = base.select(seq, F.col(seq).cast("long").alias("matched")).limit(0)

@@ -1,5 +1,6 @@
 """Operators that do the whole job, on small tables with the cases that a narrower one misses."""
 
+import os
 import random
 
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from test_dedup import by_loop
 
 from marlstone import queries
 from marlstone.operators import dedup, reports
+from marlstone.sources.shared import shared_dir
 
 
 def test_multi_key_accept_equals_the_loop(spark):
@@ -58,3 +60,13 @@ def test_the_audit_sends_no_texts(spark, tmp_path, monkeypatch):
     got = {r.doc_id: r.verdict for r in queries.QUERIES["public_audit_full"](spark, str(tmp_path)).collect()}
     assert got == {1: "ok", 2: "empty_text", 3: "empty_text", 4: "empty_text", 5: "exact_duplicate", 6: "invalid_source", None: "duplicate_id"}
     assert seen and "text" not in seen and "source" not in seen
+
+
+def test_greedy_rounds_leave_no_edges(spark):
+    """Of each round what it rejects stays, not the edges that were left."""
+    top = shared_dir(spark).removeprefix("file://")
+    tables = lambda: {f for f in os.listdir(top) if f.startswith("greedy-")} if os.path.isdir(top) else set()
+    before, n = tables(), 11
+    got = dedup.greedy_accept(spark.range(n).withColumnRenamed("id", "i"), "i", spark.createDataFrame([(i, i + 1) for i in range(n - 1)], "u long, v long"))
+    assert {r.i: r.matched for r in got.collect()} == {i: i - 1 if i % 2 else None for i in range(n)}
+    assert len(tables() - before) <= 2 + n // 2
