@@ -243,7 +243,7 @@ def _met(carried: DataFrame, threshold: float, long: bool) -> DataFrame:
 
 
 #: Items, and sets, of a block; items that meet in one key of the verification, about.
-BLOCK_ITEMS, BLOCK_SETS, KEY_ITEMS = 1 << 20, 4096, 1 << 21
+BLOCK_ITEMS, BLOCK_SETS, KEY_ITEMS = 1 << 20, 1024, 1 << 21
 
 
 def _tiles(near: DataFrame, ids: DataFrame) -> DataFrame:
